@@ -23,8 +23,9 @@ _NEXT = np.uint64(0xD6E8FEB86659FD93)
 CHUNK = 1 << 21
 
 
-def _words(raw: np.ndarray, starts_of_texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, first bytes) of the words of `raw`; a word ends at a blank and at the end of a text."""
+def words_of(raw: np.ndarray, starts_of_texts: np.ndarray, values: np.ndarray = _VALUE) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first bytes) of the words of `raw`; a word ends at a blank and at the end of a text. values: a random
+    number for each byte, 0 for blanks."""
     blank = _BLANK[raw]
     before = np.empty(len(raw), dtype=bool)
     before[0], before[1:] = True, blank[:-1]
@@ -33,7 +34,7 @@ def _words(raw: np.ndarray, starts_of_texts: np.ndarray) -> tuple[np.ndarray, np
     if not len(first):
         return np.empty(0, dtype=np.uint64), first
     place = np.arange(first[0], len(raw)) - np.repeat(first, np.diff(np.append(first, len(raw))))
-    value = _VALUE[raw[first[0] :]] * _POWER[place & ((1 << _LOW) - 1)]
+    value = values[raw[first[0] :]] * _POWER[place & ((1 << _LOW) - 1)]
     if (high := place >> _LOW).any():
         value *= mixed(high.astype(np.uint64) + _STEP) | np.uint64(1)
     return mixed(np.add.reduceat(value, first - first[0])), first
@@ -47,7 +48,7 @@ def _long_words(raw: np.ndarray) -> np.ndarray:
         while end < len(raw) and not (near := np.flatnonzero(_BLANK[raw[end : end + CHUNK]])).size:
             end += CHUNK
         end = len(raw) if end >= len(raw) else end + int(near[0])
-        found.append(_words(raw[at:end], np.zeros(1, dtype=np.int64))[0])
+        found.append(words_of(raw[at:end], np.zeros(1, dtype=np.int64))[0])
         at = end
     return np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
 
@@ -58,7 +59,7 @@ def word_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
         if len(offsets) == 2:
             yield _long_words(raw)
         else:
-            hashes, first = _words(raw, offsets[:-1])
+            hashes, first = words_of(raw, offsets[:-1])
             yield from np.split(hashes, np.searchsorted(first, offsets[1:-1]))
 
 
