@@ -1,6 +1,6 @@
 """A quality classifier on supervised subword embeddings.
 
-Words and the character n-grams inside them (bytes, with the word's borders) are hashed to rows of one table of vectors. A text is the mean
+Words, the character n-grams inside them (bytes, with the word's borders) and pairs of equal or different neighbours are hashed to rows of one table of vectors. A text is the mean
 of its features' vectors, a softmax layer gives the probability of each class, and both are learned by stochastic
 gradient descent in numpy from a bounded sample of labelled texts. As the output is linear in the mean, scoring needs only each
 feature's share of the logit, a table of one number for each row, and one pass over the bytes.
@@ -30,8 +30,8 @@ MAX_TRAIN = 4000
 ROWS = 1 << 17
 DIMENSIONS = 12
 GRAMS = (3, 4)
-EPOCHS = 8
-RATE = 0.6
+EPOCHS = 6
+RATE = 0.2
 THRESHOLD = 0.3
 FOLDS = 5
 
@@ -39,6 +39,8 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _WORD_VALUE = byte_table(23)
 _WORD_VALUE[_BLANK] = 0
+#: Table rows of pairs of equal and of different words.
+_PAIRS = (101, 202)
 _EVEN = np.arange(256, dtype=np.uint64)
 _EVEN[_BLANK] = 32
 
@@ -47,6 +49,11 @@ def features(raw: np.ndarray, offsets: np.ndarray, rows: int = ROWS) -> list[tup
     """(table rows, offsets by text) for words and for each length of n-grams, over texts that lie one after the other."""
     hashes, first = words_of(raw, offsets[:-1], _WORD_VALUE) if len(raw) else (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
     found = [((hashes & np.uint64(rows - 1)).astype(np.int64), np.searchsorted(first, offsets))]
+    # a pair of words is hashed by whether the second refers back to the first, so that repetition is learned once for all words
+    text_of = np.searchsorted(offsets, first[1:], side="right")
+    within = np.flatnonzero(text_of == np.searchsorted(offsets, first[:-1], side="right"))
+    same = hashes[within + 1] == hashes[within]
+    found.append((np.where(same, *_PAIRS) & (rows - 1), np.searchsorted(first[1:][within], offsets)))
     blank = np.concatenate(([0], np.cumsum(_BLANK[raw], dtype=np.int64)))
     byte = _EVEN[raw]
     text = np.zeros(len(raw) + 1, dtype=np.int32)
