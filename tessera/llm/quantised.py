@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import table, written
 from tessera.llm.shards import BLOCK_ROWS, SHARD_ROWS, clean_vectors, matrix, number, on_grid, ranked, with_shard
 
-BOOKS, WORDS, BEAM = 8, 64, 4
+BOOKS, WORDS, BEAM = 24, 64, 4
 SAMPLE = 8192
-RERANK = 320
+RERANK = 640
 FOUND = "query_id long, vec_id long, score double"
 _SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
