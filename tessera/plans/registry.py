@@ -247,3 +247,380 @@ def reconcile_counts(spark, sf):
     count = lambda t, d: d.agg(F.count("*").alias("rows")).select(F.lit(t).alias("table"), "rows")
     o, line, p = (load(spark, sf, t) for t in ("orders", "lineitem", "part"))
     return W.reconciled(count("a", o).union(count("b", line)).union(count("c", p)), count("a", o).union(count("b", line.where("l_orderkey % 2 = 0"))))
+
+
+# -- files --------------------------------------------------------------------------------------------------------------------
+
+
+def _blast_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of an 11-column table made of lineitem; every 17th order's lines lack a field, every 19th has a bad number."""
+    line = load(spark, sf, "lineitem")
+    number = F.when(F.col("l_orderkey") % 19 == 0, F.lit("n/a")).otherwise(F.col("l_quantity").cast("long").cast("string"))
+    fields = [F.concat(F.lit("g"), "l_orderkey"), "l_suppkey", F.concat(F.lit("K"), "l_partkey"), "l_discount", "l_linenumber", number, F.lit("1"), F.lit("2"), "l_tax", "l_extendedprice"]
+    text = F.concat_ws("\t", *[F.col(f).cast("string") if isinstance(f, str) else f for f in fields])
+    whole = F.when(F.col("l_orderkey") % 17 == 0, text).otherwise(F.concat(text, F.lit("\t9")))
+    return line.select(F.concat(F.lit("f"), F.col("l_orderkey") % 5).alias("file"), whole.alias("value"))
+
+
+@registered("SELECT 'f' || (l_orderkey % 5) AS file, 'g' || l_orderkey AS gene_id, l_suppkey AS ncbi_taxid, 'K' || l_partkey AS annotation_id, l_discount AS pct_identity, CAST(l_linenumber AS BIGINT) AS q_start, CASE WHEN l_orderkey % 19 <> 0 THEN CAST(l_quantity AS BIGINT) END AS q_end, 1 AS s_start, 2 AS s_end, l_tax AS evalue, l_extendedprice AS bitscore, 9 AS aln_len FROM lineitem WHERE l_orderkey % 17 <> 0")
+def read_tsv(spark, sf):
+    return R.blast(_blast_lines(spark, sf))[0]
+
+
+@registered("SELECT 'f' || (l_orderkey % 5) AS file, count(*) AS rejects FROM lineitem WHERE l_orderkey % 17 = 0 GROUP BY 1")
+def read_tsv_rejects(spark, sf):
+    return R.blast(_blast_lines(spark, sf))[1].groupBy("file").agg(F.count("*").alias("rejects"))
+
+
+@registered("SELECT 'g' || l_orderkey AS gene_id, 'PF' || l_partkey AS accession, CAST(l_linenumber AS BIGINT) AS \"start\", CAST(l_quantity AS BIGINT) AS \"end\", l_extendedprice AS score, l_tax AS e_value, CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE CAST(l_suppkey AS BIGINT) END AS alignment_length, 5 AS model_start, CAST(NULL AS BIGINT) AS model_end FROM lineitem")
+def read_gff(spark, sf):
+    line = load(spark, sf, "lineitem")
+    length = F.when(F.col("l_orderkey") % 3 == 0, F.lit("?")).otherwise(F.col("l_suppkey").cast("string"))
+    attributes = F.concat(F.lit("e-value=1;x=2;alignment_length="), length, F.lit(";model_start=5;e-value="), F.col("l_tax").cast("string"))
+    text = F.concat_ws("\t", F.concat(F.lit("g"), "l_orderkey"), F.lit("src"), F.concat(F.lit("PF"), "l_partkey"), F.col("l_linenumber").cast("string"), F.col("l_quantity").cast("long").cast("string"), F.col("l_extendedprice").cast("string"), F.lit("+"), F.lit("."), attributes)
+    lines = line.select(F.lit("f").alias("file"), text.alias("value")).unionByName(line.select(F.lit("f").alias("file"), F.concat(F.lit("# "), F.col("l_orderkey").cast("string")).alias("value")))
+    return R.gff(lines)[0].drop("file")
+
+
+@registered("SELECT 'bin.' || p_partkey AS bin_id, p_brand AS marker_lineage, CAST(p_size AS BIGINT) AS n_genomes, 1 AS n_markers, 2 AS n_marker_sets, 0 AS n_0, 1 AS n_1, 2 AS n_2, 3 AS n_3, 4 AS n_4, 5 AS n_5_plus, p_retailprice AS completeness, 0.5 AS contamination, CAST(NULL AS DOUBLE) AS strain_heterogeneity FROM part WHERE p_partkey % 8 <> 0")
+def read_aligned(spark, sf):
+    part = load(spark, sf, "part")
+    fields = [F.concat(F.lit("bin."), "p_partkey"), "p_brand", "p_size", *map(F.lit, ("1", "2", "0", "1", "2", "3", "4", "5")), "p_retailprice", F.lit("0.5")]
+    text = F.concat_ws("   ", *[F.col(f).cast("string") if isinstance(f, str) else f for f in fields])
+    value = F.when(F.col("p_partkey") % 8 == 0, text).otherwise(F.concat(F.lit("  "), text, F.lit("  nan?")))
+    rules = spark.createDataFrame([("f", "-" * 40), ("f", "  Bin Id    Marker lineage   # genomes"), ("f", "")], "file string, value string")
+    return R.aligned(part.select(F.lit("f").alias("file"), value.alias("value")).unionByName(rules)).drop("file")
+
+
+@registered("SELECT 'r' || o_orderkey AS file, CAST(o_orderkey AS DOUBLE) AS n_seqs, CAST(o_custkey AS DOUBLE) AS n_cds, CAST(o_orderkey % 100 AS DOUBLE) AS density, CAST(NULL AS DOUBLE) AS n_other FROM orders")
+def read_sections(spark, sf):
+    """A report of three sections for each order."""
+    o = load(spark, sf, "orders")
+    t = lambda c: F.col(c).cast("string")
+    report = F.concat(
+        F.lit("Sequence stats\n====\nNumber of seqs: "), t("o_orderkey"), F.lit("\nother: 5\n\nFeatures\n=======\n'CDS'\t"), t("o_custkey"), F.lit("\n\nSummary\n=====\ncoding density: "), (F.col("o_orderkey") % 100).cast("string"), F.lit("%\nNumber of seqs: 1\n")
+    )
+    rows = R.sections(o.select(F.concat(F.lit("r"), "o_orderkey").alias("file"), report.alias("value")))
+    return R.metrics_row(rows, {"n_seqs": ("Sequence stats", "Number of seqs"), "n_cds": ("Features", "CDS"), "density": ("Summary", "coding density"), "n_other": ("Features", "other")})
+
+
+@registered("SELECT 'PF' || p_partkey AS pfam_id, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE 'CL' || p_size END AS clan_id, p_brand AS clan_name, p_name AS name, p_type AS description FROM part")
+def read_strict(spark, sf):
+    p = load(spark, sf, "part")
+    text = F.concat_ws("\t", F.concat(F.lit("PF"), "p_partkey"), F.when(F.col("p_partkey") % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit("CL"), "p_size")), "p_brand", "p_name", "p_type")
+    return R.strict_terms(p.select(text.alias("value")).unionByName(p.select(F.lit("  ").alias("value"))))
+
+
+@registered("SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN true WHEN doc_id % 6 = 1 THEN true ELSE false END AS placeholder FROM documents")
+def placeholder_filter(spark, sf):
+    d = load(spark, sf, "documents")
+    value = F.when(F.col("doc_id") % 6 == 0, F.lit("No results for this sample\n")).when(F.col("doc_id") % 6 == 1, F.lit(" \n ")).when(F.col("doc_id") % 6 == 2, F.lit("No results for this sample\nbut lines")).otherwise(F.concat(F.lit("x "), "text"))
+    return d.select("doc_id", S.is_placeholder(value, ("no results for",)).alias("placeholder"))
+
+
+@registered("SELECT min(page_id) AS id, regexp_extract(url, '://([^/?#]*)', 1) AS host FROM pages GROUP BY 2")
+def manifest_dedup(spark, sf):
+    p = load(spark, sf, "pages").select(F.col("page_id").alias("id"), F.regexp_extract("url", "://([^/?#]*)", 1).alias("host"))
+    return A.first_per(p, ["host"], [F.col("id")]).select("id", "host")
+
+
+_KIND = "CASE page_id % 3 WHEN 0 THEN 'KO' WHEN 1 THEN 'EC' ELSE 'Other' END"
+
+
+@registered(f"""SELECT data_object_type, count(*) AS files, sum(b) / 1e9 AS gigabytes FROM (
+SELECT {_KIND} AS data_object_type, CASE WHEN page_id % 4 = 0 THEN 0 ELSE page_id * 1000 END AS b, row_number() OVER (PARTITION BY regexp_extract(url, '^[^:]*://[^/?#]*', 0), {_KIND} ORDER BY page_id) AS n
+FROM pages WHERE page_id % 3 <> 2 AND page_id % 5 <> 0 AND url LIKE 'https:%') WHERE n = 1 GROUP BY 1""")
+def file_manifest(spark, sf):
+    p = load(spark, sf, "pages")
+    kind = F.when(F.col("page_id") % 3 == 0, "KO").when(F.col("page_id") % 3 == 1, "EC").otherwise("Other")
+    objects = p.select(F.col("page_id").alias("id"), F.regexp_extract("url", "^[^:]*://[^/?#]*", 0).alias("url"), kind.alias("data_object_type"), F.when(F.col("page_id") % 5 != 0, F.lit("run")).alias("was_generated_by"), F.when(F.col("page_id") % 4 == 0, F.lit("?")).otherwise((F.col("page_id") * 1000).cast("string")).alias("file_size_bytes"))
+    return A.manifest_summary(A.file_manifest(objects, ["KO", "EC"], "https:"))
+
+
+@registered("SELECT page_id % 2 = 0 AND url NOT LIKE '%..%' AS hit, count(*) AS files FROM pages GROUP BY 1")
+def manifest_binding(spark, sf):
+    p = load(spark, sf, "pages").select(F.col("page_id").alias("id"), F.concat(F.lit("https://h/"), "page_id", F.lit("/a.tsv?x=1")).alias("url"), F.lit("r").alias("was_generated_by"))
+    landed = p.where("id % 2 = 0").select(F.concat(F.lit("cache/"), "id", F.lit("/a.tsv")).alias("file"))
+    return R.bind_manifest(landed, p, "cache").groupBy("hit").agg(F.count("*").alias("files"))
+
+
+@registered("SELECT o_orderkey AS whole, CAST(o_totalprice AS DOUBLE) AS real, CASE WHEN o_orderkey % 97 = 5 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS mixed FROM orders")
+def type_stabilize(spark, sf):
+    o = load(spark, sf, "orders")
+    text = o.select(F.col("o_orderkey").cast("string").alias("whole"), F.col("o_totalprice").cast("string").alias("real"), F.when(F.col("o_orderkey") % 97 == 5, F.lit("x")).otherwise(F.col("o_custkey").cast("string")).alias("mixed"))
+    return S.stabilised(text, ["whole", "real", "mixed"])
+
+
+@registered("SELECT CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS kind, count(*) AS n, sum(CASE WHEN event_id % 2 = 0 THEN value END) AS v, count(CASE WHEN event_id % 2 = 1 THEN user_id END) AS u FROM events GROUP BY 1")
+def union_differing(spark, sf):
+    e = load(spark, sf, "events")
+    a, b = e.where("event_id % 2 = 0").select(F.lit("a").alias("kind"), "value"), e.where("event_id % 2 = 1").select("user_id", F.lit("b").alias("kind"))
+    return a.unionByName(b, allowMissingColumns=True).groupBy("kind").agg(F.count("*").alias("n"), F.sum("value").alias("v"), F.count("user_id").alias("u"))
+
+
+# -- graph --------------------------------------------------------------------------------------------------------------------
+
+
+def provenance(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges from orders to regions by two ways: over the customer's nation, and over the lines' suppliers' nations."""
+    t = {n: load(spark, sf, n) for n in ("orders", "customer", "nation", "region", "lineitem", "supplier")}
+    key = lambda p, c: F.concat(F.lit(p), F.col(c))
+    return graph.edges([
+        (t["orders"].select(key("o", "o_orderkey").alias("a"), key("c", "o_custkey").alias("b")), "a", "b", "placed_by"),
+        (t["customer"].select(key("c", "c_custkey").alias("a"), key("n", "c_nationkey").alias("b")), "a", "b", "lives_in"),
+        (t["lineitem"].select(key("o", "l_orderkey").alias("a"), key("l", "l_suppkey").alias("b")), "a", "b", "sold_by"),
+        (t["supplier"].select(key("l", "s_suppkey").alias("a"), key("m", "s_nationkey").alias("b")), "a", "b", "ships_from"),
+        (t["nation"].select(key("m", "n_nationkey").alias("a"), key("n", "n_nationkey").alias("b")), "a", "b", "same_as"),
+        (t["nation"].select(key("n", "n_nationkey").alias("a"), key("r", "n_regionkey").alias("b")), "a", "b", "part_of"),
+    ])
+
+
+_EDGES = """e AS (SELECT 'o' || o_orderkey AS src, 'c' || o_custkey AS next_id, 'placed_by' AS slot FROM orders UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, 'lives_in' FROM customer
+UNION ALL SELECT 'o' || l_orderkey, 'l' || l_suppkey, 'sold_by' FROM lineitem UNION ALL SELECT 'l' || s_suppkey, 'm' || s_nationkey, 'ships_from' FROM supplier
+UNION ALL SELECT 'm' || n_nationkey, 'n' || n_nationkey, 'same_as' FROM nation UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, 'part_of' FROM nation)"""
+_WALK = f"""WITH RECURSIVE {_EDGES}, d AS (SELECT DISTINCT src, next_id FROM e), w AS (SELECT 'o' || o_orderkey AS origin, 'o' || o_orderkey AS id, 0 AS hops FROM orders
+UNION SELECT w.origin, d.next_id, w.hops + 1 FROM w JOIN d ON d.src = w.id WHERE w.hops < 15 AND w.id NOT LIKE 'r%')"""
+
+
+@registered(f"WITH {_EDGES} SELECT slot, count(*) AS links, count(DISTINCT src) AS sources, count(DISTINCT next_id) AS targets FROM e GROUP BY 1")
+def union_edges(spark, sf):
+    return provenance(spark, sf).groupBy("slot").agg(F.count("*").alias("links"), F.countDistinct("src").alias("sources"), F.countDistinct("next_id").alias("targets"))
+
+
+def order_walk(spark: SparkSession, sf: str) -> DataFrame:
+    seeds = load(spark, sf, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("origin"))
+    return graph.walk(provenance(spark, sf), seeds, F.col("id").startswith("r"))
+
+
+@registered(f"{_WALK} SELECT origin, id AS terminal_id, min(hops) AS n_hops FROM w WHERE id LIKE 'r%' GROUP BY 1, 2")
+def bfs_min_hops(spark, sf):
+    return graph.min_hops(order_walk(spark, sf))
+
+
+@registered(f"{_WALK} SELECT origin, id, min(hops) AS hops FROM w WHERE id LIKE 'r%' GROUP BY 1, 2")
+def bfs_recursive(spark, sf):
+    seeds = load(spark, sf, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("origin"))
+    return graph.walk_recursive(spark, provenance(spark, sf).select("src", "next_id").distinct(), seeds, "id LIKE 'r%'")
+
+
+_TYPES = "t AS (SELECT 'c' || c_custkey AS id, c_mktsegment AS type FROM customer UNION ALL SELECT 'l' || s_suppkey, 'supplier' FROM supplier UNION ALL SELECT 'm' || n_nationkey, 'depot' FROM nation)"
+_FLAGS = {"supplier": "has_supplier", "depot": "has_depot", "BUILDING": "has_building", "absent": "has_absent"}
+
+
+def _bridge(spark: SparkSession, sf: str) -> DataFrame:
+    kind = lambda p, t, c, v: load(spark, sf, t).select(F.concat(F.lit(p), c).alias("id"), v.alias("type"))
+    types = kind("c", "customer", "c_custkey", F.col("c_mktsegment")).union(kind("l", "supplier", "s_suppkey", F.lit("supplier"))).union(kind("m", "nation", "n_nationkey", F.lit("depot")))
+    origins = load(spark, sf, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("origin"), F.col("o_orderstatus").alias("origin_type"))
+    return graph.bridge(order_walk(spark, sf), types, origins, _FLAGS)
+
+
+_BRIDGE = f"""{_WALK}, {_TYPES}, f AS (SELECT origin, bool_or(type = 'supplier') AS s, bool_or(type = 'depot') AS p, bool_or(type = 'BUILDING') AS b FROM w JOIN t ON w.id = t.id WHERE w.hops > 0 GROUP BY 1),
+m AS (SELECT origin, id AS terminal_id, min(hops) AS n_hops FROM w WHERE id LIKE 'r%' GROUP BY 1, 2),
+br AS (SELECT terminal_id, m.origin, o_orderstatus AS origin_type, n_hops, coalesce(s, false) AS has_supplier, coalesce(p, false) AS has_depot, coalesce(b, false) AS has_building, false AS has_absent FROM m LEFT JOIN f USING (origin) JOIN orders ON m.origin = 'o' || o_orderkey)"""
+
+
+@registered(f"{_BRIDGE} SELECT * FROM br")
+def bridge_table(spark, sf):
+    return _bridge(spark, sf)
+
+
+@registered(f"{_BRIDGE} SELECT origin_type, count(*) AS pairs, count(DISTINCT terminal_id) AS terminals, count(DISTINCT origin) AS origins, round(avg(n_hops), 2) AS mean_hops, sum(has_supplier::INT) AS with_has_supplier FROM br GROUP BY 1")
+def bridge_summary(spark, sf):
+    return graph.bridge_summary(_bridge(spark, sf), ("has_supplier",))
+
+
+@registered("SELECT event_type AS type, count(*) AS nodes FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY 1")
+def unknown_types(spark, sf):
+    return graph.unknown_types(load(spark, sf, "events").select(F.col("event_type").alias("type")), ("click", "view"))
+
+
+# -- analytics ----------------------------------------------------------------------------------------------------------------
+
+
+def _order_bridge(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "orders").select(F.col("o_orderkey").alias("run"), F.col("o_custkey").alias("entity"))
+
+
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "run")
+
+
+@registered("SELECT o_custkey AS entity, count(*) AS hits, count(DISTINCT o_orderkey) AS runs FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' GROUP BY 1 ORDER BY hits DESC, 1 LIMIT 20")
+def top_hits_per_entity(spark, sf):
+    return A.hits_per_entity(_lines(spark, sf), "l_returnflag", "R", _order_bridge(spark, sf), "run", "entity")
+
+
+@registered("SELECT coalesce(a.k, b.k) AS key, coalesce(counted, 0) AS counted, coalesce(stored, 0) AS stored, coalesce(counted, 0) - coalesce(stored, 0) AS difference FROM (SELECT 'ORDER:' || l_orderkey AS k, count(*) AS counted FROM lineitem GROUP BY 1) a FULL JOIN (SELECT 'ORDER:' || o_orderkey AS k, o_orderkey % 7 AS stored FROM orders) b ON a.k = b.k")
+def cross_check(spark, sf):
+    fact = load(spark, sf, "lineitem").select(F.concat(F.lit("KO:"), "l_orderkey").alias("id"))
+    rollup = load(spark, sf, "orders").select(F.concat(F.lit("ORDER:"), "o_orderkey").alias("id"), (F.col("o_orderkey") % 7).alias("n"))
+    return A.cross_check(fact, "id", rollup, "id", "n", "ORDER:", 3)
+
+
+@registered("SELECT l_partkey, count(*) AS hits, min(l_tax) AS best, max(l_tax) AS worst, round(avg(l_quantity), 2) AS mean_score FROM lineitem GROUP BY 1 ORDER BY hits DESC, 1 LIMIT 20")
+def quality_summary(spark, sf):
+    return A.hit_quality(load(spark, sf, "lineitem"), "l_partkey", "l_tax", "l_quantity")
+
+
+@registered("SELECT c_mktsegment AS segment, count(DISTINCT l_orderkey) AS runs, count(DISTINCT o_custkey) AS entities, round(avg(l_quantity), 2) AS mean_l_quantity, round(avg(l_discount), 2) AS mean_l_discount FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1")
+def qc_by_group(spark, sf):
+    entities = load(spark, sf, "customer").select(F.col("c_custkey").alias("entity"), F.col("c_mktsegment").alias("segment"))
+    return A.qc_by(_lines(spark, sf), _order_bridge(spark, sf), entities, "run", "entity", "segment", ["l_quantity", "l_discount"])
+
+
+@registered("SELECT o_custkey AS entity, max(l_quantity) AS max_l_quantity, sum(l_quantity) AS sum_l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE trim(l_linestatus) = 'O' AND l_quantity > 10 AND l_discount > 0.02 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+def taxon_to_sample(spark, sf):
+    return A.taxon_to_entities(_lines(spark, sf), "l_linestatus", "O", {"l_quantity": 10, "l_discount": 0.02}, _order_bridge(spark, sf), "run", "entity", ["l_quantity"])
+
+
+@registered("SELECT o_custkey AS entity, count(*) AS items, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY CAST(l_partkey AS VARCHAR)) AS names FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey WHERE p_brand LIKE '%#1%' GROUP BY 1")
+def lineage_substring(spark, sf):
+    summary = _lines(spark, sf).join(load(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return A.lineage_to_entities(summary, "p_brand", "#1", "l_partkey", _order_bridge(spark, sf), "run", "entity", None)
+
+
+@registered("SELECT o_custkey AS entity, count(*) AS items, round(avg(l_quantity), 2) AS mean_l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 40 AND l_discount <= 0.05 GROUP BY 1")
+def hq_threshold(spark, sf):
+    return A.quality_to_entities(_lines(spark, sf), (F.col("l_quantity") >= 40) & (F.col("l_discount") <= 0.05), _order_bridge(spark, sf), "run", "entity", ["l_quantity"], None)
+
+
+@registered("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size END AS size, round(abs(p_retailprice - 1000), 1) AS off FROM part WHERE p_partkey % 2 = 0 ORDER BY size DESC NULLS LAST, off, p_partkey LIMIT 50")
+def nulls_last_top(spark, sf):
+    p = load(spark, sf, "part").select("p_partkey", F.lit("even").alias("run"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_size")).alias("size"), F.round(F.abs(F.col("p_retailprice") - 1000), 1).alias("off")).where("p_partkey % 2 = 0")
+    return A.bins_of_run(p, "run", "even", [F.col("size").desc_nulls_last(), F.col("off"), F.col("p_partkey")]).drop("run").limit(50)
+
+
+@registered("SELECT DISTINCT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size = 10 AND l_orderkey IN (SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size = 20)")
+def cooccurrence(spark, sf):
+    fact = load(spark, sf, "lineitem").join(load(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return A.cooccurrence(fact, "l_orderkey", "p_size", 10, 20)
+
+
+@registered(f"SELECT r_name, n_name, count(*) AS lines FROM lineitem JOIN orders oo ON l_orderkey = oo.o_orderkey JOIN customer ON oo.o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2")
+def multi_hop_chain(spark, sf):
+    t = {n: load(spark, sf, n) for n in ("orders", "customer", "nation", "region")}
+    out = A.chain(load(spark, sf, "lineitem"), (t["orders"], "l_orderkey", "o_orderkey"), (t["customer"], "o_custkey", "c_custkey"), (t["nation"], "c_nationkey", "n_nationkey"), (t["region"], "n_regionkey", "r_regionkey"))
+    return out.groupBy("r_name", "n_name").agg(F.count("*").alias("lines"))
+
+
+@registered("SELECT l_partkey, p_name, count(*) AS hits FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2")
+def named_hits(spark, sf):
+    return A.named_hits(load(spark, sf, "lineitem"), "l_partkey", load(spark, sf, "part"), "p_partkey", "p_name")
+
+
+@registered("SELECT l.* FROM lineitem l WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey = 1 AND o_orderstatus = 'F')")
+def rows_for_entity(spark, sf):
+    bridge = load(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
+    return A.rows_for_entity(load(spark, sf, "lineitem"), bridge, "l_orderkey", "o_custkey", 1, "o_orderstatus", "F")
+
+
+@registered("SELECT DISTINCT o_custkey AS entity FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey WHERE p_name LIKE '%1%'")
+def entities_with(spark, sf):
+    summary = _lines(spark, sf).join(load(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return A.entities_with(summary, "p_name", "1", _order_bridge(spark, sf), "run", "entity")
+
+
+@registered("SELECT k AS p_partkey, p_name, p_name IS NOT NULL AS found FROM (SELECT unnest([1, 5, -1]) AS k) LEFT JOIN part ON p_partkey = k")
+def term_lookup(spark, sf):
+    return A.term_lookup(load(spark, sf, "part").select("p_partkey", "p_name"), "p_partkey", [1, 5, -1])
+
+
+@registered("SELECT l_linestatus AS rank, l_partkey, l_quantity FROM lineitem WHERE l_orderkey = 5 AND l_linestatus = 'O' ORDER BY l_quantity DESC, l_partkey LIMIT 3")
+def top_taxa(spark, sf):
+    return A.top_taxa(_lines(spark, sf).withColumnRenamed("l_linestatus", "rank"), "run", 5, "rank", "O", "l_quantity", "l_partkey", 3).select("rank", "l_partkey", "l_quantity")
+
+
+@registered("SELECT l_orderkey AS run, l_partkey, o_custkey AS entity, c_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE l_orderkey = 5")
+def qc_for_run(spark, sf):
+    entities = load(spark, sf, "customer").select(F.col("c_custkey").alias("entity"), "c_name")
+    return A.of_run(_lines(spark, sf), _order_bridge(spark, sf), entities, "run", "entity", 5).select("run", "l_partkey", "entity", "c_name")
+
+
+@registered("SELECT page_id AS id, url FROM pages WHERE page_id = 3")
+def source_file(spark, sf):
+    return A.source_file(load(spark, sf, "pages").select(F.col("page_id").alias("id"), "url"), 3)
+
+
+@registered("SELECT event_id FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)")
+def id_set_filter(spark, sf):
+    return A.in_set(load(spark, sf, "events"), "user_id", load(spark, sf, "customer").where("c_acctbal > 5000"), "c_custkey").select("event_id")
+
+
+# -- validation, inventories ------------------------------------------------------------------------------------------------------
+
+
+@registered("SELECT 'ERROR' AS severity, 'finite-number' AS rule, 'total' AS path, count(*) AS rows FROM orders WHERE o_orderkey % 11 = 0 HAVING count(*) > 0 UNION ALL SELECT 'ERROR', 'required', 'id', count(*) FROM orders WHERE o_orderkey % 13 = 0 HAVING count(*) > 0 UNION ALL SELECT 'ERROR', 'enum', 'status', count(*) FROM orders WHERE o_orderstatus = 'P' HAVING count(*) > 0 UNION ALL SELECT 'ERROR', 'undeclared', 'extra', count(*) FROM orders WHERE o_orderkey % 17 = 0 HAVING count(*) > 0 UNION ALL SELECT 'ERROR', 'pattern', 'priority', count(*) FROM orders WHERE o_orderpriority NOT LIKE '1%' HAVING count(*) > 0")
+def rule_validation(spark, sf):
+    return validation.issue_counts(_checked(spark, sf))
+
+
+def _checked(spark: SparkSession, sf: str) -> DataFrame:
+    o = load(spark, sf, "orders")
+    key = F.col("o_orderkey")
+    rows = o.select(F.when(key % 13 != 0, key).alias("id"), F.when(key % 11 == 0, F.lit(float("inf"))).otherwise(F.col("o_totalprice")).alias("total"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.when(key % 17 == 0, F.lit("x")).alias("extra"))
+    rules = [validation.required("id"), validation.finite_number("total"), validation.enumerated("status", ("F", "O")), validation.pattern("priority", "^1")]
+    return validation.with_issues(rows, rules, ["id", "total", "status", "priority"])
+
+
+@registered("SELECT count(*) AS selected, count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS invalid FROM (SELECT o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 17 <> 0 AND o_orderstatus IN ('F', 'O') AND o_orderpriority LIKE '1%' AS ok FROM orders)")
+def validity_report(spark, sf):
+    return validation.validity(_checked(spark, sf))
+
+
+@registered("""SELECT c_custkey, sha256('{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}') AS digest FROM customer ORDER BY digest LIMIT 100""")
+def digest_sample(spark, sf):
+    return validation.sample(load(spark, sf, "customer").select("c_custkey", "c_name"), 100, "c_custkey", "c_name").select("c_custkey", "digest")
+
+
+@registered("SELECT event_type AS type, count(*) FILTER (event_id % 4 = 0) AS files_with_data, count(*) FILTER (event_id % 4 = 1) AS placeholders, count(*) FILTER (event_id % 4 = 2) AS misses, count(*) FILTER (event_id % 4 = 3) AS errors, sum(user_id) AS rows, sum(event_id % 3) AS null_keys, count(*) FILTER (event_id % 3 > 0) AS files_with_null_keys FROM events GROUP BY 1")
+def load_statistics(spark, sf):
+    e = load(spark, sf, "events")
+    status = F.element_at(F.array(*map(F.lit, ("data", "placeholder", "miss", "error"))), (F.col("event_id") % 4 + 1).cast("int"))
+    bound = e.select(F.col("event_type").alias("type"), F.concat(F.lit("f"), "event_id").alias("file"), status.alias("status"), F.col("user_id").alias("rows"), (F.col("event_id") % 3).alias("null_keys"))
+    return validation.load_stats(bound).drop("missing")
+
+
+@registered("SELECT unnest(['customer', 'nation', 'orders', 'part']) AS \"table\", unnest([(SELECT count(*) FROM customer), (SELECT count(*) FROM nation), (SELECT count(*) FROM orders), (SELECT count(*) FROM part)]) AS rows, true AS stable")
+def table_inventory(spark, sf):
+    """The inventory of four tables, and whether hashes are the same for another order and number of partitions."""
+    tables = {n: load(spark, sf, n) for n in ("customer", "nation", "orders", "part")}
+    again = snapshot.inventory({n: d.repartition(7).select(*reversed(d.columns)) for n, d in tables.items()}).select("table", F.col("content").alias("c2"), F.col("schema_hash").alias("s2"))
+    return snapshot.inventory(tables).join(again, "table").select("table", "rows", ((F.col("content") == F.col("c2")) & (F.col("schema_hash") == F.col("s2"))).alias("stable"))
+
+
+@registered("SELECT unnest(['customer', 'nation', 'orders', 'part', 'supplier']) AS \"table\", unnest(['keep', 'retire', 'replace', 'add', 'preserve']) AS action")
+def disposition_plan(spark, sf):
+    t = {n: load(spark, sf, n) for n in ("customer", "nation", "orders", "part", "supplier")}
+    candidate = snapshot.inventory({"customer": t["customer"], "orders": t["orders"].where("o_orderkey % 2 = 0"), "part": t["part"]})
+    live = snapshot.inventory({n: t[n] for n in ("customer", "orders", "nation", "supplier")})
+    rules = spark.createDataFrame([("nation", "retire"), ("supplier", "preserve")], "table string, rule string")
+    return snapshot.checked_disposition(snapshot.disposition(candidate, live, rules))
+
+
+@registered("SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'removed' WHEN o_orderkey % 5 = 1 THEN 'added' WHEN o_orderkey % 5 = 2 THEN 'changed' ELSE 'same' END AS change, count(*) AS rows FROM orders GROUP BY 1")
+def row_changes(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    new = o.where("o_orderkey % 5 <> 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 5 == 2, F.lit("?")).otherwise(F.col("o_orderstatus")))
+    return snapshot.row_changes(o.where("o_orderkey % 5 <> 1"), new, "o_orderkey")
+
+
+@registered("SELECT n_name, CASE WHEN n_nationkey % 5 = 0 THEN 'both' WHEN n_nationkey % 5 = 3 THEN 'neither' END AS problem FROM nation WHERE n_nationkey % 5 IN (0, 3)")
+def exact_cover(spark, sf):
+    n = load(spark, sf, "nation")
+    return snapshot.exact_cover(n.select("n_name"), n.where("n_nationkey % 5 in (0, 1)").select("n_name"), n.where("n_nationkey % 5 in (0, 2, 4)").select("n_name"), "n_name")
+
+
+@registered("SELECT n_name, CASE WHEN n_nationkey % 3 = 1 THEN 'missing' ELSE 'unexpected' END AS side FROM nation WHERE n_nationkey % 3 > 0")
+def name_diff(spark, sf):
+    n = load(spark, sf, "nation")
+    return snapshot.name_differences(n.where("n_nationkey % 3 < 2").select("n_name"), n.where("n_nationkey % 3 <> 1").select("n_name"))
+
+
+@registered("SELECT event_type, count(*) AS rows FROM events GROUP BY 1")
+def value_counts(spark, sf):
+    return A.value_counts(load(spark, sf, "events"), "event_type")
+
+
+@registered("SELECT count(*) AS rows, count(DISTINCT l_orderkey) AS distinct_l_orderkey, count(DISTINCT l_partkey) AS distinct_l_partkey FROM lineitem")
+def spot_check(spark, sf):
+    return validation.spot_check(load(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
