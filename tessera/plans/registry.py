@@ -282,7 +282,7 @@ def read_gff(spark, sf):
     return R.gff(lines)[0].drop("file")
 
 
-@registered("SELECT 'bin.' || p_partkey AS bin_id, p_brand AS marker_lineage, CAST(p_size AS BIGINT) AS n_genomes, 1 AS n_markers, 2 AS n_marker_sets, 0 AS n_0, 1 AS n_1, 2 AS n_2, 3 AS n_3, 4 AS n_4, 5 AS n_5_plus, p_retailprice AS completeness, 0.5 AS contamination, CAST(NULL AS DOUBLE) AS strain_heterogeneity FROM part WHERE p_partkey % 8 <> 0")
+@registered("SELECT 'bin.' || p_partkey AS bin_id, p_brand AS marker_lineage, CAST(p_size AS BIGINT) AS n_genomes, 1 AS n_markers, 2 AS n_marker_sets, 0 AS n_0, 1 AS n_1, 2 AS n_2, 3 AS n_3, 4 AS n_4, 5 AS n_5_plus, p_retailprice AS completeness, CAST(0.5 AS DOUBLE) AS contamination, CAST(NULL AS DOUBLE) AS strain_heterogeneity FROM part WHERE p_partkey % 8 <> 0")
 def read_aligned(spark, sf):
     part = load(spark, sf, "part")
     fields = [F.concat(F.lit("bin."), "p_partkey"), "p_brand", "p_size", *map(F.lit, ("1", "2", "0", "1", "2", "3", "4", "5")), "p_retailprice", F.lit("0.5")]
@@ -351,11 +351,11 @@ def type_stabilize(spark, sf):
     return S.stabilised(text, ["whole", "real", "mixed"])
 
 
-@registered("SELECT CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS kind, count(*) AS n, sum(CASE WHEN event_id % 2 = 0 THEN value END) AS v, count(CASE WHEN event_id % 2 = 1 THEN user_id END) AS u FROM events GROUP BY 1")
+@registered("SELECT CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS kind, count(*) AS n, round(sum(CASE WHEN event_id % 2 = 0 THEN value END), 2) AS v, count(CASE WHEN event_id % 2 = 1 THEN user_id END) AS u FROM events GROUP BY 1")
 def union_differing(spark, sf):
     e = load(spark, sf, "events")
     a, b = e.where("event_id % 2 = 0").select(F.lit("a").alias("kind"), "value"), e.where("event_id % 2 = 1").select("user_id", F.lit("b").alias("kind"))
-    return a.unionByName(b, allowMissingColumns=True).groupBy("kind").agg(F.count("*").alias("n"), F.sum("value").alias("v"), F.count("user_id").alias("u"))
+    return a.unionByName(b, allowMissingColumns=True).groupBy("kind").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("v"), F.count("user_id").alias("u"))
 
 
 # -- graph --------------------------------------------------------------------------------------------------------------------
