@@ -8,11 +8,14 @@ from tessera.llm.kdtree import op6_kdtree_topk
 from tessera.llm.licenses import op10_license_scan
 from tessera.llm.minhash import op5_minhash_dedup
 from tessera.llm.mixing import op8_pareto_mixing
+from tessera.llm.oracles import ORACLES
 from tessera.llm.quality import op3_quality
 from tessera.llm.quantised import op9_additive_quantisation
 from tessera.llm.suffixes import op2_suffix_dedup
 from tessera.llm.urls import op7_url_filter
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     q.__name__: q
     for q in (
