@@ -53,14 +53,13 @@ class Layout:
     roles: dict[str, str] = field(default_factory=dict, hash=False)
 
     def paths(self) -> list[str]:
-        return [p for p, _ in self.fixed] if self.fixed else [f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"]
+        return [p for p, _ in self.fixed] if self.fixed else [f"{self.turns}[]", f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"]
 
     def signatures(self):
         needed = [p for p in self.paths() if p not in self.optional]
         for n in range(len(self.optional) + 1):
             for some in combinations(self.optional, n):
-                if needed or some or not self.fixed:
-                    yield sorted({*needed, *some})
+                yield sorted({*needed, *some})
 
 
 NAMES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
@@ -77,11 +76,11 @@ LAYOUTS = (
 
 
 def field_paths(value, at: str = "") -> set[str]:
-    """Paths of all scalar fields; `[]` stands for the elements of a list. Null fields count as absent."""
+    """Paths of all lists and scalar fields; `[]` stands for the elements of a list. Null fields count as absent."""
     if isinstance(value, dict):
         return {p for k, v in value.items() for p in field_paths(v, f"{at}.{k}" if at else k)}
     if isinstance(value, list):
-        return {p for v in value for p in field_paths(v, f"{at}[]")}
+        return {f"{at}[]"}.union(*(field_paths(v, f"{at}[]") for v in value))
     return set() if value is None else {at}
 
 
