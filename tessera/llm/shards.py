@@ -41,6 +41,7 @@ def on_grid(vectors: DataFrame, queries: DataFrame, shards: int, blocks: int, se
     left = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = queries.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit("block")), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     keys = ["shard", "block", "dims"]
+    left, right = left.toDF(*left.columns), right.toDF(*right.columns)  # both may come from one table
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
 
 
