@@ -53,7 +53,7 @@ def _number(record: Column, path: tuple[str, ...], kind: str, strict: bool) -> C
 def _scalar(record: Column, column: FlatColumn, strict: bool) -> Column:
     kind = _SQL[column.type]
     if column.reference:
-        return F.coalesce(value_at(record, column.path, "string"), value_at(record, (*column.path, "id"), "string"))
+        return F.coalesce(value_at(record, (*column.path, "id"), "string"), value_at(record, column.path, "string"))
     return value_at(record, column.path, "string") if kind == "string" else _number(record, column.path, kind, strict)
 
 
@@ -61,7 +61,7 @@ def _list(record: Column, column: FlatColumn, strict: bool) -> Column:
     kind = _SQL[column.type]
     many = F.try_variant_get(record, _path(column.path), "array<variant>")
     if column.reference:
-        each = lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$.id", "string"))
+        each = lambda v: F.coalesce(F.try_variant_get(v, "$.id", "string"), F.try_variant_get(v, "$", "string"))
         return F.coalesce(F.transform(many, each), _wrapped(_scalar(record, column, strict)))
     return F.coalesce(F.try_variant_get(record, _path(column.path), f"array<{kind}>"), _wrapped(_scalar(record, column, strict)))
 
@@ -106,7 +106,7 @@ def side_table(df: DataFrame, schema: Schema, cls: str, slot: Slot, classes: fro
         here = here.where(class_of(F.col(record), (), cls, below).isin(*sorted(classes)))
     rows = here.select(parent.alias("parent_id"), F.explode(_list_elements(F.col(record), slot.name)).alias("element"))
     if not schema.inlined(slot):
-        ids = F.coalesce(F.try_variant_get("element", "$", "string"), F.try_variant_get("element", "$.id", "string"))
+        ids = F.coalesce(F.try_variant_get("element", "$.id", "string"), F.try_variant_get("element", "$", "string"))
         return rows.select("parent_id", ids.alias(slot.name)).where(F.col(slot.name).isNotNull())
     known = frozenset(schema.classes)
     columns = [expression(F.col("element"), c, known, strict).alias(c.name) for c in schema.flat_columns(slot.range, child=True) if c.name not in ("parent_id", "type")]
