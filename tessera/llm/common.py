@@ -30,6 +30,13 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+def tidy(spark: SparkSession) -> SparkSession:
+    """Have Spark drop a job's shuffle files when its result is written, not when the driver collects its garbage. Operators of many
+    steps call this first, so that they need disk for their largest step, not for the sum of all."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return spark
+
+
 def written(df: DataFrame) -> DataFrame:
     """df, written to the shared checkpoint folder as Parquet and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -11,9 +11,10 @@ hold more than one:
    bucket; buckets of one block are final: nothing in them repeats.
 3. First refinement. The remaining blocks are sorted into classes by the identifiers of their first and last string. All strings of a
    block whose class has a second member repeat.
-4. Second refinement, of classes in buckets with several: one member of each class is split in two by where its strings lie
-   around the 64-gram, and sorted by the identifier of what all strings of the half share; halves alone in their bucket
-   are final. The strings of the others are sorted by their own identifiers: those that two classes have repeat.
+4. Second refinement, of classes in buckets with several: the strings of one member of each class are sorted by their own
+   identifiers, and those that two classes have repeat. A bucket of at most SMALL classes is sorted in one task. A larger one, as that of
+   a passage in a third of all texts, is sorted by Spark: each class is split in two by where its strings lie around the 64-gram;
+   halves that nobody shares are final; the strings of the others are counted by identifier.
 
 Identifiers are compared within the bucket of a 64-gram only, so two strings are taken for equal by mistake with a
 probability of 2^-64 for each pair in a bucket. Counts are summed before they are shuffled, and the joins that bring them back are ones whose hot keys Spark splits.
@@ -30,15 +31,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import byte_table, table, text_buffers, written
+from tessera.llm.common import byte_table, table, text_buffers, tidy, written
 
 LENGTH = 200
 GRAM = 64
 #: Strings of a block are halved by whether they start so many bytes before its 64-gram, or more.
 SIDE = (LENGTH - GRAM) // 2
+#: Buckets of at most so many classes are refined in one task, larger ones by Spark.
+SMALL = 512
 #: String starts that are worked on at once; with what they look ahead, less than 2^16.
 PART = 1 << 15
 _M = byte_table(7) | np.uint64(1)
@@ -135,34 +139,69 @@ def block_rows(documents: DataFrame) -> DataFrame:
     return documents.select("sfx_key", "sfx_n", "text").mapInArrow(rows, "sfx_key long, sfx_n long, low long, high long, gram long, name long")
 
 
-def half_rows(texts: DataFrame) -> DataFrame:
-    """gram, half, sfx_key, sfx_n, start, sure, names: each block of texts (with low, high, sure: arrays) in halves. half: the identifier of
-    what its strings share; names: those of the strings from `start` on; sure: the block is known to repeat."""
+def small_buckets(pieces: DataFrame) -> DataFrame:
+    """sfx_key, sfx_n, low, high: runs of strings that repeat within buckets of at most SMALL classes. pieces: gram, sfx_key, sfx_n, low,
+    sure, bytes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("gram", "half", "sfx_key", "sfx_n", "start", "sure", "names")}
-            lists = zip(*(batch.column(c) for c in ("sfx_key", "sfx_n", "text", "blocks")), strict=True)
-            for key, n, text, found in lists:
-                raw = np.frombuffer(text.as_buffer(), dtype=np.uint8)
-                for block in found.as_py():
-                    low, high = block["low"], block["high"]
-                    ids = identifiers(raw[low : high + LENGTH])
-                    grams = ids[GRAM][: high - low + LENGTH - GRAM + 1]
-                    spread = np.arange(len(grams), dtype=np.uint64)
-                    place = int(_smallest((grams & ~_LOW) | spread, len(grams))[0] & _LOW)
-                    # strings that start SIDE or more before the gram share what begins there, the others what follows it
-                    middle = max(0, min(high - low + 1, place - SIDE + 1))
-                    for a, b, at, length in ((0, middle, place - SIDE, SIDE + GRAM), (middle, high - low + 1, place, LENGTH - SIDE + 1)):
-                        if a < b:
-                            half = any_identifier(ids, np.array([at]), np.array([length])).view(np.int64)[0]
-                            gram = grams[place : place + 1].view(np.int64)[0]
-                            for c, x in zip(out, (gram, half, key.as_py(), n.as_py(), low + a, block["sure"], ids[LENGTH][a:b].view(np.int64)), strict=True):
-                                out[c].append(x)
+            for first in range(0, len(batch), 256):
+                lists = batch.column("members").slice(first, 256)
+                flat = lists.flatten()
+                bucket = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                key, n, low, sure, data = (flat.field(c) for c in ("sfx_key", "sfx_n", "low", "sure", "bytes"))
+                sizes = pc.binary_length(data).to_numpy()
+                offsets = np.concatenate(([0], np.cumsum(sizes)))
+                names = identifiers(np.frombuffer(b"".join(data.to_pylist()), dtype=np.uint8))[LENGTH]
+                member = np.repeat(np.arange(len(sizes)), sizes - LENGTH + 1)
+                place = np.arange(len(member)) - np.repeat(np.concatenate(([0], np.cumsum(sizes - LENGTH + 1)[:-1])), sizes - LENGTH + 1)
+                found = names[offsets[member] + place] ^ (bucket[member].astype(np.uint64) * _M[33])
+                _, which, counts = np.unique(found, return_inverse=True, return_counts=True)
+                twice = (counts[which] > 1) & ~sure.to_numpy(zero_copy_only=False)[member]
+                begin, end = twice.copy(), twice.copy()
+                begin[1:] &= ~(twice[:-1] & (member[1:] == member[:-1]))
+                end[:-1] &= ~(twice[1:] & (member[1:] == member[:-1]))
+                of = member[begin]
+                lows = low.to_numpy()[of]
+                yield pa.RecordBatch.from_arrays([key.take(pa.array(of)), n.take(pa.array(of)), pa.array(lows + place[begin]), pa.array(lows + place[end])], names=["sfx_key", "sfx_n", "low", "high"])
+
+    buckets = pieces.groupBy("gram").agg(F.collect_list(F.struct("sfx_key", "sfx_n", "low", "sure", "bytes")).alias("members"))
+    return buckets.select("members").mapInArrow(rows, "sfx_key long, sfx_n long, low long, high long")
+
+
+def large_buckets(pieces: DataFrame) -> DataFrame:
+    """The same for larger buckets, whose strings are sorted by Spark: halves first, then the strings of those that aren't alone."""
+    strings = written(half_rows(pieces))
+    shared = strings.groupBy("gram", "half").agg(F.count("*").alias("members")).where("members > 1").select("gram", "half")
+    single = strings.join(shared, ["gram", "half"]).select("gram", "sfx_key", "sfx_n", "start", "sure", F.posexplode("names").alias("at", "name"))
+    twice = single.groupBy("gram", "name").agg(F.count("*").alias("members")).where("members > 1").select("gram", "name")
+    found = single.where(~F.col("sure")).join(twice, ["gram", "name"]).select("sfx_key", "sfx_n", (F.col("start") + F.col("at")).alias("low"))
+    return found.withColumn("high", F.col("low"))
+
+
+def half_rows(pieces: DataFrame) -> DataFrame:
+    """gram, half, sfx_key, sfx_n, start, sure, names: each piece in halves. half: the identifier of what all its strings
+    share; names: those of its strings, from `start` on."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {c: [] for c in schema.names}
+            for gram, key, n, low, sure, data in zip(*(batch.column(c) for c in ("gram", "sfx_key", "sfx_n", "low", "sure", "bytes")), strict=True):
+                raw = np.frombuffer(data.as_buffer(), dtype=np.uint8)
+                ids, strings = identifiers(raw), len(raw) - LENGTH + 1
+                place = int(np.flatnonzero(ids[GRAM].view(np.int64) == gram.as_py())[0])
+                # strings that start SIDE or more before the gram share what begins there, the others what follows it
+                middle = max(0, min(strings, place - SIDE + 1))
+                for a, b, at, length in ((0, middle, place - SIDE, SIDE + GRAM), (middle, strings, place, LENGTH - SIDE + 1)):
+                    if a < b:
+                        half = any_identifier(ids, np.array([at]), np.array([length])).view(np.int64)[0]
+                        row = (gram.as_py(), half, key.as_py(), n.as_py(), low.as_py() + a, sure.as_py(), ids[LENGTH][a:b].view(np.int64))
+                        for c, x in zip(out, row, strict=True):
+                            out[c].append(x)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     schema = pa.schema([("gram", pa.int64()), ("half", pa.int64()), ("sfx_key", pa.int64()), ("sfx_n", pa.int64()), ("start", pa.int64()), ("sure", pa.bool_()), ("names", pa.list_(pa.int64()))])
-    return texts.mapInArrow(rows, "gram long, half long, sfx_key long, sfx_n long, start long, sure boolean, names array<long>")
+    return pieces.select("gram", "sfx_key", "sfx_n", "low", "sure", "bytes").mapInArrow(rows, "gram long, half long, sfx_key long, sfx_n long, start long, sure boolean, names array<long>")
 
 
 def repeats(documents: DataFrame) -> DataFrame:
@@ -174,25 +213,23 @@ def repeats(documents: DataFrame) -> DataFrame:
     kept = written(blocks.join(common, "gram").groupBy("gram", "name", "sfx_key", "sfx_n", "low", "high").agg(F.count("*").alias("copies")))
     classes = written(kept.groupBy("gram", "name").agg(F.sum("copies").alias("members"), F.min(F.struct("sfx_key", "sfx_n", "low", "high")).alias("one")))
     repeated = kept.join(classes.where("members > 1").select("gram", "name"), ["gram", "name"]).select("sfx_key", "sfx_n", "low", "high")
-    several = classes.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1").select("gram")
-    open_blocks = classes.join(several, "gram").select("one.*", (F.col("members") > 1).alias("sure"))
-    strings = written(half_rows(_with_blocks(documents, open_blocks)))
-    shared = strings.groupBy("gram", "half").agg(F.count("*").alias("members")).where("members > 1").select("gram", "half")
-    single = strings.join(shared, ["gram", "half"]).select("gram", "sfx_key", "sfx_n", "start", "sure", F.posexplode("names").alias("at", "name"))
-    twice = single.groupBy("gram", "name").agg(F.count("*").alias("members")).where("members > 1").select("gram", "name")
-    more = single.where(~F.col("sure")).join(twice, ["gram", "name"]).select("sfx_key", "sfx_n", (F.col("start") + F.col("at")).alias("low"))
-    spans = repeated.unionByName(more.withColumn("high", F.col("low")))
+    several = classes.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1")
+    open_blocks = classes.join(several, "gram").select("gram", "one.*", (F.col("members") > 1).alias("sure"), (F.col("classes") <= SMALL).alias("small"))
+    pieces = written(_pieces(documents, open_blocks))
+    more = small_buckets(pieces.where("small")).unionByName(large_buckets(pieces.where("not small")))
+    spans = repeated.unionByName(more)
     return spans.groupBy("sfx_key", "sfx_n").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
 
 
-def _with_blocks(documents: DataFrame, open_blocks: DataFrame) -> DataFrame:
-    """sfx_key, sfx_n, text, blocks: each text that has open blocks, once."""
-    lists = open_blocks.groupBy("sfx_key", "sfx_n").agg(F.collect_list(F.struct("low", "high", "sure")).alias("blocks"))
+def _pieces(documents: DataFrame, open_blocks: DataFrame) -> DataFrame:
+    """open_blocks with their bytes. Of texts that are equal, one is read."""
+    lists = open_blocks.groupBy("sfx_key", "sfx_n").agg(F.collect_list(F.struct("gram", "low", "high", "sure", "small")).alias("blocks"))
     one_each = documents.groupBy("sfx_key", "sfx_n").agg(F.min("doc_id").alias("sfx_doc"))
     wanted = lists.join(one_each, ["sfx_key", "sfx_n"])
     same = (documents["sfx_key"] == wanted["sfx_key"]) & (documents["sfx_n"] == wanted["sfx_n"]) & documents["doc_id"].eqNullSafe(wanted["sfx_doc"])
-    texts = documents.join(wanted, same).select(documents["sfx_key"], documents["sfx_n"], "text", "blocks")
-    return texts.dropDuplicates(["sfx_key", "sfx_n"])
+    texts = documents.join(wanted, same).select(documents["sfx_key"], documents["sfx_n"], "text", "blocks").dropDuplicates(["sfx_key", "sfx_n"])
+    each = texts.select("sfx_key", "sfx_n", F.col("text").cast("binary").alias("text"), F.explode("blocks").alias("b"))
+    return each.select("sfx_key", "sfx_n", "b.gram", "b.low", "b.sure", "b.small", F.substring("text", F.col("b.low").cast("int") + 1, (F.col("b.high") - F.col("b.low") + LENGTH).cast("int")).alias("bytes"))
 
 
 def without_repeats(documents: DataFrame, characters: bool = False) -> DataFrame:
@@ -220,6 +257,7 @@ def without_repeats(documents: DataFrame, characters: bool = False) -> DataFrame
         columns = [pa.array([x[i] for x in numbers], pa.int64()) for i in range(3)]
         return pa.StructArray.from_arrays([*columns, pa.array(kept, pa.binary())], names=["n_bytes", "n_removed", "n_spans", "kept"])
 
+    tidy(documents.sparkSession)
     text = F.coalesce("text", F.lit(""))
     keyed = documents.withColumn("sfx_key", F.xxhash64(text)).withColumn("sfx_n", F.octet_length(text).cast("long"))
     spans = repeats(keyed.select("doc_id", text.alias("text"), "sfx_key", "sfx_n"))
