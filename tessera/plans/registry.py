@@ -5,7 +5,10 @@ operator, and returns its result."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,7 @@ from tessera.plans import analytics as A
 from tessera.schema import ClassSpec, Schema, Slot
 from tessera.sinks import tables as W
 from tessera.sources import readers as R
+from tessera.streaming import ingest as I
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -624,3 +628,102 @@ def value_counts(spark, sf):
 @registered("SELECT count(*) AS rows, count(DISTINCT l_orderkey) AS distinct_l_orderkey, count(DISTINCT l_partkey) AS distinct_l_partkey FROM lineitem")
 def spot_check(spark, sf):
     return validation.spot_check(load(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
+
+
+# -- reads and writes of files: what a query writes goes to the shared checkpoint folder ----------------------------------------------
+
+
+def _folder(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="checkpoint-")
+    return f"{base.rstrip('/')}/files/{uuid.uuid4().hex}"
+
+
+@registered("SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority LIKE '1%'")
+def collection_scan(spark, sf):
+    """Equality filters reach the scan."""
+    return R.read_collection(spark, f"{sf}/orders.parquet", "parquet", o_orderstatus="F").where(F.col("o_orderpriority").startswith("1"))
+
+
+@registered("SELECT o_orderkey AS id, o_totalprice AS total, CAST(NULL AS VARCHAR) AS missing FROM orders")
+def bulk_flat(spark, sf):
+    """A flat JSON collection straight into its target columns."""
+    from pyspark.sql import types as T
+
+    path = _folder(spark)
+    load(spark, sf, "orders").select(F.lit("x").alias("_id"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("total"), F.col("o_orderstatus").alias("extra")).write.json(path)
+    return R.read_flat(spark, path, T.StructType([T.StructField("id", T.LongType()), T.StructField("total", T.DoubleType()), T.StructField("missing", T.StringType())]))
+
+
+@registered("SELECT CAST(p_partkey AS VARCHAR) AS name, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS brand, CASE WHEN p_partkey % 2 = 1 THEN p_type END AS kind FROM part")
+def headered_tsv(spark, sf):
+    """Two ages of a headered file: a column was renamed, another replaced."""
+    p, path = load(spark, sf, "part"), _folder(spark)
+    old = p.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("user_name"), F.col("p_brand").alias("brand"))
+    new = p.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("name"), F.col("p_type").alias("kind"))
+    for name, df in (("old", old), ("new", new)):
+        df.write.option("sep", "\t").option("header", True).csv(f"{path}/{name}")
+    return R.read_drifting(spark, [f"{path}/old", f"{path}/new"], {"user_name": "name"})
+
+
+@registered("SELECT CAST(l_orderkey AS VARCHAR) AS a_key, string_agg(CAST(l_linenumber AS VARCHAR), '|' ORDER BY l_linenumber) AS lines FROM lineitem GROUP BY 1")
+def csv_export(spark, sf):
+    path = _folder(spark)
+    W.write_csv(load(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("lines")).withColumnRenamed("l_orderkey", "a_key"), path)
+    return spark.read.option("header", True).csv(path)
+
+
+@registered("SELECT 'order_set' AS \"table\", count(*) AS rows FROM orders UNION ALL SELECT 'order_set_lines', count(*) FROM lineitem UNION ALL SELECT 'order_set_parts', count(*) FROM lineitem WHERE l_partkey % 10 <> 0")
+def promote_table_set(spark, sf):
+    """A collection's primary and side tables, staged, checked, promoted over an older set, and counted where they lie."""
+    tables, root = flatten.flatten_all({"order_set": nested_orders(spark, sf)}, ORDERS), _folder(spark)
+    owned = tuple(n for n in tables if n != "order_set")
+    W.promote(spark, {"order_set": tables["order_set"].limit(1)}, root, "order_set", owned)
+    W.promote(spark, tables, root, "order_set", owned)
+    count = lambda n: spark.read.parquet(f"{root}/{n}").agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows")
+    return count("order_set").union(count("order_set_lines")).union(count("order_set_parts"))
+
+
+@registered("SELECT 1 AS run, count(*) FILTER (l_orderkey % 17 <> 0) AS rows, count(*) FILTER (l_orderkey % 17 = 0) AS rejects FROM lineitem UNION ALL SELECT 2, count(*) FILTER (l_orderkey % 17 <> 0), count(*) FILTER (l_orderkey % 17 = 0) FROM lineitem")
+def ingest_incremental(spark, sf):
+    """Files of an 11-column table are ingested by a stream; a second run, without the first one's checkpoint, adds nothing."""
+    path = _folder(spark)
+    _blast_lines(spark, sf).select("value").write.text(f"{path}/in")
+    counts = []
+    for run in (1, 2):
+        I.ingest(spark, f"{path}/in", R.blast, f"{path}/out", f"{path}/bad", f"{path}/checkpoint{run}").awaitTermination()
+        size = lambda n: spark.read.parquet(f"{path}/{n}").count()  # noqa: B023, E731
+        counts.append((run, size("out"), size("bad")))
+    return spark.createDataFrame(counts, "run int, rows long, rejects long")
+
+
+@registered("SELECT 'nation' AS \"table\", 'missing' AS status UNION ALL SELECT 'orders', 'changed' UNION ALL SELECT 'part', 'unexpected'")
+def manifest_check(spark, sf):
+    """A manifest recomputed over other tables: what is missing, changed and unexpected."""
+    t = {n: load(spark, sf, n) for n in ("customer", "nation", "orders", "part")}
+    sealed = snapshot.manifest({n: t[n] for n in ("customer", "nation", "orders")}, snapshot.inventory({n: t[n] for n in ("customer", "nation", "orders")}).select("table", "rows"))
+    return snapshot.differences(sealed, snapshot.inventory({"customer": t["customer"], "orders": t["orders"].where("o_orderkey <> 1"), "part": t["part"]}))
+
+
+@registered("SELECT event_type || 'x' AS value, event_type AS suggestion FROM events GROUP BY 1, 2")
+def enum_suggestions(spark, sf):
+    e = load(spark, sf, "events")
+    known = e.select(F.col("event_type").alias("v"))
+    return S.suggestions(known.withColumn("v", F.concat("v", F.lit("x"))), known.distinct(), "v").where("place = 1").select("value", "suggestion")
+
+
+@registered(f"{_WALK.replace('FROM orders\n', 'FROM orders WHERE o_orderstatus = ' + chr(39) + 'F' + chr(39) + chr(10))} SELECT w.origin, r_name, min(hops) AS n_hops FROM w JOIN region ON w.id = 'r' || r_regionkey GROUP BY 1, 2")
+def walk_chosen(spark, sf):
+    """The walk from a chosen set of runs, with the terminals' own columns."""
+    seeds = load(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.concat(F.lit("o"), "o_orderkey").alias("origin"))
+    hops = graph.min_hops(graph.walk(provenance(spark, sf), seeds, F.col("id").startswith("r")))
+    region = load(spark, sf, "region").select(F.concat(F.lit("r"), "r_regionkey").alias("terminal_id"), "r_name")
+    return hops.join(region, "terminal_id").select("origin", "r_name", "n_hops")
+
+
+@registered("SELECT event_type AS name, count(*) AS rows FROM events GROUP BY 1")
+def tables_by_type(spark, sf):
+    """One output for each type."""
+    e = load(spark, sf, "events")
+    kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())
+    parts = [d.agg(F.count("*").alias("rows")).select(F.lit(n).alias("name"), "rows") for n, d in W.nonempty_tables(W.by_type(e, "event_type", kinds)).items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
