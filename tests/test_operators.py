@@ -159,19 +159,19 @@ def test_managed_tables(spark):
 
 
 def test_walk(spark):
-    links = [("r1", "a"), ("a", "bsm1"), ("r2", "p"), ("p", "bsm1"), ("p", "bsm2"), ("r3", "x"), ("x", "y"), ("y", "bsm3"), ("x", "bsm3"), ("r4", "c"), ("c", "d"), ("d", "c"), ("bsm1", "never")]
+    links = [("r1", "a"), ("a", "end1"), ("r2", "p"), ("p", "end1"), ("p", "end2"), ("r3", "x"), ("x", "y"), ("y", "end3"), ("x", "end3"), ("r4", "c"), ("c", "d"), ("d", "c"), ("end1", "never")]
     edges = spark.createDataFrame([(a, b, "s") for a, b in links], "src string, next_id string, slot string")
     seeds = spark.createDataFrame([(f"r{i}",) for i in range(1, 6)], "origin string")
-    end = F.col("id").startswith("bsm")
+    end = F.col("id").startswith("end")
     reached = graph.walk(edges, seeds, end)
-    want = {("r1", "bsm1", 2), ("r2", "bsm1", 2), ("r2", "bsm2", 2), ("r3", "bsm3", 2)}
+    want = {("r1", "end1", 2), ("r2", "end1", 2), ("r2", "end2", 2), ("r3", "end3", 2)}
     assert {tuple(r) for r in graph.min_hops(reached).collect()} == want
-    assert {tuple(r) for r in graph.walk_recursive(spark, edges, seeds, "id LIKE 'bsm%'").collect()} == want
+    assert {tuple(r) for r in graph.walk_recursive(spark, edges, seeds, "id LIKE 'end%'").collect()} == want
     assert {tuple(r) for r in graph.walk(edges.repartition(7), seeds, end, 1).where("terminal").collect()} == set()
-    types = spark.createDataFrame([("a", "Pooling"), ("p", "Pooling"), ("x", "Other"), ("bsm1", "Extraction")], "id string, type string")
+    types = spark.createDataFrame([("a", "Pooling"), ("p", "Pooling"), ("x", "Other"), ("end1", "Extraction")], "id string, type string")
     origins = spark.createDataFrame([("r1", "W"), ("r2", "W")], "origin string, origin_type string")
     table = {(r["origin"], r["terminal_id"]): (r["origin_type"], r["n_hops"], r["has_p"], r["has_e"]) for r in graph.bridge(reached, types, origins, {"Pooling": "has_p", "Extraction": "has_e"}).collect()}
-    assert table == {("r1", "bsm1"): ("W", 2, True, False), ("r2", "bsm1"): ("W", 2, True, False), ("r2", "bsm2"): ("W", 2, True, False), ("r3", "bsm3"): (None, 2, False, False)}
+    assert table == {("r1", "end1"): ("W", 2, True, False), ("r2", "end1"): ("W", 2, True, False), ("r2", "end2"): ("W", 2, True, False), ("r3", "end3"): (None, 2, False, False)}
     assert [tuple(r) for r in graph.unknown_types(types, ("Pooling", "Extraction")).collect()] == [("Other", 1)]
 
 
