@@ -5,9 +5,10 @@
 2. Inverted lists of retained values generate overlaps. Two sets over the threshold share at least c(n) retained values, so values
    are put in one global order, rarest first, and each class enters the lists of its first |sketch| - c(n) + 1 values only: two
    such sets still meet in at least one list, and frequent word pairs or passages hardly ever enter one.
-3. A list isn't expanded into all pairs at once. First every member meets the list's hub (the member with fewest values of its
-   own, as the original of copies is); pairs whose union-sketch estimate is too low go, the rest is verified by the exact
-   Jaccard similarity on full sets. Then only members of lists that are in different components meet each other.
+3. A list isn't expanded into all pairs. Every member meets the list's hub (the member with fewest values of its own, as the
+   original of copies is); pairs whose union-sketch estimate is too low go, the rest is measured exactly on full sets. Members
+   near a hub meet each other by what they add to it and what they lack, with a prefix and a positional filter on these differences, and
+   only if they aren't linked to it already. Members that are far from the hub meet those that aren't linked to it.
 4. Components of verified links.
 
 Losslessness: with n shingles in the smaller set, at most n/4 of the union are outside the intersection, so for sets that the
@@ -27,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table, written
+from tessera.llm.common import table, tidy, written
 from tessera.llm.components import components
 from tessera.llm.shingles import digest, shingle_set, word_hashes
 
 K = 64
 #: Fewest values that sketches of similar sets share, if these are far larger than a sketch.
 LEAST = 28
+#: The same for sets that are linked to one and the same set, whose similarity is 0.6 or more.
+LEAST_WIDE = 15
 PERCENT = 80
 
 
@@ -75,6 +78,12 @@ def full_sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return chosen.mapInArrow(rows, "cid long, shingles array<long>").dropDuplicates(["cid"])
 
 
+def sets_of(documents: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """The full sets of the classes that pairs need."""
+    members = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+    return written(full_sets(documents, classes.join(members, "cid", "left_semi").select("rep", "cid", "h1", "h2"), width))
+
+
 def shared_at_least(n: Column, percent: int, k: int, least: int) -> Column:
     """c(n): retained values that a set of n shingles shares with every set that is similar enough."""
     outside = F.floor(n * (100 - percent) / percent)
@@ -95,21 +104,62 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
-def hub_pairs(lists: DataFrame, percent: int) -> DataFrame:
+def with_hubs(lists: DataFrame) -> DataFrame:
+    """lists of several members with hub and nh: the member with fewest values of its own, and its number of shingles."""
+    hubs = lists.groupBy("value").agg(F.min(F.struct("own", "cid", "n")).alias("h"), F.count("*").alias("members")).where("members > 1")
+    return lists.join(hubs.select("value", F.col("h.cid").alias("hub"), F.col("h.n").alias("nh")), "value")
+
+
+def stars(listed: DataFrame, wide: int) -> DataFrame:
     """a, b: every member of a list with the list's hub; as many rows as members at most."""
-    hubs = lists.groupBy("value").agg(F.min(F.struct("own", "cid", "n")).alias("hub"), F.count("*").alias("members")).where("members > 1")
-    met = lists.join(hubs, "value").select(F.col("hub.cid").alias("x"), F.col("hub.n").alias("nx"), F.col("cid").alias("y"), F.col("n").alias("ny"))
-    fit = met.where((F.col("x") != F.col("y")) & _sizes_fit("nx", "ny", percent))
-    return fit.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def cross_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """a, b: members of a list that are in different components. Lists within one component give none."""
-    labeled = lists.join(labels, F.col("cid") == F.col("node"), "left").select("value", "cid", "n", F.coalesce("label", "cid").alias("label"))
-    open_lists = labeled.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("value")
-    left = labeled.join(open_lists, "value", "left_semi")
-    right = left.select("value", F.col("cid").alias("cid2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
-    met = left.join(right, "value").where((F.col("cid") < F.col("cid2")) & (F.col("label") != F.col("label2")) & _sizes_fit("n", "n2", percent))
+    fit = listed.where((F.col("hub") != F.col("cid")) & _sizes_fit("nh", "n", wide))
+    return fit.select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
+
+
+def by_difference(near: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs around one hub that may be linked, found by how the two differ from it.
+
+    near: a (hub), b, na, nb, linked. A member's difference is what it adds to the hub's shingles and what it lacks. Linked sets
+    differ in at most r * (na + nb) shingles, r = (100 - percent) / (100 + percent), so their differences from the hub share at
+    least half of what these have together beyond that. Pairs of members that are both linked to the hub are in its component; if one isn't,
+    the other shares (1 - r) / 2 of its difference or more: a prefix filter, with tokens rarest first, and a positional filter."""
+    open_hubs = near.where("not linked").select("a").distinct()
+    side = lambda name: sets.select(F.col("cid").alias(name), F.col("shingles").alias(f"s{name}"))
+    both = near.join(open_hubs, "a", "left_semi").join(side("a"), "a").join(side("b"), "b")
+    tokens = F.concat(F.array_except("sb", "sa"), F.transform(F.array_except("sa", "sb"), lambda x: -1 - x))
+    rows = both.select(F.col("a").alias("hub"), F.col("b").alias("cid"), F.col("nb").alias("n"), "linked", tokens.alias("tokens"))
+    named = rows.join(labels, F.col("cid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cid")).drop("node")
+    differing = written(named.where(F.size("tokens") > 0).withColumn("d", F.size("tokens")))
+    each = differing.select("hub", "cid", "n", "linked", "label", "d", F.explode("tokens").alias("token"))
+    common = each.groupBy("hub", "token").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = each.join(common, ["hub", "token"]).groupBy("hub", "cid", "n", "linked", "label", "d").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+    placed = ranked.select("hub", "cid", "n", "linked", "label", "d", (F.col("d") - F.size("ranked")).alias("alone"), F.posexplode("ranked").alias("at", "r"))
+    placed = written(placed.select("hub", "cid", "n", "linked", "label", "d", (F.col("alone") + F.col("at")).alias("at"), F.col("r.token").alias("token")))
+    q, r = 100 + percent, 100 - percent
+    fewest = F.greatest(F.lit(1), F.col("d") - F.floor(F.col("n") * r / percent))
+    probes = placed.where(~F.col("linked") & (F.col("at") <= F.col("d") - fewest))
+    half = F.ceil(F.col("d") * (q - r) / (2 * q))
+    found = placed.where(F.col("at") <= F.col("d") - half).select("hub", "token", *[F.col(c).alias(f"{c}2") for c in ("cid", "n", "linked", "label", "d", "at")])
+    most = F.least(F.col("d") - F.col("at"), F.col("d2") - F.col("at2"))
+    enough = 2 * most * q >= (F.col("d") + F.col("d2")) * q - (F.col("n") + F.col("n2")) * r
+    once = F.col("linked2") | (F.col("cid") < F.col("cid2"))
+    met = probes.join(found, ["hub", "token"]).where((F.col("cid") != F.col("cid2")) & (F.col("label") != F.col("label2")) & once & _sizes_fit("n", "n2", percent) & enough)
+    return met.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
+
+
+def cross_pairs(listed: DataFrame, near: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """a, b: members of a list in different components that its hub says nothing about.
+
+    A set linked to one that is linked to the hub is near the hub itself (distances add up), so members linked to the hub needn't be
+    met here, nor pairs that are both near it."""
+    around = near.select(F.col("a").alias("hub"), F.col("b").alias("cid"), "linked")
+    known = listed.where(F.col("hub") != F.col("cid")).join(around, ["hub", "cid"], "left").where(~F.coalesce("linked", F.lit(False)))
+    rest = known.select("value", "cid", "n", F.col("linked").isNotNull().alias("near")).join(labels, F.col("cid") == F.col("node"), "left")
+    rest = rest.select("value", "cid", "n", "near", F.coalesce("label", "cid").alias("label"))
+    open_lists = rest.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("near").alias("all_near")).where("low < high and not all_near").select("value")
+    left = rest.join(open_lists, "value", "left_semi")
+    right = left.select("value", *[F.col(c).alias(f"{c}2") for c in ("cid", "n", "near", "label")])
+    met = left.join(right, "value").where((F.col("cid") < F.col("cid2")) & (F.col("label") != F.col("label2")) & ~(F.col("near") & F.col("near2")) & _sizes_fit("n", "n2", percent))
     return met.select(F.col("cid").alias("a"), F.col("cid2").alias("b")).distinct()
 
 
@@ -123,27 +173,34 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int, least:
     return both.withColumn("union", union).where(F.when(whole, shared * 100 >= F.size("union") * percent).otherwise(shared >= least)).select("a", "b")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose exact Jaccard similarity on full sets is at least `percent` hundredths."""
+def measured(pairs: DataFrame, sets: DataFrame, percent: int, wide: int) -> DataFrame:
+    """a, b, na, nb, linked: pairs whose exact Jaccard similarity on full sets is at least `wide` hundredths; linked: at least `percent`."""
     side = lambda name: sets.select(F.col("cid").alias(name), F.col("shingles").alias(f"s{name}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("a", "b")
+    sized = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
+    reach = lambda p: F.col("shared") * 100 >= (F.col("na") + F.col("nb") - F.col("shared")) * p
+    return sized.where(reach(wide)).select("a", "b", "na", "nb", reach(percent).alias("linked"))
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = PERCENT, k: int = K, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of documents (doc_id, text)."""
+    tidy(documents.sparkSession)
     rows = written(sketches(documents, width, k))
     named = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
     # ids are read from the written table, so that every later use sees the same
     classes = written(named.withColumn("cid", F.monotonically_increasing_id()))
     lists = written(inverted_lists(classes, percent, k, least))
-    members = lists.select("cid").distinct()
-    wanted = classes.join(members, "cid", "left_semi").select("rep", "cid", "h1", "h2")
-    sets = written(full_sets(documents, wanted, width))
-    links = written(verified(estimated(hub_pairs(lists, percent), classes, percent, k, least), sets, percent))
+    wide = max(1, 2 * percent - 100)
+    listed = written(with_hubs(lists))
+    likely = written(estimated(stars(listed, wide), classes, wide, k, LEAST_WIDE))
+    sets = sets_of(documents, classes, likely, width)
+    near = written(measured(likely, sets, percent, wide))
+    linked = lambda d: d.where("linked").select("a", "b")
+    links = linked(near)
     labels = components(links)
-    more = written(verified(estimated(cross_pairs(lists, labels, percent), classes, percent, k, least), sets, percent))
+    around = measured(by_difference(near, labels, sets, percent), sets, percent, percent)
+    likely = written(estimated(cross_pairs(listed, near, labels, percent), classes, percent, k, least))
+    more = written(linked(around.unionByName(measured(likely, sets_of(documents, classes, likely, width), percent, percent))))
     if not more.isEmpty():
         labels = components(links.union(more))
     grouped = classes.join(labels, F.col("cid") == F.col("node"), "left").select("h1", "h2", "n", "rep", F.coalesce("label", "cid").alias("label"))
