@@ -42,7 +42,7 @@ GRAM = 64
 #: Strings of a block are halved by whether they start so many bytes before its 64-gram, or more.
 SIDE = (LENGTH - GRAM) // 2
 #: Buckets of at most so many classes are refined in one task, larger ones by Spark.
-SMALL = 512
+SMALL = 8192
 #: String starts that are worked on at once; with what they look ahead, less than 2^16.
 PART = 1 << 15
 _M = byte_table(7) | np.uint64(1)
@@ -145,8 +145,14 @@ def small_buckets(pieces: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, len(batch), 256):
-                lists = batch.column("members").slice(first, 256)
+            every = batch.column("members")
+            ends = np.cumsum(np.diff(every.offsets.to_numpy()))
+            first = 0
+            while first < len(every):
+                # whole buckets of some 8,000 classes, or one
+                last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + SMALL, side="right")))
+                lists = every.slice(first, last - first)
+                first = last
                 flat = lists.flatten()
                 bucket = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
                 key, n, low, sure, data = (flat.field(c) for c in ("sfx_key", "sfx_n", "low", "sure", "bytes"))
@@ -209,16 +215,18 @@ def repeats(documents: DataFrame) -> DataFrame:
     documents: doc_id, text, sfx_key, sfx_n."""
     blocks = block_rows(documents)
     common = blocks.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1").select("gram")
-    # exact copies are one row from here on, with their number
-    kept = written(blocks.join(common, "gram").groupBy("gram", "name", "sfx_key", "sfx_n", "low", "high").agg(F.count("*").alias("copies")))
-    classes = written(kept.groupBy("gram", "name").agg(F.sum("copies").alias("members"), F.min(F.struct("sfx_key", "sfx_n", "low", "high")).alias("one")))
+    # written as joined, so that Spark may split a hot gram; counts are summed before they are shuffled
+    kept = written(blocks.join(common, "gram"))
+    classes = written(kept.groupBy("gram", "name").agg(F.count("*").alias("members"), F.min(F.struct("sfx_key", "sfx_n", "low", "high")).alias("one")))
     repeated = kept.join(classes.where("members > 1").select("gram", "name"), ["gram", "name"]).select("sfx_key", "sfx_n", "low", "high")
     several = classes.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1")
     open_blocks = classes.join(several, "gram").select("gram", "one.*", (F.col("members") > 1).alias("sure"), (F.col("classes") <= SMALL).alias("small"))
     pieces = written(_pieces(documents, open_blocks))
     more = small_buckets(pieces.where("small")).unionByName(large_buckets(pieces.where("not small")))
     spans = repeated.unionByName(more)
-    return spans.groupBy("sfx_key", "sfx_n").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
+    # a set, as exact copies have the same spans
+    sets = spans.groupBy("sfx_key", "sfx_n").agg(F.collect_set(F.struct("low", "high")).alias("found"))
+    return sets.select("sfx_key", "sfx_n", F.col("found.low").alias("lows"), F.col("found.high").alias("highs"))
 
 
 def _pieces(documents: DataFrame, open_blocks: DataFrame) -> DataFrame:
