@@ -13,7 +13,7 @@
 
 Losslessness: with n shingles in the smaller set, at most n/4 of the union are outside the intersection, so for sets that the
 sketches hold whole, or up to n/4 < k, the bound c(n) is certain. Beyond, the number of shared values among the union's k
-smallest is binomial with mean 0.8 k or more; for k = 64 it is under 28 with a probability below 1e-8, and so is the estimate.
+smallest is binomial with mean 0.8 k or more; for k = 96 it is under 52 with a probability below 1e-8, and so is the estimate.
 
 Nulls: a null text is empty; a document without words has 0 shingles and is linked with nothing. A null doc_id stays null
 and is no component's id unless all are null. Repeated rows and ids are members of one class or another like any document.
@@ -32,11 +32,11 @@ from tessera.llm.common import table, tidy, written
 from tessera.llm.components import components
 from tessera.llm.shingles import digest, shingle_set, word_hashes
 
-K = 64
+K = 96
 #: Fewest values that sketches of similar sets share, if these are far larger than a sketch.
-LEAST = 28
+LEAST = 52
 #: The same for sets that are linked to one and the same set, whose similarity is 0.6 or more.
-LEAST_WIDE = 15
+LEAST_WIDE = 28
 PERCENT = 80
 
 
