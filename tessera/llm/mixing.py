@@ -103,14 +103,19 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: in
         counted.withColumn("mix_left", F.col("mix_target") - F.sum("mix_sure").over(of_source))
         .where(F.col("mix_at").isNotNull())
         .withColumn("mix_before", F.coalesce(F.sum("mix_words").over(up_to), F.lit(0)))
-        .select("mix_source", "mix_at", "mix_left", "mix_before", (F.col("mix_before") + F.col("mix_words") <= F.col("mix_left")).alias("mix_all"), (F.col("mix_before") > F.col("mix_left")).alias("mix_none"))
+        .where(F.col("mix_before") + F.col("mix_words") > F.col("mix_left"))
+        # one row for each source: the first bin that isn't taken as a whole
+        .groupBy("mix_source")
+        .agg(F.min(F.struct("mix_at", "mix_before", "mix_left")).alias("mix_cut"))
     )
-    placed = drawn.join(border, F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_bin") == F.col("mix_at")), "left").drop("mix_source", "mix_at")
-    split = F.coalesce(~F.col("mix_all") & ~F.col("mix_none"), F.lit(False))
+    placed = drawn.join(border, F.col("source").eqNullSafe(F.col("mix_source")), "left").drop("mix_source")
+    cut, at = F.col("mix_cut.mix_at"), F.col("mix_bin")
+    split = F.coalesce((at == cut) & (F.col("mix_cut.mix_before") <= F.col("mix_cut.mix_left")), F.lit(False))
+    below = at.isNotNull() & (cut.isNull() | (at < cut))
     inside = Window.partitionBy("source", "mix_bin").orderBy("mix_rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    middle = F.col("mix_before") + F.sum("size").over(inside) - F.col("size") / 2
-    sure = placed.where(~split).withColumn("mix_more", F.coalesce(F.col("mix_all"), F.lit(False)))
-    last = placed.where(split).withColumn("mix_more", middle <= F.col("mix_left"))
+    middle = F.col("mix_cut.mix_before") + F.sum("size").over(inside) - F.col("size") / 2
+    sure = placed.where(~split).withColumn("mix_more", F.coalesce(below, F.lit(False)))
+    last = placed.where(split).withColumn("mix_more", middle <= F.col("mix_cut.mix_left"))
     chosen = sure.unionByName(last)
     return chosen.withColumn("copies", F.col("mix_whole") + F.col("mix_more").cast("long")).drop(*[c for c in chosen.columns if c.startswith("mix_")])
 
