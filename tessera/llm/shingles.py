@@ -26,6 +26,8 @@ CHUNK = 1 << 21
 def words_of(raw: np.ndarray, starts_of_texts: np.ndarray, values: np.ndarray = _VALUE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first bytes) of the words of `raw`; a word ends at a blank and at the end of a text. values: a random
     number for each byte, 0 for blanks."""
+    if not len(raw):
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     blank = _BLANK[raw]
     before = np.empty(len(raw), dtype=bool)
     before[0], before[1:] = True, blank[:-1]

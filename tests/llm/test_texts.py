@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tessera.llm import bpe, licenses, minhash, mixing, quality, shingles, suffixes
 from tests.llm.fixtures import TEXT, documents, prose
 
@@ -113,6 +114,14 @@ def test_word_hashes_of_long_texts_are_those_of_parts(monkeypatch):
 
 
 
+def test_partitions_of_only_null_and_empty_texts(spark):
+    docs = spark.createDataFrame([(1, None, "en", "s", 0), (2, "", "en", "s", 0), (3, "", "en", "s", 0), (4, None, "en", "s", 0)], TEXT).coalesce(1)
+    got = minhash.near_duplicates(docs, width=2).collect()
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got} == {(i, 0, i, True) for i in range(1, 5)}
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, "")
+    assert {r["doc_id"] for r in kept.collect()} == {1, 2, 3, 4}
+
+
 def tokenizer_files():
     import public_tokenizers
 
