@@ -5,7 +5,7 @@ Hosts that no rule decides on get the verdict of the link graph: personalised Pa
 links, and from blocked hosts against them (who links to bad hosts is suspect). A host is blocked if its distrust reaches
 `least` and is more than its trust.
 
-Only the set of host edges goes through the iterations, each one join and one sum; links are made distinct per host pair
+Only the set of host edges goes through the iterations, each one join and one sum, until ranks converge; links are made distinct per host pair
 before, so a host with a third of all pages is one small row group. Ranks are whole numbers of `UNITS`, so that sums don't
 depend on order and reruns agree. DataFrame functions only.
 
@@ -24,11 +24,14 @@ from pyspark.sql import functions as F
 from tessera.llm.common import lower_ascii, table, written
 
 UNITS = 10**12
+#: Rounds between two tests of convergence.
 ROUNDS = 8
 #: Parts of a rank that follow links, in hundredths; the rest returns to the seeds.
 DAMPING = 85
 #: A host's distrust below this share of one seed's rank doesn't count, in thousandths.
 LEAST = 50
+#: Ranks have converged once a round changes all of them together by no more than this part of LEAST, in thousandths.
+STILL = 1
 HREF = r'(?i)href\s*=\s*"([^"]*)"'
 
 
@@ -79,18 +82,33 @@ def target_host(link: Column) -> Column:
     return lower_ascii(F.regexp_extract(link, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING) -> DataFrame:
-    """host, rank: personalised PageRank from `seeds` (host; each starts with UNITS) along edges (source, target)."""
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING, least: int = LEAST) -> DataFrame:
+    """host, rank: personalised PageRank from `seeds` (host; each starts with UNITS) along edges (source, target), iterated until it
+    converges. Every `rounds` rounds ranks are written, and the sum of the last round's changes comes to the driver.
+
+    A round shrinks the sum of all changes to `damping` hundredths at most, so that a host is no further from its final rank than
+    damping / (100 - damping) times the last sum; and what is left of the start after n rounds has a bound, at which the loop ends too."""
+    if not 0 <= damping < 100 or rounds < 1:
+        raise ValueError("damping must be from 0 to 99, and rounds 1 at least")
     degree = edges.groupBy("source").agg(F.count("*").alias("degree"))
     weighted = written(edges.join(degree, "source"))
     start = seeds.select("host", F.lit(UNITS).cast("long").alias("rank"))
-    ranks = start
-    for turn in range(rounds):
-        flow = weighted.join(ranks, weighted["source"] == ranks["host"]).select(F.col("target").alias("host"), F.expr(f"(rank * {damping} div 100) div degree").alias("rank"))
-        back = start.select("host", F.expr(f"rank * {100 - damping} div 100").alias("rank"))
-        ranks = flow.unionByName(back).groupBy("host").agg(F.sum("rank").alias("rank")).where("rank > 0")
-        if turn % 4 == 3:
-            ranks = written(ranks)
+    back = start.select("host", F.expr(f"rank * {100 - damping} div 100").alias("rank"), F.lit(0).cast("long").alias("before"))
+    still = max(1, UNITS * least // 1000 * STILL // 1000)
+    ranks, change, left = start, None, 2 * UNITS * start.count()
+    while left > still and (change is None or change > still):
+        for turn in range(rounds):
+            flow = weighted.join(ranks, weighted["source"] == ranks["host"]).select(F.col("target").alias("host"), F.expr(f"(rank * {damping} div 100) div degree").alias("rank"), F.lit(0).cast("long").alias("before"))
+            parts = flow.unionByName(back)
+            # only the last round is compared with the one before: ranks read twice in each would double the plan
+            if turn == rounds - 1:
+                parts = parts.unionByName(ranks.select("host", F.lit(0).cast("long").alias("rank"), F.col("rank").alias("before")))
+            summed = parts.groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before"))
+            ranks = summed.select("host", "rank").where("rank > 0")
+            left = left * damping // 100
+        summed = written(summed)
+        change = summed.agg(F.coalesce(F.sum(F.abs(F.col("rank") - F.col("before")).cast("decimal(38,0)")), F.lit(0))).first()[0]
+        ranks = summed.select("host", "rank").where("rank > 0")
     return ranks
 
 
@@ -102,9 +120,9 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int =
     # a host that rules judge both ways is a seed of neither
     trusted = hosts.where("trusted and not blocked").select("host")
     blocked = hosts.where("blocked and not trusted").select("host")
-    trust = propagate(edges, trusted, rounds, damping).withColumnRenamed("rank", "trust")
+    trust = propagate(edges, trusted, rounds, damping, least).withColumnRenamed("rank", "trust")
     against = edges.select(F.col("target").alias("source"), F.col("source").alias("target"))
-    distrust = propagate(against, blocked, rounds, damping).withColumnRenamed("rank", "distrust")
+    distrust = propagate(against, blocked, rounds, damping, least).withColumnRenamed("rank", "distrust")
     scores = trust.join(distrust, "host", "full").select(F.col("host").alias("of_host"), F.coalesce("trust", F.lit(0)).alias("trust"), F.coalesce("distrust", F.lit(0)).alias("distrust"))
     verdicts = scores.withColumn("bad", (F.col("distrust") >= UNITS * least // 1000) & (F.col("distrust") > F.col("trust")))
     slim = rows.select("page_id", "host", "path", "rule", "ruled")

@@ -171,3 +171,11 @@ def test_trust_keeps_hosts_that_good_hosts_link_to(spark):
     pages = [(i, f"http://good{i}.net/de/1", '<a href="http://shared.info/">') for i in range(5)] + [(10, "http://shared.info/x", '<a href="http://bad.org/es/">'), (11, "http://bad.org/es/", "")]
     got = {r["page_id"]: r for r in urls.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert got[10]["trust"] > got[10]["distrust"] > 0 and got[10]["verdict"] == "allow"
+
+
+def test_distrust_converges_along_a_chain(spark):
+    pages = [(i, f"http://h{i}.info/", f'<a href="http://h{i - 1}.info/">' if i > 1 else '<a href="http://bad.org/es/">') for i in range(1, 21)] + [(0, "http://bad.org/es/", "")]
+    got = {r["page_id"]: r for r in urls.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(21):
+        assert got[i]["distrust"] == pytest.approx(0.15 * 0.85**i * urls.UNITS, abs=1e-3 * 0.05 * urls.UNITS)
+    assert [i for i in range(21) if got[i]["verdict"] == "block"] == list(range(7))
