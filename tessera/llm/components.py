@@ -24,3 +24,15 @@ def components(links: DataFrame) -> DataFrame:
         labels = jumped.select("node", "label")
         if jumped.where("label < old").isEmpty():
             return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, label; every node once) after links (a, b) between nodes. Only what links make of labels is searched for components, so
+    many links between two components count as one."""
+    end = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"label_{name}"))
+    between = links.join(end("a"), "a").join(end("b"), "b").where("label_a != label_b")
+    found = written(between.select(F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")).distinct())
+    if found.isEmpty():
+        return labels
+    lower = components(found).select(F.col("node").alias("label"), F.col("label").alias("lowest"))
+    return written(labels.join(lower, "label", "left").select("node", F.coalesce("lowest", "label").alias("label")))

@@ -6,10 +6,13 @@
    are put in one global order, rarest first, and each class enters the lists of its first |sketch| - c(n) + 1 values only: two
    such sets still meet in at least one list, and frequent word pairs or passages hardly ever enter one.
 3. A list isn't expanded into all pairs. Every member meets the list's hub (the member with fewest values of its own, as the
-   original of copies is); pairs whose union-sketch estimate is too low go, the rest is measured exactly on full sets. Members
-   near a hub meet each other by what they add to it and what they lack, with a prefix and a positional filter on these differences, and
-   only if they aren't linked to it already. Members that are far from the hub meet those that aren't linked to it.
-4. Components of verified links.
+   original of copies is); pairs whose union-sketch estimate is too low go, the rest is measured exactly on full sets. Links join components,
+   and only members of different components go on. A list of at most FEW members gives its remaining pairs: a bounded number for each member.
+4. Members of larger lists (a passage, a group of near copies) enter finer lists, of all their shingles, rarest among them first:
+   a set that is at least `percent` similar to another meets it in the first n - ceil(n * percent / 100) + 1, with no doubt left, and the places of a shared
+   shingle in both bound what they share. What copies have of their own thus keeps them out of the lists of what all have. There too members
+   meet hubs first, in TURNS turns with other hubs, and each other only if they are still in different components.
+5. Components of verified links, joined up after each step: only links between components are kept.
 
 Losslessness: with n shingles in the smaller set, at most n/4 of the union are outside the intersection, so for sets that the
 sketches hold whole, or up to n/4 < k, the bound c(n) is certain. Beyond, the number of shared values among the union's k
@@ -29,15 +32,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table, tidy, written
-from tessera.llm.components import components
+from tessera.llm.components import merged
 from tessera.llm.shingles import digest, shingle_set, word_hashes
 
 K = 96
 #: Fewest values that sketches of similar sets share, if these are far larger than a sketch.
 LEAST = 52
-#: The same for sets that are linked to one and the same set, whose similarity is 0.6 or more.
-LEAST_WIDE = 28
 PERCENT = 80
+#: A list of so many members is expanded into pairs at once: half as many rows a member at most.
+FEW = 32
+#: Hubs that members of larger lists meet before they meet each other.
+TURNS = 3
 
 
 def sketches(documents: DataFrame, width: int, k: int = K) -> DataFrame:
@@ -90,77 +95,69 @@ def shared_at_least(n: Column, percent: int, k: int, least: int) -> Column:
     return F.when(n * 100 <= k * percent, F.ceil(n * percent / 100)).otherwise(F.greatest(F.lit(least), F.least(F.ceil(n * percent / 100), k - outside))).cast("int")
 
 
-def inverted_lists(classes: DataFrame, percent: int = PERCENT, k: int = K, least: int = LEAST) -> DataFrame:
-    """value, cid, n, own (share of retained values that no other class has): each class in the lists of its rarest values."""
-    held = classes.select("cid", "n", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
+def _entries(ranked: DataFrame) -> DataFrame:
+    """value, cid, n, own, left, least, whole from cid, n, held (values), least, ranked (values that others have too, rarest first): an entry for
+    each of the first held - least + 1 values, counting those that nobody else has first. left: values from this one on."""
+    alone = F.col("held") - F.size("ranked")
+    take = F.greatest(F.lit(0), F.col("held") - F.col("least") + 1 - alone)
+    placed = ranked.select("cid", "n", "held", "least", alone.alias("alone"), F.posexplode(F.slice("ranked", F.lit(1), take.cast("int"))).alias("at", "r"))
+    left = F.col("held") - F.col("alone") - F.col("at")
+    return placed.select(F.col("r.value").alias("value"), "cid", "n", (F.col("alone") / F.col("held")).alias("own"), left.alias("left"), "least", (F.col("held") == F.col("n")).alias("whole"))
+
+
+def _ranked(held: DataFrame) -> DataFrame:
+    """held (cid, n, held, least, value) by cid, with the values that two or more have, rarest first."""
     common = held.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = held.join(common, "value").groupBy("cid", "n", "held").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("ranked"))
-    own = F.col("held") - F.size("ranked")
-    take = F.greatest(F.lit(0), F.col("held") - shared_at_least(F.col("n"), percent, k, least) + 1 - own)
-    return ranked.select("cid", "n", (own / F.col("held")).alias("own"), F.explode(F.slice("ranked", F.lit(1), take)).alias("at")).select(F.col("at.value").alias("value"), "cid", "n", "own")
+    return held.join(common, "value").groupBy("cid", "n", "held", "least").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("ranked"))
 
 
-def _sizes_fit(a: str, b: str, percent: int) -> Column:
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def inverted_lists(classes: DataFrame, percent: int = PERCENT, k: int = K, least: int = LEAST) -> DataFrame:
+    """value, cid, n, own (share of retained values that no other class has), left, least, whole: each class in the lists of its rarest
+    retained values."""
+    c = shared_at_least(F.col("n"), percent, k, least)
+    return _entries(_ranked(classes.select("cid", "n", F.size("sketch").alias("held"), c.alias("least"), F.explode("sketch").alias("value"))))
 
 
-def with_hubs(lists: DataFrame) -> DataFrame:
-    """lists of several members with hub and nh: the member with fewest values of its own, and its number of shingles."""
-    hubs = lists.groupBy("value").agg(F.min(F.struct("own", "cid", "n")).alias("h"), F.count("*").alias("members")).where("members > 1")
-    return lists.join(hubs.select("value", F.col("h.cid").alias("hub"), F.col("h.n").alias("nh")), "value")
+def fine_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The same for full sets (cid, shingles): lists of the rarest shingles, certain to bring similar sets together."""
+    n = F.size("shingles").cast("long")
+    least = F.ceil(n * percent / 100).cast("int")
+    return _entries(_ranked(sets.select("cid", n.alias("n"), F.size("shingles").alias("held"), least.alias("least"), F.explode("shingles").alias("value"))))
 
 
-def stars(listed: DataFrame, wide: int) -> DataFrame:
-    """a, b: every member of a list with the list's hub; as many rows as members at most."""
-    fit = listed.where((F.col("hub") != F.col("cid")) & _sizes_fit("nh", "n", wide))
-    return fit.select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
+def _may_link(percent: int) -> Column:
+    """Whether entries l and r of a list may be of similar sets, by sizes and by the values from these places on."""
+    n, m, left = F.col("l.n"), F.col("r.n"), F.least("l.left", "r.left")
+    sizes = (n * 100 >= m * percent) & (m * 100 >= n * percent)
+    enough = (left >= F.greatest("l.least", "r.least")) & (~(F.col("l.whole") & F.col("r.whole")) | (left * (100 + percent) >= (n + m) * percent))
+    return sizes & enough
 
 
-def by_difference(near: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs around one hub that may be linked, found by how the two differ from it.
+def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """lists with label and members (of the list), without lists all of whose members have one label."""
+    tagged = lists.join(labels, F.col("cid") == F.col("node")).drop("node")
+    several = tagged.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members")).where("low < high")
+    return tagged.join(several.select("value", "members"), "value")
 
-    near: a (hub), b, na, nb, linked. A member's difference is what it adds to the hub's shingles and what it lacks. Linked sets
-    differ in at most r * (na + nb) shingles, r = (100 - percent) / (100 + percent), so their differences from the hub share at
-    least half of what these have together beyond that. Pairs of members that are both linked to the hub are in its component; if one isn't,
-    the other shares (1 - r) / 2 of its difference or more: a prefix filter, with tokens rarest first, and a positional filter."""
-    open_hubs = near.where("not linked").select("a").distinct()
-    side = lambda name: sets.select(F.col("cid").alias(name), F.col("shingles").alias(f"s{name}"))
-    both = near.join(open_hubs, "a", "left_semi").join(side("a"), "a").join(side("b"), "b")
-    tokens = F.concat(F.array_except("sb", "sa"), F.transform(F.array_except("sa", "sb"), lambda x: -1 - x))
-    rows = both.select(F.col("a").alias("hub"), F.col("b").alias("cid"), F.col("nb").alias("n"), "linked", tokens.alias("tokens"))
-    named = rows.join(labels, F.col("cid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cid")).drop("node")
-    differing = written(named.where(F.size("tokens") > 0).withColumn("d", F.size("tokens")))
-    each = differing.select("hub", "cid", "n", "linked", "label", "d", F.explode("tokens").alias("token"))
-    common = each.groupBy("hub", "token").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = each.join(common, ["hub", "token"]).groupBy("hub", "cid", "n", "linked", "label", "d").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"))
-    placed = ranked.select("hub", "cid", "n", "linked", "label", "d", (F.col("d") - F.size("ranked")).alias("alone"), F.posexplode("ranked").alias("at", "r"))
-    placed = written(placed.select("hub", "cid", "n", "linked", "label", "d", (F.col("alone") + F.col("at")).alias("at"), F.col("r.token").alias("token")))
-    q, r = 100 + percent, 100 - percent
-    fewest = F.greatest(F.lit(1), F.col("d") - F.floor(F.col("n") * r / percent))
-    probes = placed.where(~F.col("linked") & (F.col("at") <= F.col("d") - fewest))
-    half = F.ceil(F.col("d") * (q - r) / (2 * q))
-    found = placed.where(F.col("at") <= F.col("d") - half).select("hub", "token", *[F.col(c).alias(f"{c}2") for c in ("cid", "n", "linked", "label", "d", "at")])
-    most = F.least(F.col("d") - F.col("at"), F.col("d2") - F.col("at2"))
-    enough = 2 * most * q >= (F.col("d") + F.col("d2")) * q - (F.col("n") + F.col("n2")) * r
-    once = F.col("linked2") | (F.col("cid") < F.col("cid2"))
-    met = probes.join(found, ["hub", "token"]).where((F.col("cid") != F.col("cid2")) & (F.col("label") != F.col("label2")) & once & _sizes_fit("n", "n2", percent) & enough)
-    return met.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
-
-
-def cross_pairs(listed: DataFrame, near: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """a, b: members of a list in different components that its hub says nothing about.
-
-    A set linked to one that is linked to the hub is near the hub itself (distances add up), so members linked to the hub needn't be
-    met here, nor pairs that are both near it."""
-    around = near.select(F.col("a").alias("hub"), F.col("b").alias("cid"), "linked")
-    known = listed.where(F.col("hub") != F.col("cid")).join(around, ["hub", "cid"], "left").where(~F.coalesce("linked", F.lit(False)))
-    rest = known.select("value", "cid", "n", F.col("linked").isNotNull().alias("near")).join(labels, F.col("cid") == F.col("node"), "left")
-    rest = rest.select("value", "cid", "n", "near", F.coalesce("label", "cid").alias("label"))
-    open_lists = rest.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("near").alias("all_near")).where("low < high and not all_near").select("value")
-    left = rest.join(open_lists, "value", "left_semi")
-    right = left.select("value", *[F.col(c).alias(f"{c}2") for c in ("cid", "n", "near", "label")])
-    met = left.join(right, "value").where((F.col("cid") < F.col("cid2")) & (F.col("label") != F.col("label2")) & ~(F.col("near") & F.col("near2")) & _sizes_fit("n", "n2", percent))
-    return met.select(F.col("cid").alias("a"), F.col("cid2").alias("b")).distinct()
+
+def stars(lists: DataFrame, percent: int, turn: int = 0) -> DataFrame:
+    """a, b: every member of a list with the list's hub, if their labels differ; as many rows as members at most. The hub is the member with fewest
+    values of its own, as the original of copies is; in later turns, one that a hash picks."""
+    first = F.struct("own", "cid") if not turn else F.struct(F.xxhash64("cid", F.lit(turn)).alias("own"), "cid")
+    hubs = lists.groupBy("value").agg(F.min_by(F.struct("cid", "n", "left", "least", "whole", "label"), first).alias("r"))
+    met = lists.select("value", F.struct("cid", "n", "left", "least", "whole", "label").alias("l")).join(hubs, "value")
+    return _pairs(met.where((F.col("l.label") != F.col("r.label")) & _may_link(percent)))
+
+
+def all_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of members of a list whose labels differ."""
+    entry = F.struct("cid", "n", "left", "least", "whole", "label")
+    met = lists.select("value", entry.alias("l")).join(lists.select("value", entry.alias("r")), "value")
+    return _pairs(met.where((F.col("l.cid") < F.col("r.cid")) & (F.col("l.label") != F.col("r.label")) & _may_link(percent)))
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("l.cid", "r.cid").alias("a"), F.greatest("l.cid", "r.cid").alias("b")).distinct()
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int, least: int) -> DataFrame:
@@ -173,13 +170,32 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int, least:
     return both.withColumn("union", union).where(F.when(whole, shared * 100 >= F.size("union") * percent).otherwise(shared >= least)).select("a", "b")
 
 
-def measured(pairs: DataFrame, sets: DataFrame, percent: int, wide: int) -> DataFrame:
-    """a, b, na, nb, linked: pairs whose exact Jaccard similarity on full sets is at least `wide` hundredths; linked: at least `percent`."""
+def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs whose exact Jaccard similarity on full sets is at least `percent` hundredths."""
     side = lambda name: sets.select(F.col("cid").alias(name), F.col("shingles").alias(f"s{name}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    sized = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
-    reach = lambda p: F.col("shared") * 100 >= (F.col("na") + F.col("nb") - F.col("shared")) * p
-    return sized.where(reach(wide)).select("a", "b", "na", "nb", reach(percent).alias("linked"))
+    sized = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("total"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
+    return sized.where(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("a", "b")
+
+
+def linked_classes(documents: DataFrame, classes: DataFrame, width: int, percent: int, k: int, least: int) -> DataFrame:
+    """node, label: every class with the smallest class that verified links lead to."""
+    likely = lambda pairs: written(estimated(pairs, classes, percent, k, least))
+    labels = classes.select(F.col("cid").alias("node"), F.col("cid").alias("label"))
+    lists = written(open_lists(inverted_lists(classes, percent, k, least), labels)).drop("label", "members")
+    pairs = likely(stars(lists.withColumn("label", F.col("cid")), percent))
+    labels = merged(labels, measured(pairs, sets_of(documents, classes, pairs, width), percent))
+    still = written(open_lists(lists, labels))
+    pairs = likely(all_pairs(still.where(F.col("members") <= FEW), percent))
+    crowd = written(still.where(F.col("members") > FEW).select("cid").distinct())
+    sets = sets_of(documents, classes, pairs.unionByName(crowd.select(F.col("cid").alias("a"), F.col("cid").alias("b"))), width)
+    labels = merged(labels, measured(pairs, sets, percent))
+    fine = written(fine_lists(sets.join(crowd, "cid", "left_semi"), percent))
+    for turn in range(TURNS):
+        pairs = likely(stars(open_lists(fine, labels), percent, turn))
+        labels = merged(labels, measured(pairs, sets, percent))
+    pairs = likely(all_pairs(open_lists(fine, labels), percent))
+    return merged(labels, measured(pairs, sets, percent))
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = PERCENT, k: int = K, least: int = LEAST) -> DataFrame:
@@ -189,21 +205,8 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = PERCENT
     named = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
     # ids are read from the written table, so that every later use sees the same
     classes = written(named.withColumn("cid", F.monotonically_increasing_id()))
-    lists = written(inverted_lists(classes, percent, k, least))
-    wide = max(1, 2 * percent - 100)
-    listed = written(with_hubs(lists))
-    likely = written(estimated(stars(listed, wide), classes, wide, k, LEAST_WIDE))
-    sets = sets_of(documents, classes, likely, width)
-    near = written(measured(likely, sets, percent, wide))
-    linked = lambda d: d.where("linked").select("a", "b")
-    links = linked(near)
-    labels = components(links)
-    around = measured(by_difference(near, labels, sets, percent), sets, percent, percent)
-    likely = written(estimated(cross_pairs(listed, near, labels, percent), classes, percent, k, least))
-    more = written(linked(around.unionByName(measured(likely, sets_of(documents, classes, likely, width), percent, percent))))
-    if not more.isEmpty():
-        labels = components(links.union(more))
-    grouped = classes.join(labels, F.col("cid") == F.col("node"), "left").select("h1", "h2", "n", "rep", F.coalesce("label", "cid").alias("label"))
+    labels = linked_classes(documents, classes, width, percent, k, least)
+    grouped = classes.join(labels, F.col("cid") == F.col("node")).select("h1", "h2", "n", "rep", "label")
     lowest = grouped.groupBy("label").agg(F.min("rep").alias("component"))
     of_class = grouped.join(lowest, "label").select("h1", "h2", "n", "component")
     whole = rows.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2", "n"], "left")

@@ -15,7 +15,6 @@ _LOWER[65:91] += 32
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _VALUE = byte_table(11)[_LOWER]
-_VALUE[_BLANK] = 0
 _LOW, _STEP = 16, np.uint64(0x9E3779B97F4A7C15)
 _POWER = np.cumprod(np.full(1 << _LOW, _STEP, dtype=np.uint64))
 _NEXT = np.uint64(0xD6E8FEB86659FD93)
@@ -25,7 +24,8 @@ CHUNK = 1 << 21
 
 def words_of(raw: np.ndarray, starts_of_texts: np.ndarray, values: np.ndarray = _VALUE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first bytes) of the words of `raw`; a word ends at a blank and at the end of a text. values: a random
-    number for each byte, 0 for blanks."""
+    number for each byte. A hash is the sum of a random number for each byte at its place in the word, so that no rule relates
+    the hashes of words whose bytes follow a rule."""
     if not len(raw):
         return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     blank = _BLANK[raw]
@@ -36,9 +36,11 @@ def words_of(raw: np.ndarray, starts_of_texts: np.ndarray, values: np.ndarray =
     if not len(first):
         return np.empty(0, dtype=np.uint64), first
     place = np.arange(first[0], len(raw)) - np.repeat(first, np.diff(np.append(first, len(raw))))
-    value = values[raw[first[0] :]] * _POWER[place & ((1 << _LOW) - 1)]
+    value = values[raw[first[0] :]] ^ _POWER[place & ((1 << _LOW) - 1)]
     if (high := place >> _LOW).any():
-        value *= mixed(high.astype(np.uint64) + _STEP) | np.uint64(1)
+        value ^= mixed(high.astype(np.uint64))
+    value = mixed(value)
+    value[blank[first[0] :]] = 0
     return mixed(np.add.reduceat(value, first - first[0])), first
 
 

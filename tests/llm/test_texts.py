@@ -70,8 +70,9 @@ def shingle_sets(rows, width):
         yield {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
 
 
-@pytest.mark.parametrize("width", [2, 5])
-def test_near_duplicates(docs, empty, width):
+@pytest.mark.parametrize(("width", "few"), [(2, 32), (5, 32), (2, 1), (5, 1)])
+def test_near_duplicates(docs, empty, width, few, monkeypatch):
+    monkeypatch.setattr(minhash, "FEW", few)
     rows = documents()
     sets = list(shingle_sets(rows, width))
     group = list(range(len(rows)))
@@ -88,8 +89,10 @@ def test_near_duplicates(docs, empty, width):
     assert minhash.near_duplicates(empty).count() == 0
 
 
-def test_small_sketches_keep_links(spark):
+@pytest.mark.parametrize("few", [32, 1])
+def test_small_sketches_keep_links(spark, few, monkeypatch):
     """Copies of one base that are linked with it alone, a chain, and a common passage in unrelated texts."""
+    monkeypatch.setattr(minhash, "FEW", few)
     base = prose(1, 150).split()
     copies = [" ".join("x%d_%d" % (c, i) if i % 12 == c % 12 else w for i, w in enumerate(base)) for c in range(40)]
     passage = prose(50, 60)
@@ -113,6 +116,33 @@ def test_word_hashes_of_long_texts_are_those_of_parts(monkeypatch):
     assert (shingles._long_words(raw) == whole).all()
 
 
+def thue_morse(turn):
+    return "".join("ab"[(i.bit_count() + turn) % 2] for i in range(1024))
+
+
+def test_words_that_follow_a_rule_are_told_apart(spark):
+    """A word and its complement have equal hashes if these are polynomials modulo a power of two."""
+    texts = [f"x {thue_morse(0)}", f"x {thue_morse(1)}", f"x {thue_morse(0)}"]
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string"), width=2)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_groups_around_a_base(spark):
+    """Near copies of which few are linked with the base, and texts with a passage that is most of them: hot lists."""
+    base = prose(2, 120).split()
+    many = [" ".join("y%d_%d" % (c, i) if (i * 7 + c * 13) % 120 < c % 16 else w for i, w in enumerate(base)) for c in range(90)]
+    passage = prose(51, 60)
+    rows = list(enumerate([*many, *(f"{passage} {prose(300 + i, 12)}" for i in range(50)), *(f"{prose(400 + i, 5)} {passage}" for i in range(45))]))
+    sets = list(shingle_sets(rows, 2))
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    want = {i: min(k for k in range(len(rows)) if group[k] == group[i]) for i in range(len(rows))}
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+
 
 def test_partitions_of_only_null_and_empty_texts(spark):
     docs = spark.createDataFrame([(1, None, "en", "s", 0), (2, "", "en", "s", 0), (3, "", "en", "s", 0), (4, None, "en", "s", 0)], TEXT).coalesce(1)
