@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What separates words in the operators that count or shingle words: space and \t \n \v \f \r.
@@ -45,6 +45,13 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def beside(df: DataFrame, *results: str, row: str = "row") -> list[Column]:
+    """The columns of df out of the struct `row` (of all of them), but for those that have the name of a result: a result replaces them.
+    Operators pack rows that way, so that columns of theirs may have any name."""
+    own = {r.lower() for r in results}
+    return [F.col(row).getField(c).alias(c) for c in df.columns if c.lower() not in own]
+
+
 def text_buffers(texts: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, UTF-8 bytes, offsets) of runs of whole texts, without a copy. A run has `limit` bytes,
     or is one text if that is longer. Null texts are empty."""

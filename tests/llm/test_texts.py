@@ -39,9 +39,7 @@ def brute_repeats(texts):
     return out
 
 
-@pytest.mark.parametrize("small", [512, 2])
-def test_suffix_dedup(docs, small, monkeypatch):
-    monkeypatch.setattr(suffixes, "SMALL", small)
+def test_suffix_dedup(docs):
     got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], SHA(bytes(r["kept"]))) for r in suffixes.without_repeats(docs).collect())
     want = Counter()
     for (doc_id, *_), (raw, gone) in zip(documents(), brute_repeats([d[1] for d in documents()]), strict=True):
@@ -50,6 +48,25 @@ def test_suffix_dedup(docs, small, monkeypatch):
     assert got == want
 
 
+def test_suffix_dedup_of_texts_made_of_common_parts(spark):
+    """Parts that meet at other places, short periods, single changed bytes, copies, and a passage before many endings."""
+    random = np.random.default_rng(8)
+    parts = [prose(700 + i, 40 + 9 * i)[: 120 + 37 * i] for i in range(8)] + ["ab " * 90, "z" * 230, prose(720, 90)[:199], prose(721, 90)[:200]]
+    texts = []
+    for i in range(70):
+        text = "".join(parts[j] for j in random.integers(0, len(parts), random.integers(1, 6)))
+        if i % 3 == 0:
+            at = int(random.integers(0, len(text)))
+            text = text[:at] + "#" + text[at + 1 :]
+        texts.append(text[int(random.integers(0, 40)) :])
+    texts += texts[:3] + [parts[7] + prose(800 + i, 30) for i in range(20)]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(texts)], "doc_id long, text string, N_BYTES int, kept string").repartition(4)
+    got = suffixes.without_repeats(docs)
+    assert sorted(got.columns) == sorted(["doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept"])
+    want = {i: bytes(b for b, g in zip(raw, gone, strict=True) if not g) for i, (raw, gone) in enumerate(brute_repeats(texts))}
+    assert {r["doc_id"]: bytes(r["kept"]) for r in got.collect()} == want
+
+
 def test_suffix_dedup_keeps_whole_characters(docs, empty):
     for r in suffixes.without_repeats(docs, characters=True).collect():
         bytes(r["kept"]).decode()
