@@ -29,9 +29,9 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what strings of 200 bytes that repeat cover, in whole characters. Documents stay, with what is left."""
-    cleaned = suffixes.without_repeats(docs, characters=True)
-    text = F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))
-    return cleaned.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    left = F.when(F.col("row.text").isNotNull(), F.col("cut.kept").cast("string"))
+    changed = {"text": left, "n_chars": F.char_length(left).cast("long")}
+    return suffixes.cut(docs, characters=True).select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
