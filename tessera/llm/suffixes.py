@@ -111,16 +111,16 @@ def blocks_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return low, high, place, gram.view(np.int64), name.view(np.int64)
 
 
-def _lists(values: np.ndarray, starts: np.ndarray) -> pa.Array:
-    """Lists of values that begin at `starts`; null for lists of one."""
+def _lists(values: np.ndarray, starts: np.ndarray, some: np.ndarray) -> pa.Array:
+    """Lists of values that begin at `starts`; null but for some."""
     sizes = np.diff(np.append(starts, len(values)))
-    ends = np.append(0, np.cumsum(np.where(sizes > 1, sizes, 0)))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[np.repeat(sizes > 1, sizes)], pa.int64()), mask=pa.array(sizes == 1))
+    ends = np.append(0, np.cumsum(np.where(some, sizes, 0)))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[np.repeat(some, sizes)], pa.int64()), mask=pa.array(~some))
 
 
 def block_rows(documents: DataFrame) -> DataFrame:
     """key (of the text), gram, name, times, low, high, place, lows, highs: the different blocks of every text, with the number of blocks
-    that are equal, one of them, and the runs of starts that they cover if these are several."""
+    that are equal, one of them, and the runs of starts that they cover if there are several blocks."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,7 +141,7 @@ def block_rows(documents: DataFrame) -> DataFrame:
                 at = offsets[text]
                 runs = np.searchsorted(begin, first)
                 numbers = [gram[first], name[first], np.diff(np.append(first, len(low))), (low - at)[first], (high - at)[first], (place - at)[first]]
-                arrays = [keys.take(pa.array(row + text[first], pa.int64())), *(pa.array(x.astype(np.int64), pa.int64()) for x in numbers), _lists((low - at)[begin], runs), _lists((high - at)[end], runs)]
+                arrays = [keys.take(pa.array(row + text[first], pa.int64())), *(pa.array(x.astype(np.int64), pa.int64()) for x in numbers), _lists((low - at)[begin], runs, numbers[2] > 1), _lists((high - at)[end], runs, numbers[2] > 1)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["key", "gram", "name", "times", "low", "high", "place", "lows", "highs"])
 
     return documents.select("key", "text").mapInArrow(rows, "key binary, gram long, name long, times long, low long, high long, place long, lows array<long>, highs array<long>")
