@@ -196,8 +196,8 @@ def test_safe_parts_don_t_change_ids(text):
 
 
 def test_mixing(spark, docs, empty):
-    mixed = mixing.mix(docs.withColumn("size_of", F.lit(1)))
-    assert {"doc_id", "text", "size_of", "size", "source_size", "target", "copies"} <= set(mixed.columns)
+    mixed = mixing.mix(docs.withColumn("size", F.lit(1)).withColumn("Target", F.lit("t")).withColumn("mix_u", F.lit(2)).withColumn("row", F.lit(3)))
+    assert sorted(mixed.columns) == sorted([*docs.columns, "mix_u", "row", "size", "source_size", "target", "copies"])
     rows = mixed.collect()
     assert len(rows) == len(documents())
     assert sum(r["copies"] * r["size"] for r in rows) > 0
@@ -231,7 +231,9 @@ def test_licenses(spark, empty):
         (8, "mitcc by nc2 cc by"),
     ]
     df = spark.createDataFrame([(*r, "clash", 0.5) for r in rows], "doc_id long, text string, labels string, score_ double")
-    got = {r["doc_id"]: r for r in licenses.scan(df.select("doc_id", "text", "labels")).collect()}
+    clash = licenses.scan(df.select("doc_id", "text", "labels", df["score_"].alias("n_words"), df["score_"].alias("Score"), df["score_"].alias("row")))
+    assert sorted(clash.columns) == sorted(["doc_id", "text", "labels", "row", "n_words", "n_base", "first_word", "last_word", "base_list", "labels_list", "score"])
+    got = {r["doc_id"]: r for r in clash.collect()}
     assert (got[1]["n_base"], got[1]["first_word"], got[1]["last_word"], got[1]["base_list"]) == (2, 1, 5, ["mit"])
     assert (got[2]["n_base"], got[2]["first_word"], got[2]["last_word"]) == (2, 0, 3)
     assert (got[3]["n_words"], got[3]["n_base"], got[3]["first_word"], got[3]["score"]) == (0, 0, None, 0.0)
@@ -261,10 +263,47 @@ def test_quality(spark, docs, empty):
 
 def test_long_logits_are_those_of_the_whole():
     shares = np.random.default_rng(1).normal(size=quality.ROWS)
-    raw = np.frombuffer(prose(12, 3000).encode(), dtype=np.uint8)
+    text = prose(12, 3000) + " \n\t " + "word " * 700 + "漢字" * 400 + " x" * 300
+    raw = np.frombuffer(text.encode(), dtype=np.uint8)
     whole = quality._logits(raw, np.array([0, len(raw)]), shares)[0]
-    assert quality._long_logit(raw, shares) == pytest.approx(whole)
-    assert quality._long_logit(raw, shares, part=500) == pytest.approx(whole, abs=0.02)
+    for part in (60, 61, 500, 1 << 20):
+        assert quality._long_logit(raw, shares, part=part) == pytest.approx(whole, abs=1e-12)
+
+
+def plain_score(text, model):
+    """The softmax of the mean vector, feature by feature."""
+    m = (1 << 64) - 1
+
+    def mix(x):
+        x ^= x >> 33
+        x = x * 0xFF51AFD7ED558CCD & m
+        x ^= x >> 33
+        x = x * 0xC4CEB9FE1A85EC53 & m
+        return x ^ x >> 33
+
+    step = 0x9E3779B97F4A7C15
+    number = [mix((b + 1) * step + 23 & m) for b in range(256)]
+    raw, rows = (text or "").encode(), []
+    words = raw.split()
+    rows += [mix(sum(mix(number[b] ^ pow(step, i + 1, 1 << 64)) for i, b in enumerate(w)) & m) for w in words]
+    rows += [101 if a == b else 202 for a, b in zip(words, words[1:])]
+    even = bytes(32 if b in b"\t\n\v\f\r" else b for b in raw)
+    for n in (3, 4):
+        for i in range(len(even) - n + 1):
+            if 32 not in even[i + 1 : i + n - 1]:
+                rows.append(mix(int.from_bytes(even[i : i + n], "big") + (n << 40)))
+    mean = sum(model.vectors[r % quality.ROWS].astype(float) for r in rows) / max(len(rows), 1) if rows else np.zeros(quality.DIMENSIONS)
+    logits = model.output.astype(float) @ mean + model.bias
+    return np.exp(logits[1]) / np.exp(logits).sum()
+
+
+def test_quality_scores_are_those_of_plain_python(spark):
+    texts = [prose(i, 30) if i % 2 else "BUY!! " * 20 + str(i) for i in range(40)]
+    model = quality.train(texts, [i % 2 for i in range(40)])
+    rows = [*texts[:10], None, "", " \t ", "a", "é\u3000漢\x0bx", "zz zz  zz\nzz", prose(3, 500)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for r in frame.select("doc_id", quality.score(F.col("text"), model).alias("s")).collect():
+        assert r["s"] == pytest.approx(plain_score(rows[r["doc_id"]], model), abs=1e-5)
 
 
 def test_held_out_accuracy(spark):
