@@ -66,7 +66,7 @@ def url_sql(rules=urls.RULES, rounds: int = urls.ROUNDS, damping: int = urls.DAM
     nl = ",\n"
     return f"""WITH p AS MATERIALIZED (SELECT page_id, html, coalesce({_LOWER.format("regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)")}, '') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 j AS MATERIALIZED (SELECT page_id, host, path, {chain(lambda r: r.name)} AS rule, {chain(lambda r: r.verdict)} AS ruled FROM p),
-k AS (SELECT host, unnest(regexp_extract_all(html, '{urls.HREF}', 1)) AS link FROM p WHERE host <> ''),
+k AS (SELECT host, trim(unnest(regexp_extract_all(html, {_quoted(urls.HREF)}, 1)), '"''') AS link FROM p WHERE host <> ''),
 h AS (SELECT host, {_LOWER.format("regexp_extract(link, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1)")} AS target FROM k),
 e AS MATERIALIZED (SELECT DISTINCT host AS source, CASE WHEN target = '' THEN host ELSE target END AS target FROM h),
 hosts AS MATERIALIZED (SELECT host, bool_or(ruled = 'allow') AS trusted, bool_or(ruled = 'block') AS blocked FROM j WHERE ruled IS NOT NULL GROUP BY 1),
@@ -77,12 +77,15 @@ FROM j LEFT JOIN t{rounds} t ON t.host = j.host LEFT JOIN b{rounds} b ON b.host
 
 def mix_sql(seed: str = "mix", most: int = mixing.MAX_COPIES) -> str:
     uniform = f"((('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(coalesce(text, ''))), 1, 12))::BIGINT * 2 + 1) / {float(2**49)})"
+    liked = f"(500 + CAST(floor(CAST(size AS DOUBLE) * 1000 / (size + {mixing.MIDDLE})) AS BIGINT))"
+    alike, scale = "(target / source_size)", "(CAST(source_size AS DOUBLE) / moment)"
     return f"""WITH d AS MATERIALIZED (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size, {uniform} AS u FROM documents),
-s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(sum(size * {liked}) AS BIGINT) AS moment FROM d GROUP BY 1),
 w AS (SELECT *, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS weight, source_size * {most} AS cap FROM s),
 f AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER o, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) AS level FROM w WINDOW o AS (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS MATERIALIZED (SELECT source, source_size, CASE WHEN level * weight > cap THEN CAST(cap AS DOUBLE) ELSE (max(level) FILTER (NOT level * weight > cap) OVER ()) * weight END AS target FROM f),
-x AS MATERIALIZED (SELECT d.*, t.source_size, t.target, CASE WHEN size > 0 THEN least(target / source_size, {float(most)}) ELSE 0.0 END AS c FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+t AS MATERIALIZED (SELECT source, source_size, moment, CASE WHEN level * weight > cap THEN CAST(cap AS DOUBLE) ELSE (max(level) FILTER (NOT level * weight > cap) OVER ()) * weight END AS target FROM f),
+x AS MATERIALIZED (SELECT d.*, t.source_size, t.target, CASE WHEN size = 0 THEN CAST(0 AS DOUBLE) WHEN {alike} >= {most} THEN CAST({most} AS DOUBLE)
+ELSE least({alike} + {alike} * least(CAST(1 AS DOUBLE), ({most} - {alike}) / ({alike} * ({scale} * 1500 - 1))) * ({scale} * {liked} - 1), CAST({most} AS DOUBLE)) END AS c FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 y AS (SELECT *, CAST(floor(c) AS BIGINT) AS whole, c - floor(c) AS part FROM x),
 z AS (SELECT *, CASE WHEN part > 0 THEN u * (1 - part) / (u * (1 - part) + (1 - u) * part) END AS rank FROM y),
 r AS (SELECT *, target - sum(size * whole) OVER (PARTITION BY source) AS rest, sum(CASE WHEN part > 0 THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id, size ROWS UNBOUNDED PRECEDING) - size / 2 AS middle FROM z)

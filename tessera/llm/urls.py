@@ -9,8 +9,13 @@ Only the set of host edges goes through the iterations, each one join and one su
 before, so a host with a third of all pages is one small row group. Ranks are whole numbers of `UNITS`, so that sums don't
 depend on order and reruns agree. DataFrame functions only.
 
+Links are values of href attributes, in quotes of either kind or none. A host with no link has none to pass its rank to, which is dropped. Hosts are
+compared as the contract of urls cuts them, with a port or user name if there is one. Trust and distrust beyond a long's range are given
+as its end; verdicts are made before.
+
 Nulls and urls without "://": host and path are empty, no rule fits, the verdict is allow. Null html has no links.
-Repeated rows get a verdict each. Empty tables give empty results. Rows keep no other columns than those
+Repeated rows get a verdict each, long texts are read whole, and a
+host with as much trust as distrust is allowed. Empty tables give empty results. Rows keep no other columns than those
 returned; names of extra columns don't clash.
 """
 
@@ -32,7 +37,9 @@ DAMPING = 85
 LEAST = 50
 #: Ranks have converged once a round changes all of them together by no more than this part of LEAST, in thousandths.
 STILL = 1
-HREF = r'(?i)href\s*=\s*"([^"]*)"'
+HREF = r"""(?i)(?:^|[\s"'/<])href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+#: Ranks are sums over any number of seeds, beyond what a long holds.
+RANK = "decimal(38,0)"
 
 
 @dataclass(frozen=True)
@@ -73,7 +80,8 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 def host_edges(pages: DataFrame) -> DataFrame:
     """source, target: distinct host pairs. A link without a host of its own stays on its page's host."""
-    links = pages.where(F.col("host") != "").select("host", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(HREF), F.lit(1)), target_host))).alias("to"))
+    found = F.transform(F.regexp_extract_all("html", F.lit(HREF), F.lit(1)), lambda x: target_host(F.trim(x, F.lit("\"'"))))
+    links = pages.where(F.col("host") != "").select("host", F.explode(F.array_distinct(found)).alias("to"))
     return links.select(F.col("host").alias("source"), F.when(F.col("to") == "", F.col("host")).otherwise(F.col("to")).alias("target")).distinct()
 
 
@@ -82,6 +90,12 @@ def target_host(link: Column) -> Column:
     return lower_ascii(F.regexp_extract(link, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
 
 
+def _divided(number: Column, by: Column) -> Column:
+    """number div by, for whole numbers of any size."""
+    number, by = number.cast(RANK), by.cast("decimal(19,0)")
+    return ((number - number % by) / by).cast(RANK)
+
+
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING, least: int = LEAST) -> DataFrame:
     """host, rank: personalised PageRank from `seeds` (host; each starts with UNITS) along edges (source, target), iterated until it
     converges. Every `rounds` rounds ranks are written, and the sum of the last round's changes comes to the driver.
@@ -92,22 +106,23 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
         raise ValueError("damping must be from 0 to 99, and rounds 1 at least")
     degree = edges.groupBy("source").agg(F.count("*").alias("degree"))
     weighted = written(edges.join(degree, "source"))
-    start = seeds.select("host", F.lit(UNITS).cast("long").alias("rank"))
-    back = start.select("host", F.expr(f"rank * {100 - damping} div 100").alias("rank"), F.lit(0).cast("long").alias("before"))
+    start = seeds.select("host", F.lit(UNITS).cast(RANK).alias("rank"))
+    none = F.lit(0).cast(RANK)
+    back = start.select("host", _divided(F.col("rank") * (100 - damping), F.lit(100)).alias("rank"), none.alias("before"))
     still = max(1, UNITS * least // 1000 * STILL // 1000)
     ranks, change, left = start, None, 2 * UNITS * start.count()
     while left > still and (change is None or change > still):
         for turn in range(rounds):
-            flow = weighted.join(ranks, weighted["source"] == ranks["host"]).select(F.col("target").alias("host"), F.expr(f"(rank * {damping} div 100) div degree").alias("rank"), F.lit(0).cast("long").alias("before"))
+            flow = weighted.join(ranks, weighted["source"] == ranks["host"]).select(F.col("target").alias("host"), _divided(_divided(F.col("rank") * damping, F.lit(100)), F.col("degree")).alias("rank"), none.alias("before"))
             parts = flow.unionByName(back)
             # only the last round is compared with the one before: ranks read twice in each would double the plan
             if turn == rounds - 1:
-                parts = parts.unionByName(ranks.select("host", F.lit(0).cast("long").alias("rank"), F.col("rank").alias("before")))
-            summed = parts.groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before"))
+                parts = parts.unionByName(ranks.select("host", none.alias("rank"), F.col("rank").alias("before")))
+            summed = parts.groupBy("host").agg(F.sum("rank").cast(RANK).alias("rank"), F.sum("before").cast(RANK).alias("before"))
             ranks = summed.select("host", "rank").where("rank > 0")
             left = left * damping // 100
         summed = written(summed)
-        change = summed.agg(F.coalesce(F.sum(F.abs(F.col("rank") - F.col("before")).cast("decimal(38,0)")), F.lit(0))).first()[0]
+        change = summed.agg(F.coalesce(F.sum(F.abs(F.col("rank") - F.col("before")).cast(RANK)), F.lit(0))).first()[0]
         ranks = summed.select("host", "rank").where("rank > 0")
     return ranks
 
@@ -123,7 +138,7 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int =
     trust = propagate(edges, trusted, rounds, damping, least).withColumnRenamed("rank", "trust")
     against = edges.select(F.col("target").alias("source"), F.col("source").alias("target"))
     distrust = propagate(against, blocked, rounds, damping, least).withColumnRenamed("rank", "distrust")
-    scores = trust.join(distrust, "host", "full").select(F.col("host").alias("of_host"), F.coalesce("trust", F.lit(0)).alias("trust"), F.coalesce("distrust", F.lit(0)).alias("distrust"))
+    scores = trust.join(distrust, "host", "full").select(F.col("host").alias("of_host"), F.coalesce("trust", F.lit(0).cast(RANK)).alias("trust"), F.coalesce("distrust", F.lit(0).cast(RANK)).alias("distrust"))
     verdicts = scores.withColumn("bad", (F.col("distrust") >= UNITS * least // 1000) & (F.col("distrust") > F.col("trust")))
     slim = rows.select("page_id", "host", "path", "rule", "ruled")
     return slim.join(verdicts, slim["host"] == verdicts["of_host"], "left").select(
@@ -132,8 +147,8 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int =
         "path",
         "rule",
         F.coalesce("ruled", F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
-        F.coalesce("trust", F.lit(0)).cast("long").alias("trust"),
-        F.coalesce("distrust", F.lit(0)).cast("long").alias("distrust"),
+        F.least(F.coalesce("trust", F.lit(0)), F.lit(2**63 - 1)).cast("long").alias("trust"),
+        F.least(F.coalesce("distrust", F.lit(0)), F.lit(2**63 - 1)).cast("long").alias("distrust"),
     )
 
 

@@ -132,6 +132,23 @@ def test_conversations(spark):
     assert chat.digests(df.limit(0)).count() == 0
 
 
+def test_ids_beyond_doubles_stay_apart(spark):
+    big = 1 << 60
+    rows = [(0, [1.0, 2.0]), (big + 1, [3.0, 4.0]), (big + 1, [3.0, 4.0]), (big + 2, [3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = kdtree.top_k(kdtree.scaled(clean_vectors(df)), every=1 << 61, k=5)
+    assert [(r["rank"], r["vec_id"]) for r in exact.orderBy("rank").collect()] == [(1, big + 1), (2, big + 2)]
+    near = quantised.nearest(clean_vectors(df, False), every=1 << 61, k=5)
+    assert [(r["rank"], r["vec_id"]) for r in near.orderBy("rank").collect()] == [(1, big + 1), (2, big + 2)]
+
+
+def test_large_components_are_not_cut(spark):
+    df = spark.createDataFrame([(0, [0.25]), (1, [1e14]), (2, [2e14]), (3, [1e300])], "vec_id long, embedding array<double>")
+    got = [r["vec_id"] for r in kdtree.top_k(kdtree.scaled(clean_vectors(df)), every=100, k=5).orderBy("rank").collect()]
+    assert got == [3, 2, 1]
+    assert [r[1] for r in kdtree.scaled(clean_vectors(df.where("vec_id > 0"))).select("vec_id", F.col("vector")[0]).orderBy("vec_id").collect()] == [256e14, 512e14, 256e300]
+
+
 PAGES = [
     (1, "https://A.example.com/en/7/x?q", '<a href="http://friend.org/a">'),
     (2, "https://example.com/en/8", '<a href="http://spam.org/">'),
@@ -167,6 +184,19 @@ def test_urls(spark):
     assert urls.filter_urls(df.limit(0).select("page_id", "url", "html")).count() == 0
 
 
+def test_links_of_all_quotes(spark):
+    html = "<a href='http://one.org/'><a class=x href=http://two.org/a><A\nHREF = \"//three.org\"><b data-href=\"http://four.org/\"><i xhref='http://five.org'>"
+    pages = urls.judged(spark.createDataFrame([(1, "http://x.org/", html)], "page_id long, url string, html string"), urls.RULES)
+    assert {r["target"] for r in urls.host_edges(pages.select("host", "html")).collect()} == {"one.org", "two.org", "three.org"}
+
+
+def test_ranks_of_many_seeds_fit(spark):
+    seeds = spark.range(300_000).select(F.concat(F.lit("h"), "id").alias("host"))
+    edges = seeds.select(F.col("host").alias("source"), F.lit("hub").alias("target")).union(spark.createDataFrame([("hub", "hub")], "source string, target string"))
+    ranks = urls.propagate(edges, seeds, rounds=2, damping=10)
+    assert ranks.where("host = 'hub'").first()["rank"] == pytest.approx(300_000 * 0.9 * 0.1 / 0.9 * urls.UNITS, rel=1e-3)
+
+
 def test_trust_keeps_hosts_that_good_hosts_link_to(spark):
     pages = [(i, f"http://good{i}.net/de/1", '<a href="http://shared.info/">') for i in range(5)] + [(10, "http://shared.info/x", '<a href="http://bad.org/es/">'), (11, "http://bad.org/es/", "")]
     got = {r["page_id"]: r for r in urls.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
