@@ -7,7 +7,7 @@ propagated: one shard is searched first, and its k-th scores are given to the se
 
 Nulls: rows without an id, without a vector, or with a null or non-finite component take no part, as query or
 candidate. Vectors of different lengths aren't compared. Repeated rows (same id and vector) count once; of ids with several vectors each
-counts, and a query never finds its own id. Ties go to the smaller id. Empty tables give empty results. Extra columns don't matter.
+counts, and a query never finds its own id. Scores beyond a long's range are given as its ends. Ties go to the smaller id. Empty tables give empty results. Extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table, written
-from tessera.llm.shards import BLOCK_ROWS, SHARD_ROWS, clean_vectors, matrix, number, on_grid, ranked, sized, with_shard
+from tessera.llm.shards import BLOCK_ROWS, SHARD_ROWS, clean_vectors, distinct_rows, matrix, number, on_grid, ranked, sized, with_shard
 
 LEAF = 256
 SCALE = 256
@@ -92,7 +92,7 @@ def _search(k: int):
         dims = shard.column("dims")[0].as_py()
         points, queries = matrix(shard.column("vector"), dims), matrix(block.column("vector"), dims)
         ids = shard.column("vec_id").to_numpy()
-        _, unique = np.unique(np.column_stack([ids.astype(np.float64), points]), axis=0, return_index=True) if len(np.unique(ids)) < len(ids) else (None, np.arange(len(ids)))
+        unique = distinct_rows(ids, points)
         points, ids = points[unique], ids[unique]
         if not dims:
             points, queries, dims = np.zeros((len(points), 1)), np.zeros((len(queries), 1)), 1
@@ -129,8 +129,11 @@ def top_k(vectors: DataFrame, every: int, k: int, shard_rows: int = SHARD_ROWS,
 
 
 def scaled(vectors: DataFrame) -> DataFrame:
-    """Components as whole numbers: floor(SCALE * x), as doubles."""
-    return vectors.withColumn("vector", F.transform("vector", lambda x: F.floor(x * SCALE).cast("double")))
+    """Components as whole numbers: floor(SCALE * x), as doubles. Doubles of 2^53 and more are whole as they are, and don't go through
+    long; those beyond the largest double stay at it."""
+    largest = 1.7976931348623157e308
+    whole = lambda y: F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).otherwise(F.greatest(F.least(y, F.lit(largest)), F.lit(-largest)))
+    return vectors.withColumn("vector", F.transform("vector", lambda x: whole(x * SCALE)))
 
 
 def op6_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

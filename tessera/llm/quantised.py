@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table, written
-from tessera.llm.shards import BLOCK_ROWS, SHARD_ROWS, clean_vectors, matrix, number, on_grid, ranked, with_shard
+from tessera.llm.shards import BLOCK_ROWS, SHARD_ROWS, clean_vectors, distinct_rows, matrix, number, on_grid, ranked, with_shard
 
 BOOKS, WORDS, BEAM = 24, 64, 4
 SAMPLE = 8192
-RERANK = 640
+RERANK = 100
 FOUND = "query_id long, vec_id long, score double"
 _SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -107,7 +107,7 @@ def _search(books: Codebooks | None, k: int, rerank: int):
         dims = shard.column("dims")[0].as_py()
         points, queries = matrix(shard.column("vector"), dims), matrix(block.column("vector"), dims)
         ids = shard.column("vec_id").to_numpy()
-        _, order = np.unique(np.column_stack([ids.astype(np.float64), points]), axis=0, return_index=True) if len(np.unique(ids)) < len(ids) else (None, np.argsort(ids))
+        order = distinct_rows(ids, points)
         points, ids = points[order], ids[order]
         if books is not None and dims == books.dims:
             codes = np.frombuffer(b"".join(shard.column("code").to_pylist()), dtype=np.uint8).reshape(len(shard), -1)[order]

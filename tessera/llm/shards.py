@@ -32,6 +32,15 @@ def matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
     return np.asarray(flat.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(flat), dims)
 
 
+def distinct_rows(ids: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Places of the different (id, vector) rows, by id. Compared as bytes, as ids have more digits than doubles."""
+    if len(np.unique(ids)) == len(ids):
+        return np.argsort(ids)
+    raw = np.column_stack([ids.astype(np.int64).view(np.uint8).reshape(len(ids), 8), (points + 0.0).view(np.uint8).reshape(len(ids), -1)])
+    _, first = np.unique(np.ascontiguousarray(raw).view(f"V{raw.shape[1]}").ravel(), return_index=True)
+    return first[np.argsort(ids[first], kind="stable")]
+
+
 def number(count: int, size: int) -> int:
     return max(1, -(-count // size))
 
