@@ -17,6 +17,18 @@ def docs(spark):
     return spark.createDataFrame([d for d in documents() if d[0] is not None], TEXT)
 
 
+CLASHES = ["kept", "n_bytes", "size", "target", "copies", "row", "whole", "cut", "key", "mix_u", "component_id"]
+
+
+def test_extra_columns_with_clashing_names_stay(spark, docs):
+    wide = docs.select("*", *[F.lit(f"mine {c}").alias(c) for c in CLASHES])
+    for _, stage in P.STAGES[:-1]:
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns
+        assert out.count() == out.where(" AND ".join(f"`{c}` = 'mine {c}'" for c in CLASHES)).count() > 0
+    assert P.to_tokens(spark, wide, SF).count() == docs.count()
+
+
 def rows_of(df):
     assert df.columns == COLUMNS
     return [tuple(r) for r in df.collect()]
