@@ -83,14 +83,18 @@ def safe_name(name: str) -> str:
 
 
 def suggestions(unknown: DataFrame, domain: DataFrame, value: str, least: float = 0.6, most: int = 3) -> DataFrame:
-    """value, suggestion, likeness: up to `most` near members of a small domain for values outside it.
-
-    Values are paired with members that begin with the same two letters, or that are of like length and share the last two."""
-    words = lambda d, n: d.select(F.col(value).alias(n), F.explode(F.array(F.concat(F.lit("<"), F.lower(F.substring(value, 1, 2))), F.concat(F.lit(">"), F.lower(F.expr(f"right({value}, 2)"))))).alias("key"))
-    pairs = words(unknown.select(value).distinct(), "value").join(words(domain.select(value).distinct(), "suggestion"), "key").select("value", "suggestion").distinct()
-    likeness = 1 - F.levenshtein("value", "suggestion") / F.greatest(F.length("value"), F.length("suggestion"))
+    """value, suggestion, likeness, place: up to `most` near members of a small domain for values outside it.
+
+    Every distinct value meets the members whose length allows the likeness: two texts differ in as many letters at least as
+    their lengths do. A join on the length, so no pair that could be near is left out."""
+    values = unknown.select(F.col(value).alias("value")).where(F.col("value").isNotNull()).distinct().withColumn("length", F.length("value"))
+    n = F.length("suggestion")
+    members = domain.select(F.col(value).alias("suggestion")).where(F.col("suggestion").isNotNull()).distinct()
+    members = members.select("suggestion", F.explode(F.sequence(F.floor(n * least).cast("int"), F.ceil(n / least).cast("int"))).alias("length"))
+    likeness = 1 - F.levenshtein("value", "suggestion") / F.greatest(F.length("value"), n, F.lit(1))
     order = Window.partitionBy("value").orderBy(F.col("likeness").desc(), "suggestion")
-    return pairs.withColumn("likeness", likeness).where(F.col("likeness") >= least).withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+    near = values.join(members, "length").select("value", "suggestion", likeness.alias("likeness")).where(F.col("likeness") >= least)
+    return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
 
 
 def stabilised(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -6,25 +6,13 @@ stays short and lost executors cost a stage. Only whether a frontier is empty co
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a table in the folder of spark.checkpoint.dir; a local session without it gets a temporary one."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(folder := tempfile.mkdtemp(prefix="checkpoint-"))
-    path = f"{folder.rstrip('/')}/walks/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from tessera.session import written
 
 
 def edges(parts: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
@@ -37,7 +25,8 @@ def walk(links: DataFrame, seeds: DataFrame, is_terminal: Column, max_depth: int
     """origin, id, hops, terminal: the nodes that each seed (origin) reaches, at the smallest number of hops.
 
     is_terminal: a condition on `id`; the walk doesn't go past such nodes. Cycles end, as a node counts once for an origin."""
-    pairs = links.select("src", "next_id").distinct()
+    # written, as every hop reads them
+    pairs = written(links.select("src", "next_id").distinct())
     frontier = seeds.select(F.col("origin").cast("string").alias("origin")).distinct().select("origin", F.col("origin").alias("id"))
     seen = frontier.limit(0).select("origin", "id", F.lit(0).alias("hops"), F.lit(False).alias("terminal"))
     found = []
@@ -53,17 +42,20 @@ def walk(links: DataFrame, seeds: DataFrame, is_terminal: Column, max_depth: int
     return seen
 
 
-def walk_recursive(spark: SparkSession, links: DataFrame, seeds: DataFrame, is_terminal: str, max_depth: int = 15) -> DataFrame:
-    """origin, id, hops of terminals, by a recursive query. It keeps no set of seen nodes, so it suits graphs with few paths."""
-    links.createOrReplaceTempView("walk_links")
-    seeds.createOrReplaceTempView("walk_seeds")
+def walk_recursive(spark: SparkSession, links: DataFrame, seeds: DataFrame, is_terminal: Column, max_depth: int = 15) -> DataFrame:
+    """origin, id, hops of terminals, by a recursive query. It keeps no set of seen nodes, so it suits graphs with few paths.
+
+    is_terminal: as in walk(), a condition on `id`, worked out for each link's end before the recursion."""
+    ends, starts = (f"walk_{n}_{uuid.uuid4().hex}" for n in ("ends", "starts"))
+    links.select("src", F.col("next_id").alias("id")).distinct().withColumn("terminal", is_terminal).createOrReplaceTempView(ends)
+    seeds.select(F.col("origin").cast("string").alias("origin")).createOrReplaceTempView(starts)
     return spark.sql(f"""
-        WITH RECURSIVE steps(origin, id, hops) MAX RECURSION LEVEL {max_depth + 1} AS (
-            SELECT CAST(origin AS STRING), CAST(origin AS STRING), 0 FROM walk_seeds
+        WITH RECURSIVE reach(origin, node, hops, over) MAX RECURSION LEVEL {max_depth + 1} AS (
+            SELECT origin, origin, 0, false FROM {starts}
             UNION ALL
-            SELECT s.origin, l.next_id, s.hops + 1 FROM steps s JOIN walk_links l ON l.src = s.id
-            WHERE s.hops < {max_depth} AND (s.hops = 0 OR NOT ({is_terminal.replace("id", "s.id", 1)})))
-        SELECT origin, id, min(hops) AS hops FROM steps WHERE hops > 0 AND ({is_terminal}) GROUP BY origin, id""")
+            SELECT reach.origin, {ends}.id, reach.hops + 1, {ends}.terminal FROM reach JOIN {ends} ON {ends}.src = reach.node
+            WHERE reach.hops < {max_depth} AND NOT reach.over)
+        SELECT origin, node AS id, min(hops) AS hops FROM reach WHERE over GROUP BY origin, node""")
 
 
 def min_hops(reached: DataFrame) -> DataFrame:

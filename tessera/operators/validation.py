@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.scalars import finite, row_digest
+from tessera.schema import Schema
 
 FULL_UP_TO = 10_000
 SAMPLE_ROWS = 100
@@ -49,6 +50,36 @@ def list_members(column: str, values: tuple[str, ...]) -> Rule:
     return Rule("enum", f"{column}[*]", F.exists(column, lambda x: ~x.isin(*values)))
 
 
+def list_rule(name: str, column: str, broken) -> Rule:
+    """A rule on every element of a list; null elements aren't judged."""
+    return Rule(name, f"{column}[*]", F.exists(column, lambda x: F.coalesce(broken(x), F.lit(False))))
+
+
+def schema_rules(schema: Schema, cls: str, struct: T.StructType | None = None) -> list[Rule]:
+    """What a class of a schema asks of its flat rows: required values, types, enumerations, patterns and finite numbers, in lists too.
+
+    struct: the columns that the rows have, if not the schema's (columns that are missing break `required`; text where the schema has numbers is tried)."""
+    kinds = {f.name: f.dataType for f in struct or schema.flat_struct(cls)}
+    found: list[Rule] = []
+    for c in schema.flat_columns(cls):
+        if c.name not in kinds:
+            found += [Rule("required", c.name, F.lit(True))] if c.required or c.identifier else []
+            continue
+        kind = kinds[c.name]
+        element = kind.elementType if isinstance(kind, T.ArrayType) else kind
+        tests = {
+            "type": (lambda x, c=c: x.isNotNull() & x.try_cast(c.type).isNull()) if element != c.type and isinstance(element, T.StringType) else None,
+            "enum": (lambda x, c=c: ~x.isin(*c.enum)) if c.enum else None,
+            "pattern": (lambda x, c=c: ~x.rlike(f"^(?:{c.pattern})$")) if c.pattern else None,
+            "finite-number": (lambda x: ~finite(x)) if isinstance(element, (T.DoubleType, T.FloatType)) else None,
+        }
+        found += [required(c.name)] if c.required or c.identifier else []
+        for name, broken in tests.items():
+            if broken is not None:
+                found.append(list_rule(name, c.name, broken) if isinstance(kind, T.ArrayType) else Rule(name, c.name, broken(F.col(c.name))))
+    return found
+
+
 def rules_of(struct: T.StructType, wanted: dict[str, dict] | None = None) -> list[Rule]:
     """Rules of a flat struct: finite numbers, and what `wanted` says of columns (required, enum, pattern)."""
     found = [finite_number(f.name) for f in struct if f.dataType == T.DoubleType()]

@@ -55,6 +55,25 @@ def qc_by(stats: DataFrame, bridge: DataFrame, entities: DataFrame, run: str, en
     return joined.groupBy(by).agg(F.countDistinct(run).alias("runs"), F.countDistinct(entity).alias("entities"), *[F.round(F.avg(m), 2).alias(f"mean_{m}") for m in metrics])
 
 
+def anchor_row(df: DataFrame, *order: Column | str, what: str = "row") -> DataFrame:
+    """The first row in the order given, to start other queries from; an error if there is none."""
+    first = df.orderBy(*order).limit(1)
+    if first.isEmpty():
+        raise LookupError(f"no {what} qualifies")
+    return first
+
+
+def entities_of_run(bridge: DataFrame, entities: DataFrame, run: str, entity: str, value, hops: str = "n_hops") -> DataFrame:
+    """The entities that a run leads back to, with their columns, nearest first."""
+    found = bridge.where(F.col(run) == value).groupBy(run, entity).agg(F.min(hops).alias(hops))
+    return found.join(entities, entity).orderBy(hops, entity)
+
+
+def reached_from_run(runs: DataFrame, run: str, value, *steps: tuple[DataFrame, str, str]) -> DataFrame:
+    """What a chain of joins leads to from one run, such as its study: rows of the last table with the run's, each once."""
+    return chain(runs.where(F.col(run) == value), *steps).distinct()
+
+
 def of_run(stats: DataFrame, bridge: DataFrame, entities: DataFrame, run: str, entity: str, value) -> DataFrame:
     """A run's rows with its entities' columns (and hops, where the bridge has them)."""
     return stats.where(F.col(run) == value).join(bridge, run).join(entities, entity)

@@ -5,18 +5,18 @@ operator, and returns its result."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
 from tessera.operators import extract, flatten, graph, snapshot, validation
 from tessera.plans import analytics as A
 from tessera.schema import ClassSpec, Schema, Slot
+from tessera.session import shared_folder
 from tessera.sinks import tables as W
 from tessera.sources import readers as R
 from tessera.streaming import ingest as I
@@ -404,7 +404,7 @@ def bfs_min_hops(spark, sf):
 @registered(f"{_WALK} SELECT origin, id, min(hops) AS hops FROM w WHERE id LIKE 'r%' GROUP BY 1, 2")
 def bfs_recursive(spark, sf):
     seeds = load(spark, sf, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("origin"))
-    return graph.walk_recursive(spark, provenance(spark, sf).select("src", "next_id").distinct(), seeds, "id LIKE 'r%'")
+    return graph.walk_recursive(spark, provenance(spark, sf).select("src", "next_id").distinct(), seeds, F.col("id").startswith("r"))
 
 
 _TYPES = "t AS (SELECT 'c' || c_custkey AS id, c_mktsegment AS type FROM customer UNION ALL SELECT 'l' || s_suppkey, 'supplier' FROM supplier UNION ALL SELECT 'm' || n_nationkey, 'depot' FROM nation)"
@@ -456,9 +456,18 @@ def top_hits_per_entity(spark, sf):
 
 @registered("SELECT coalesce(a.k, b.k) AS key, coalesce(counted, 0) AS counted, coalesce(stored, 0) AS stored, coalesce(counted, 0) - coalesce(stored, 0) AS difference FROM (SELECT 'ORDER:' || l_orderkey AS k, count(*) AS counted FROM lineitem GROUP BY 1) a FULL JOIN (SELECT 'ORDER:' || o_orderkey AS k, o_orderkey % 7 AS stored FROM orders) b ON a.k = b.k")
 def cross_check(spark, sf):
+    return _order_counts(spark, sf, None)
+
+
+@registered("SELECT * FROM (SELECT coalesce(a.k, b.k) AS key, coalesce(counted, 0) AS counted, coalesce(stored, 0) AS stored, coalesce(counted, 0) - coalesce(stored, 0) AS difference FROM (SELECT 'ORDER:' || l_orderkey AS k, count(*) AS counted FROM lineitem GROUP BY 1) a FULL JOIN (SELECT 'ORDER:' || o_orderkey AS k, o_orderkey % 7 AS stored FROM orders) b ON a.k = b.k) ORDER BY abs(difference) DESC, key LIMIT 25")
+def largest_differences(spark, sf):
+    return _order_counts(spark, sf, 25)
+
+
+def _order_counts(spark: SparkSession, sf: str, n: int | None) -> DataFrame:
     fact = load(spark, sf, "lineitem").select(F.concat(F.lit("KO:"), "l_orderkey").alias("id"))
     rollup = load(spark, sf, "orders").select(F.concat(F.lit("ORDER:"), "o_orderkey").alias("id"), (F.col("o_orderkey") % 7).alias("n"))
-    return A.cross_check(fact, "id", rollup, "id", "n", "ORDER:", 3)
+    return A.cross_check(fact, "id", rollup, "id", "n", "ORDER:", 3, n)
 
 
 @registered("SELECT l_partkey, count(*) AS hits, min(l_tax) AS best, max(l_tax) AS worst, round(avg(l_quantity), 2) AS mean_score FROM lineitem GROUP BY 1 ORDER BY hits DESC, 1 LIMIT 20")
@@ -518,10 +527,10 @@ def rows_for_entity(spark, sf):
     return A.rows_for_entity(load(spark, sf, "lineitem"), bridge, "l_orderkey", "o_custkey", 1, "o_orderstatus", "F")
 
 
-@registered("SELECT DISTINCT o_custkey AS entity FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey WHERE p_name LIKE '%1%'")
+@registered("SELECT DISTINCT o_custkey AS entity FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey WHERE p_name LIKE '%bolt%'")
 def entities_with(spark, sf):
     summary = _lines(spark, sf).join(load(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return A.entities_with(summary, "p_name", "1", _order_bridge(spark, sf), "run", "entity")
+    return A.entities_with(summary, "p_name", "bolt", _order_bridge(spark, sf), "run", "entity")
 
 
 @registered("SELECT k AS p_partkey, p_name, p_name IS NOT NULL AS found FROM (SELECT unnest([1, 5, -1]) AS k) LEFT JOIN part ON p_partkey = k")
@@ -550,6 +559,36 @@ def id_set_filter(spark, sf):
     return A.in_set(load(spark, sf, "events"), "user_id", load(spark, sf, "customer").where("c_acctbal > 5000"), "c_custkey").select("event_id")
 
 
+@registered("SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_quantity >= 49 AND l_returnflag IS NOT NULL ORDER BY l_orderkey, l_partkey, l_linenumber LIMIT 1")
+def anchor_row(spark, sf):
+    rows = load(spark, sf, "lineitem").where("l_quantity >= 49 AND l_returnflag IS NOT NULL")
+    return A.anchor_row(rows, "l_orderkey", "l_partkey", "l_linenumber", what="line").select("l_orderkey", "l_partkey", "l_quantity")
+
+
+@registered("SELECT DISTINCT o_orderkey AS run, n_name, r_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE o_orderkey = 5")
+def run_to_study(spark, sf):
+    """From one run over its entity to the group that holds it."""
+    t = {n: load(spark, sf, n) for n in ("orders", "customer", "nation", "region")}
+    runs = t["orders"].select(F.col("o_orderkey").alias("run"), "o_custkey")
+    found = A.reached_from_run(runs, "run", 5, (t["customer"], "o_custkey", "c_custkey"), (t["nation"], "c_nationkey", "n_nationkey"), (t["region"], "n_regionkey", "r_regionkey"))
+    return found.select("run", "n_name", "r_name")
+
+
+@registered(f"{_WALK.replace('FROM orders' + chr(10), 'FROM orders WHERE o_orderkey = 5' + chr(10))} SELECT w.origin AS run, id AS entity, r_name, min(hops) AS n_hops FROM w JOIN region ON w.id = 'r' || r_regionkey GROUP BY 1, 2, 3")
+def run_to_entities(spark, sf):
+    """A run's entities with their own columns and the hops to them."""
+    seeds = load(spark, sf, "orders").where("o_orderkey = 5").select(F.concat(F.lit("o"), "o_orderkey").alias("origin"))
+    reached = graph.min_hops(graph.walk(provenance(spark, sf), seeds, F.col("id").startswith("r"))).select(F.col("origin").alias("run"), F.col("terminal_id").alias("entity"), "n_hops")
+    region = load(spark, sf, "region").select(F.concat(F.lit("r"), "r_regionkey").alias("entity"), "r_name")
+    return A.entities_of_run(reached, region, "run", "entity", "o5").select("run", "entity", "r_name", "n_hops")
+
+
+@registered("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS place FROM (SELECT event_id, event_type FROM events)) WHERE place <= 3")
+def first_of_each_type(spark, sf):
+    rows = A.first_n_per(load(spark, sf, "events").select("event_id", "event_type"), ["event_type"], [F.col("event_id")], 3)
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")))
+
+
 # -- validation, inventories ------------------------------------------------------------------------------------------------------
 
 
@@ -571,17 +610,64 @@ def validity_report(spark, sf):
     return validation.validity(_checked(spark, sf))
 
 
+_LINE = Schema.of(
+    ClassSpec("Line", (
+        Slot("id", identifier=True), Slot("quantity", "double", required=True), Slot("flag", enum=("A", "N")), Slot("ship", pattern="[12].*"), Slot("rates", "double", multivalued=True), Slot("tags", multivalued=True, enum=("F", "O")), Slot("count", "integer"),
+    )),
+)
+
+
+def _line_rows(spark: SparkSession, sf: str) -> DataFrame:
+    key, odd = F.col("l_orderkey"), F.col("l_linenumber") % 2 == 1
+    return load(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
+        F.when(key % 7 != 0, F.col("l_quantity")).alias("quantity"),
+        F.col("l_returnflag").alias("flag"),
+        F.col("l_linenumber").cast("string").alias("ship"),
+        F.array(F.col("l_tax"), F.when(key % 9 == 0, F.lit(float("nan"))).otherwise(F.col("l_discount"))).alias("rates"),
+        F.array(F.when(odd, F.lit("F")).otherwise(F.lit("x")), F.lit(None).cast("string")).alias("tags"),
+        F.when(key % 8 == 0, F.lit("many")).otherwise(F.col("l_linenumber").cast("string")).alias("count"),
+    )
+
+
+@registered("""SELECT 'ERROR' AS severity, rule, path, count(*) AS rows FROM (SELECT unnest([
+CASE WHEN l_orderkey % 7 = 0 THEN {'rule': 'required', 'path': 'quantity'} END, CASE WHEN l_returnflag NOT IN ('A', 'N') THEN {'rule': 'enum', 'path': 'flag'} END,
+CASE WHEN l_linenumber NOT IN (1, 2) THEN {'rule': 'pattern', 'path': 'ship'} END, CASE WHEN l_orderkey % 9 = 0 THEN {'rule': 'finite-number', 'path': 'rates[*]'} END,
+CASE WHEN l_linenumber % 2 = 0 THEN {'rule': 'enum', 'path': 'tags[*]'} END, CASE WHEN l_orderkey % 8 = 0 THEN {'rule': 'type', 'path': 'count'} END], recursive := true) FROM lineitem) WHERE rule IS NOT NULL GROUP BY 1, 2, 3""")
+def schema_rules(spark, sf):
+    """Issues of rows by rules that the schema implies, in lists too."""
+    rows = _line_rows(spark, sf)
+    return validation.issue_counts(validation.with_issues(rows, validation.schema_rules(_LINE, "Line", rows.schema), [c.name for c in _LINE.flat_columns("Line")]))
+
+
+@registered("""SELECT 'lines' AS "table", CASE WHEN (SELECT count(*) FROM lineitem) <= 10000 THEN 'full' ELSE 'sample' END AS mode, (SELECT count(*) FROM lineitem) AS eligible, CASE WHEN (SELECT count(*) FROM lineitem) <= 10000 THEN (SELECT count(*) FROM lineitem) ELSE 100 END AS selected
+UNION ALL SELECT 'nations', 'full', count(*), count(*) FROM nation""")
+def sampled_report(spark, sf):
+    """Few rows are validated all, many by a sample that doesn't depend on their order."""
+    lines = _line_rows(spark, sf)
+    nations = load(spark, sf, "nation")
+    found = validation.report({"lines": (lines, validation.schema_rules(_LINE, "Line", lines.schema)), "nations": (nations, [validation.required("n_name")])})
+    return found.where(F.col("valid") + F.col("invalid") == F.col("selected")).select("table", "mode", "eligible", "selected")
+
+
+@registered("SELECT n_name AS \"table\", 'version' AS field, CAST(n_regionkey AS VARCHAR) AS expected, CAST(CASE WHEN n_nationkey % 5 = 0 THEN 9 ELSE n_regionkey END AS VARCHAR) AS found FROM nation WHERE n_nationkey % 5 = 0")
+def contract_check(spark, sf):
+    """Where a manifest's table facts differ from the schema's."""
+    n = load(spark, sf, "nation").select(F.col("n_name").alias("table"), F.lit("version").alias("field"), "n_nationkey", F.col("n_regionkey").cast("string").alias("value"))
+    return validation.contract(n.withColumn("value", F.when(F.col("n_nationkey") % 5 == 0, F.lit("9")).otherwise(F.col("value"))).drop("n_nationkey"), n.drop("n_nationkey"))
+
+
 @registered("""SELECT c_custkey, sha256('{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}') AS digest FROM customer ORDER BY digest LIMIT 100""")
 def digest_sample(spark, sf):
     return validation.sample(load(spark, sf, "customer").select("c_custkey", "c_name"), 100, "c_custkey", "c_name").select("c_custkey", "digest")
 
 
-@registered("SELECT event_type AS type, count(*) FILTER (event_id % 4 = 0) AS files_with_data, count(*) FILTER (event_id % 4 = 1) AS placeholders, count(*) FILTER (event_id % 4 = 2) AS misses, count(*) FILTER (event_id % 4 = 3) AS errors, sum(user_id) AS rows, sum(event_id % 3) AS null_keys, count(*) FILTER (event_id % 3 > 0) AS files_with_null_keys FROM events GROUP BY 1")
+@registered("SELECT event_type AS type, count(*) FILTER (event_id % 4 = 0) AS files_with_data, count(*) FILTER (event_id % 4 = 1) AS placeholders, count(*) FILTER (event_id % 4 = 2) AS misses, count(*) FILTER (event_id % 4 = 3) AS errors, sum(user_id) AS rows, sum(event_id % 3) AS null_keys, count(*) FILTER (event_id % 3 > 0) AS files_with_null_keys, array_to_string(list_sort(list('f' || event_id) FILTER (event_id % 4 = 2))[1:5], ',') AS missing FROM events GROUP BY 1")
 def load_statistics(spark, sf):
     e = load(spark, sf, "events")
     status = F.element_at(F.array(*map(F.lit, ("data", "placeholder", "miss", "error"))), (F.col("event_id") % 4 + 1).cast("int"))
     bound = e.select(F.col("event_type").alias("type"), F.concat(F.lit("f"), "event_id").alias("file"), status.alias("status"), F.col("user_id").alias("rows"), (F.col("event_id") % 3).alias("null_keys"))
-    return validation.load_stats(bound).drop("missing")
+    return validation.load_stats(bound).withColumn("missing", F.array_join("missing", ","))
 
 
 @registered("SELECT unnest(['customer', 'nation', 'orders', 'part']) AS \"table\", unnest([(SELECT count(*) FROM customer), (SELECT count(*) FROM nation), (SELECT count(*) FROM orders), (SELECT count(*) FROM part)]) AS rows, true AS stable")
@@ -634,8 +720,7 @@ def spot_check(spark, sf):
 
 
 def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="checkpoint-")
-    return f"{base.rstrip('/')}/files/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/files/{uuid.uuid4().hex}"
 
 
 @registered("SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority LIKE '1%'")
@@ -711,6 +796,13 @@ def enum_suggestions(spark, sf):
     return S.suggestions(known.withColumn("v", F.concat("v", F.lit("x"))), known.distinct(), "v").where("place = 1").select("value", "suggestion")
 
 
+@registered("SELECT 'x' || event_type || 'x' AS value, event_type AS suggestion FROM events WHERE length(event_type) >= 4 GROUP BY 1, 2")
+def enum_suggestions_at_both_ends(spark, sf):
+    """Values that differ from members in their first and last letters."""
+    known = load(spark, sf, "events").select(F.col("event_type").alias("v"))
+    return S.suggestions(known.where("length(v) >= 4").withColumn("v", F.concat(F.lit("x"), "v", F.lit("x"))), known, "v").where("place = 1").select("value", "suggestion")
+
+
 @registered(f"{_WALK.replace('FROM orders\n', 'FROM orders WHERE o_orderstatus = ' + chr(39) + 'F' + chr(39) + chr(10))} SELECT w.origin, r_name, min(hops) AS n_hops FROM w JOIN region ON w.id = 'r' || r_regionkey GROUP BY 1, 2")
 def walk_chosen(spark, sf):
     """The walk from a chosen set of runs, with the terminals' own columns."""

@@ -53,6 +53,8 @@ class FlatColumn:
     identifier: bool = False
     designates_type: bool = False
     comment: str = ""
+    pattern: str = ""
+    enum: tuple[str, ...] = ()
     guards: tuple[tuple[tuple[str, ...], str, frozenset[str]], ...] = ()
 
     def field(self) -> T.StructField:
@@ -141,7 +143,7 @@ class Schema:
 
     def _leaf(self, slot: Slot, name: str, path: tuple[str, ...], guards, comment: str, top: bool) -> FlatColumn:
         return FlatColumn(
-            name, path, self.type_of(slot.range), slot.multivalued, False, top and slot.required, top and slot.identifier, top and slot.designates_type, comment or slot.description, guards
+            name, path, self.type_of(slot.range), slot.multivalued, False, top and slot.required, top and slot.identifier, top and slot.designates_type, comment or slot.description, slot.pattern, slot.enum, guards
         )
 
     def _inside(self, slot: Slot, prefix: str, path: tuple[str, ...], guards, depth: int) -> list[FlatColumn]:

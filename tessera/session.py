@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def attach(spark: SparkSession) -> SparkSession:
@@ -14,3 +16,20 @@ def attach(spark: SparkSession) -> SparkSession:
     if root not in known.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{root}" if known else root
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir, which all executors share. Only a local session may do without."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(folder := tempfile.mkdtemp(prefix="checkpoint-"))
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder as Parquet and read again: cuts lineage, survives lost executors, and is made once."""
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -166,7 +166,7 @@ def test_walk(spark):
     reached = graph.walk(edges, seeds, end)
     want = {("r1", "end1", 2), ("r2", "end1", 2), ("r2", "end2", 2), ("r3", "end3", 2)}
     assert {tuple(r) for r in graph.min_hops(reached).collect()} == want
-    assert {tuple(r) for r in graph.walk_recursive(spark, edges, seeds, "id LIKE 'end%'").collect()} == want
+    assert {tuple(r) for r in graph.walk_recursive(spark, edges, seeds, F.col("id").startswith("end")).collect()} == want
     assert {tuple(r) for r in graph.walk(edges.repartition(7), seeds, end, 1).where("terminal").collect()} == set()
     types = spark.createDataFrame([("a", "Pooling"), ("p", "Pooling"), ("x", "Other"), ("end1", "Extraction")], "id string, type string")
     origins = spark.createDataFrame([("r1", "W"), ("r2", "W")], "origin string, origin_type string")
@@ -203,9 +203,26 @@ def test_scalars(spark):
     assert tuple(row) == ("ABC:1_2", "3", None, "q", 12.0, "K:1_2")
     known = spark.createDataFrame([("metagenome",), ("metabolome",), ("proteome",)], "v string")
     assert [r["suggestion"] for r in S.suggestions(spark.createDataFrame([("metagenom",)], "v string"), known, "v").orderBy("place").collect()] == ["metagenome", "metabolome"]
+    clicks = spark.createDataFrame([("click",), ("click_through",), ("",)], "v string")
+    asked = spark.createDataFrame([("xlicx",), ("cxick_throughx",), (None,), ("zzzzzzzzzz",)], "v string")
+    assert {(r["value"], r["suggestion"]) for r in S.suggestions(asked, clicks, "v").collect()} == {("xlicx", "click"), ("cxick_throughx", "click_through")}
     assert S.safe_name("KO, annotation (v2)") == "ko_annotation_v2"
 
 
+def test_rules_of_a_schema(spark):
+    schema = Schema.of(ClassSpec("Base", (Slot("id", identifier=True), Slot("kind", enum=("a", "b"), required=True), Slot("n", "float", multivalued=True))), ClassSpec("Sub", (Slot("code", pattern="[A-Z]{2}"),), is_a="Base"))
+    df = spark.createDataFrame([("1", "a", [1.0, None], "AB"), (None, "z", [float("inf")], "ABC"), ("3", None, None, None)], "id string, kind string, n array<double>, code string")
+    issues = validation.issue_counts(validation.with_issues(df, validation.schema_rules(schema, "Base", df.schema), df.columns))
+    assert {(r["rule"], r["path"], r["rows"]) for r in issues.collect()} == {("required", "id", 1), ("required", "kind", 1), ("enum", "kind", 1), ("finite-number", "n[*]", 1), ("pattern", "code", 1)}
+
+
+def test_an_anchor_is_needed(spark):
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "id int, v string")
+    assert A.anchor_row(df, "id").first()["v"] == "a"
+    with pytest.raises(LookupError):
+        A.anchor_row(df.where("id > 5"), "id")
+
+
 def test_validation(spark):
     df = spark.createDataFrame([(1, "a", 1.0, ["x"]), (None, "z", float("nan"), ["q"])], "id int, kind string, n double, tags array<string>")
     rules = [validation.required("id"), validation.enumerated("kind", ("a",)), validation.finite_number("n"), validation.list_members("tags", ("x",)), *validation.rules_of(T.StructType([]), {"kind": {"pattern": "^[a-z]$"}})]
