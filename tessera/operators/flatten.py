@@ -6,11 +6,14 @@ place of an id don't lose the row. A record's class is the part of its `type` af
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.schema import FlatColumn, Schema, Slot
+from tessera.session import written
 
 _SQL = {T.LongType(): "long", T.DoubleType(): "double", T.BooleanType(): "boolean", T.StringType(): "string"}
 
@@ -20,6 +23,11 @@ def records(df: DataFrame, raw: str = "raw", name: str = "record") -> DataFrame:
     return df.withColumn(name, F.try_parse_json(raw))
 
 
+def parsed_once(df: DataFrame, record: str = "record") -> DataFrame:
+    """The records as a VARIANT table in the shared folder: each table made of a collection reads that, and the JSON is made and parsed once."""
+    return written(df.select(record))
+
+
 def _path(path: tuple[str, ...]) -> str:
     return "$" + "".join(f"['{p}']" for p in path)
 
@@ -128,6 +136,25 @@ def flatten_all(collections: dict[str, DataFrame], schema: Schema, root: str = "
     return tables
 
 
+def run_all(collections: dict[str, DataFrame], schema: Schema, write: Callable[[str, DataFrame], int], root: str = "Database", skip: tuple[str, ...] = (), record: str = "record") -> list[dict]:
+    """Flatten and write (write: table, rows -> number of rows) each collection, and say how it went: collection, status (written, skipped, absent or
+    failed), error (the kind of exception only) and rows by table. Each is parsed once; side tables without rows aren't written. One that fails doesn't stop the others."""
+    results = []
+    for name, cls in schema.collections(root).items():
+        status, error, rows = "skipped" if name in skip else "written" if name in collections else "absent", None, {}
+        if status == "written":
+            try:
+                once = parsed_once(collections[name], record)
+                rows[name] = write(name, primary(once, schema, cls, record))
+                for table, side in side_tables(once, schema, cls, name, record).items():
+                    if not side.isEmpty():
+                        rows[table] = write(table, side)
+            except Exception as e:
+                status, error = "failed", type(e).__name__
+        results.append({"collection": name, "status": status, "error": error, "rows": rows})
+    return results
+
+
 def dry_run(tables: dict[str, DataFrame]) -> dict[str, int]:
     """Rows that each table would have; nothing is written."""
     return {name: df.count() for name, df in tables.items()}

@@ -94,13 +94,34 @@ def side_child(spark, sf):
 @registered(f"SELECT c_mktsegment AS segment, n_name AS nation, count(*) AS n_lines, round(sum(l_quantity), 2) AS quantity FROM {_JOINED} JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2 ORDER BY n_lines DESC, 1, 2 LIMIT 20")
 def flatten_then_rank(spark, sf):
     """The flagship: nested documents to primary and child tables, lines summed before the join, top groups."""
-    nested = nested_orders(spark, sf)
+    nested = flatten.parsed_once(nested_orders(spark, sf))
     orders = flatten.primary(nested, ORDERS, "Order").select("id", "customer_segment", "customer_nation_name")
     lines = flatten.side_tables(nested, ORDERS, "Order", "order_set")["order_set_lines"].groupBy("parent_id").agg(F.count("*").alias("n"), F.sum("quantity").alias("q"))
     joined = orders.join(lines, F.col("id") == F.col("parent_id")).groupBy(F.col("customer_segment").alias("segment"), F.col("customer_nation_name").alias("nation"))
     return joined.agg(F.sum("n").alias("n_lines"), F.round(F.sum("q"), 2).alias("quantity")).orderBy(F.desc("n_lines"), "segment", "nation").limit(20)
 
 
+@registered("""SELECT 'order_set' AS collection, 'written' AS status, unnest(['order_set', 'order_set_lines', 'order_set_parts']) AS "table", unnest([(SELECT count(*) FROM orders), (SELECT count(*) FROM lineitem), (SELECT count(*) FROM lineitem WHERE l_partkey % 10 <> 0)]) AS rows
+UNION ALL SELECT 'draft_set', 'written', 'draft_set', count(*) FROM nation UNION ALL SELECT 'broken_set', 'failed', NULL, NULL UNION ALL SELECT 'left_set', 'skipped', NULL, NULL""")
+def flatten_collections(spark, sf):
+    """All collections of a database, with a result for each: one has no rows in its side tables, one fails, one is skipped."""
+    sets = ClassSpec("Database", tuple(Slot(f"{n}_set", "Order", multivalued=True) for n in ("order", "draft", "broken", "left")))
+    schema = Schema.of(*[c for n, c in ORDERS.classes.items() if n != "Database"], sets)
+    key = F.concat(F.lit("n"), "n_nationkey")
+    nations = load(spark, sf, "nation")
+    texts = {"draft_set": F.to_json(F.struct(key.alias("id"))), "broken_set": F.to_json(F.struct(key.alias("id"), F.lit("much").alias("total")))}
+    found = {n: flatten.records(nations.select(t.alias("raw"))) for n, t in texts.items()} | {"order_set": nested_orders(spark, sf), "left_set": nested_orders(spark, sf)}
+    folder = _folder(spark)
+
+    def write(table: str, rows: DataFrame) -> int:
+        rows.write.parquet(f"{folder}/{table}")
+        return spark.read.parquet(f"{folder}/{table}").count()
+
+    results = flatten.run_all(found, schema, write, skip=("left_set",))
+    rows = [(r["collection"], r["status"], t, n) for r in results for t, n in (r["rows"] or {None: None}).items()]
+    return spark.createDataFrame(rows, 'collection string, status string, `table` string, rows long')
+
+
 @registered("SELECT l_orderkey AS id, count(*) AS n, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey) AS parts FROM lineitem GROUP BY 1")
 def flatten_lone_value(spark, sf):
     """Orders with one line hold a number where others hold a list."""
