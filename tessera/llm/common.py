@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import written  # noqa: F401  the operators take it from here
+
 #: What separates words in the operators that count or shingle words: space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -19,17 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir. Only a local session may do without."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
 def tidy(spark: SparkSession) -> SparkSession:
     """Have Spark drop a job's shuffle files when its result is written, not when the driver collects its garbage. Operators of many
     steps call this first, so that they need disk for their largest step, not for the sum of all."""
@@ -37,14 +26,6 @@ def tidy(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df, written to the shared checkpoint folder as Parquet and read again: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{checkpoint_folder(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def beside(df: DataFrame, *results: str, row: str = "row") -> list[Column]:
     """The columns of df out of the struct `row` (of all of them), but for those that have the name of a result: a result replaces them.
     Operators pack rows that way, so that columns of theirs may have any name."""
