@@ -24,8 +24,18 @@ def to_number(value: Column | str, kind: str = "double") -> Column:
 
 def attribute(text: Column | str, key: str) -> Column:
     """The value of the last `key=value` between semicolons, null if there is none."""
-    found = F.regexp_extract_all(col(text), F.lit(f"(?:^|;)\\s*{key}=([^;]*)"), F.lit(1))
-    return F.when(F.size(found) > 0, F.element_at(found, -1))
+    return attribute_of(attribute_list(text), key)
+
+
+def attribute_list(text: Column | str) -> Column:
+    """`;key=value;key=value` without blanks before keys: what attribute_of() takes, so that several keys share the work."""
+    return F.regexp_replace(F.concat(F.lit(";"), col(text)), r";\s+", ";")
+
+
+def attribute_of(listed: Column | str, key: str) -> Column:
+    """attribute(), of an attribute_list(); plain string functions that stay in generated code."""
+    start = f";{key}="
+    return F.when(col(listed).contains(start), F.substring_index(F.substring_index(col(listed), start, -1), ";", 1))
 
 
 def unquoted(text: Column | str) -> Column:
@@ -70,9 +80,25 @@ def is_placeholder(text: Column | str, phrases: tuple[str, ...]) -> Column:
     return (body == "") | (~body.contains("\n") & known)
 
 
-def row_digest(*columns: str) -> Column:
-    """SHA-256 of a row as JSON with sorted keys and without nulls."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in sorted(columns)])), 256)
+def canonical(value: Column, kind: T.DataType) -> Column:
+    """A value whose JSON is the same for equal rows: keys of objects sorted at every depth, maps in key order, numbers that aren't finite
+    as objects, so that NaN and the text `NaN` differ."""
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[canonical(value[f.name], f.dataType).alias(f.name) for f in sorted(kind, key=lambda f: f.name)])
+        return F.when(value.isNotNull(), inner) if kind.fields else value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: canonical(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform(F.array_sort(F.map_entries(value)), lambda e: F.struct(e["key"].alias("key"), canonical(e["value"], kind.valueType).alias("value")))
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        number = F.when(finite(value), value)
+        return F.when(value.isNotNull(), F.struct(number.alias("number"), F.when(~finite(value), value.cast("string")).alias("special")))
+    return value
+
+
+def row_digest(df: DataFrame, *columns: str) -> Column:
+    """SHA-256 of a row's columns as canonical JSON: keys sorted at every depth, nulls absent."""
+    return F.sha2(F.to_json(F.struct(*[canonical(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in sorted(columns)])), 256)
 
 
 def safe_name(name: str) -> str:

@@ -204,5 +204,13 @@ def joined(value: Column, kind: T.ArrayType) -> Column:
         return F.array_join(value.cast("array<string>"), "|")
     if len(element.fields) == 1:
         return F.array_join(F.array_sort(F.transform(value, lambda x: x[element.fields[0].name].cast("string"))), "|")
-    ordered = F.transform(value, lambda x: F.struct(*[x[n].alias(n) for n in sorted(element.names)]))
-    return F.to_json(ordered)
+    return F.to_json(_by_name(value, kind))
+
+
+def _by_name(value: Column, kind: T.DataType) -> Column:
+    """A value with the fields of its objects in name order, at every depth."""
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _by_name(x, kind.elementType))
+    if isinstance(kind, T.StructType) and kind.fields:
+        return F.when(value.isNotNull(), F.struct(*[_by_name(value[f.name], f.dataType).alias(f.name) for f in sorted(kind, key=lambda f: f.name)]))
+    return value

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sinks.tables import stored_bytes
+
 
 class SnapshotError(ValueError):
     pass
@@ -35,12 +39,31 @@ def inventory(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), each)
 
 
+def stored_inventory(spark: SparkSession, paths: dict[str, str], lineage: dict[str, list[str]] | None = None) -> DataFrame:
+    """The inventory of Parquet tables by path, with bytes on disk and the ids of what each was made from."""
+    facts = [(n, stored_bytes(spark, p), sorted((lineage or {}).get(n, []))) for n, p in paths.items()]
+    known = spark.createDataFrame(facts, "`table` string, bytes long, made_from array<string>")
+    return inventory({n: spark.read.parquet(p) for n, p in paths.items()}).join(known, "table")
+
+
 def catalog_inventory(spark: SparkSession, database: str) -> DataFrame:
     """The inventory of a database's tables, read only."""
     names = sorted(t.name for t in spark.catalog.listTables(database) if t.tableType != "TEMPORARY")
     return inventory({n: spark.table(f"`{database}`.`{n}`") for n in names})
 
 
+def catalog_formats(spark: SparkSession, database: str, reviewed: str | None = None) -> DataFrame:
+    """table, format of a database's tables, from the catalog alone; an error if one hasn't the reviewed format."""
+    found = []
+    for t in spark.catalog.listTables(database):
+        if t.tableType != "TEMPORARY":
+            said = spark.sql(f"DESCRIBE EXTENDED `{database}`.`{t.name}`").where("col_name = 'Provider'").first()
+            found.append((t.name, said["data_type"].lower() if said else None))
+    if odd := sorted(n for n, f in found if reviewed and f != reviewed):
+        raise SnapshotError(f"not {reviewed}: {', '.join(odd)}")
+    return spark.createDataFrame(found, "`table` string, format string")
+
+
 def differences(expected: DataFrame, found: DataFrame, key: str = "table") -> DataFrame:
     """key, status: missing, unexpected or changed."""
     names = [c for c in expected.columns if c != key]
@@ -51,8 +74,16 @@ def differences(expected: DataFrame, found: DataFrame, key: str = "table") -> Da
 
 def manifest(tables: dict[str, DataFrame], metrics: DataFrame) -> DataFrame:
     """The inventory, if the run's metrics (table, rows) agree with it in tables and rows; else an error that names some."""
-    made = inventory(tables).cache()
-    if bad := differences(metrics.select("table", "rows"), made.select("table", "rows")).limit(10).collect():
+    return _agreed(inventory(tables).cache(), metrics, "rows")
+
+
+def stored_manifest(spark: SparkSession, paths: dict[str, str], metrics: DataFrame, lineage: dict[str, list[str]] | None = None) -> DataFrame:
+    """The stored inventory, if the run's metrics (table, rows, bytes) agree with it in tables, rows and bytes."""
+    return _agreed(stored_inventory(spark, paths, lineage).cache(), metrics, "rows", "bytes")
+
+
+def _agreed(made: DataFrame, metrics: DataFrame, *facts: str) -> DataFrame:
+    if bad := differences(metrics.select("table", *facts), made.select("table", *facts)).limit(10).collect():
         raise SnapshotError("; ".join(f"{r['table']} is {r['status']}" for r in bad))
     return made
 
@@ -115,8 +146,32 @@ def row_changes(old: DataFrame, new: DataFrame, *key: str) -> DataFrame:
     return both.groupBy(change.alias("change")).agg(F.count("*").alias("rows"))
 
 
+def measured(name: str, source: DataFrame, make: Callable[[DataFrame], DataFrame], path: str) -> dict:
+    """Write make(source) to a new folder and say what Spark saw: run, rows_read, rows_written, bytes, seconds, error.
+
+    Rows are counted in the same pass, as they come from the source and as they are written; filters of `make` aren't pushed into the source's
+    scan, as rows before them count as read."""
+    read, wrote = Observation(), Observation()
+    count = F.count(F.lit(1)).alias("rows")
+    began, facts = time.monotonic(), {"run": name}
+    try:
+        make(source.observe(read, count)).observe(wrote, count).write.parquet(path)
+        facts |= {"rows_read": read.get["rows"], "rows_written": wrote.get["rows"], "bytes": stored_bytes(source.sparkSession, path)}
+    except Exception as e:
+        facts["error"] = e
+    return facts | {"seconds": time.monotonic() - began}
+
+
 def run_metrics(spark: SparkSession, runs: list[dict]) -> DataFrame:
-    """run, status, rows_read, rows_written, seconds, rows_per_second; failures carry the kind of error, never its text."""
-    rows = [(r["run"], "failed" if r.get("error") else "success", type(r["error"]).__name__ if r.get("error") else None, r.get("rows_read", 0), r.get("rows_written", 0), float(r.get("seconds", 0.0))) for r in runs]
-    made = spark.createDataFrame(rows, "run string, status string, error string, rows_read long, rows_written long, seconds double")
+    """run, status, error, rows_read, rows_written, bytes, seconds, rows_per_second of measured() runs; failures carry the kind of error, never its text."""
+    rows = [
+        (r["run"], "failed" if r.get("error") else "success", type(r["error"]).__name__ if r.get("error") else None, r.get("rows_read", 0), r.get("rows_written", 0), r.get("bytes", 0), float(r.get("seconds", 0.0)))
+        for r in runs
+    ]
+    made = spark.createDataFrame(rows, "run string, status string, error string, rows_read long, rows_written long, bytes long, seconds double")
     return made.withColumn("rows_per_second", F.when(F.col("seconds") > 0, F.col("rows_written") / F.col("seconds")))
+
+
+def run_totals(metrics: DataFrame) -> DataFrame:
+    """runs, failed, rows_read, rows_written, bytes, seconds over all runs."""
+    return metrics.agg(F.count("*").alias("runs"), F.count_if(F.col("status") == "failed").alias("failed"), *[F.sum(c).alias(c) for c in ("rows_read", "rows_written", "bytes", "seconds")])

@@ -110,7 +110,7 @@ def validity(checked: DataFrame) -> DataFrame:
 
 def sample(df: DataFrame, k: int, *key: str) -> DataFrame:
     """The k rows of the smallest digest: the same whatever the order and the partitions."""
-    return df.withColumn("digest", row_digest(*(key or df.columns))).orderBy("digest").limit(k)
+    return df.withColumn("digest", row_digest(df, *(key or df.columns))).orderBy("digest").limit(k)
 
 
 def selected(df: DataFrame, full: bool = False, full_up_to: int = FULL_UP_TO, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, str, int]:

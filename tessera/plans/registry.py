@@ -86,6 +86,22 @@ def side_junction(spark, sf):
     return flatten.side_tables(nested_orders(spark, sf), ORDERS, "Order", "order_set")["order_set_parts"]
 
 
+@registered("SELECT CAST(l_orderkey AS VARCHAR) AS parent_id, CAST(l_partkey AS VARCHAR) AS parts FROM lineitem WHERE l_orderkey % 3 = 0")
+def side_without_id(spark, sf):
+    """Records whose id is missing or blank give no side rows."""
+    key = F.col("l_orderkey")
+    record = F.struct(F.when(key % 3 == 0, key.cast("string")).when(key % 3 == 1, F.lit("")).alias("id"), F.col("parts"))
+    lists = load(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.col("l_partkey").cast("string")).alias("parts"))
+    return flatten.side_tables(flatten.records(lists.select(F.to_json(record).alias("raw"))), ORDERS, "Order", "order_set")["order_set_parts"]
+
+
+@registered("SELECT 'order_set' AS \"table\", count(*) AS rows FROM orders UNION ALL SELECT 'order_set_lines', count(*) FROM lineitem UNION ALL SELECT 'order_set_parts', count(*) FROM lineitem WHERE l_partkey % 10 <> 0")
+def flatten_dry_run(spark, sf):
+    """Rows that each table of a database would have; no table is written."""
+    counts = flatten.dry_run(flatten.flatten_all({"order_set": flatten.parsed_once(nested_orders(spark, sf))}, ORDERS))
+    return spark.createDataFrame(sorted(counts.items()), "`table` string, rows long")
+
+
 @registered("SELECT 'order:' || l_orderkey AS parent_id, CAST(l_linenumber AS BIGINT) AS number, 'part:' || l_partkey AS part, l_quantity AS quantity, l_extendedprice AS price, l_returnflag AS flag FROM lineitem")
 def side_child(spark, sf):
     return flatten.side_tables(nested_orders(spark, sf), ORDERS, "Order", "order_set")["order_set_lines"].select("parent_id", "number", "part", "quantity", "price", "flag")
@@ -317,6 +333,33 @@ def read_aligned(spark, sf):
     return R.aligned(part.select(F.lit("f").alias("file"), value.alias("value")).unionByName(rules)).drop("file")
 
 
+@registered("SELECT 'f' AS file, p_retailprice AS pct_clade, CAST(p_size AS BIGINT) AS clade_reads, CASE WHEN p_partkey % 3 > 0 THEN p_partkey END AS direct_reads, 'S' AS rank, p_partkey AS taxid, '  ' || p_name AS name FROM part WHERE p_partkey % 7 > 0")
+def read_kraken(spark, sf):
+    """A headerless table of six columns, by the table of parsers; every seventh line lacks its name."""
+    p = load(spark, sf, "part")
+    direct = F.when(F.col("p_partkey") % 3 > 0, F.col("p_partkey").cast("string")).otherwise("-")
+    start = F.concat_ws("\t", F.col("p_retailprice").cast("string"), F.concat(F.lit(" "), "p_size"), direct, F.lit("S"), F.col("p_partkey").cast("string"))
+    value = F.when(F.col("p_partkey") % 7 == 0, start).otherwise(F.concat(start, F.lit("\t  "), "p_name"))
+    return R.PARSERS["kraken"](p.select(F.lit("f").alias("file"), value.alias("value")))
+
+
+@registered("""SELECT 'r' || o_orderkey AS file, o_orderkey AS n_seqs, o_custkey AS n_bps, 3 AS len_shortest_seq, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 100 END AS len_longest_seq, 1.5::DOUBLE AS avg_seq_length, o_totalprice AS median_seq_length, 0.25::DOUBLE AS stddev_seq_length,
+o_orderkey - 1 AS n_seqs_with_genes, 1 AS n_seqs_without_genes, o_custkey + 2 AS n_cds, 7 AS n_trna, NULL::BIGINT AS n_ncrna, NULL::BIGINT AS n_rrna, o_orderkey % 3 AS n_crispr, (o_orderkey % 100)::DOUBLE AS coding_density_pct, 900::DOUBLE AS genes_per_1m_bp, NULL::DOUBLE AS seqs_per_1m_bp FROM orders WHERE o_orderkey % 6 > 0""")
+def annotation_statistics(spark, sf):
+    """A report of three tables for each order; every sixth has none of the sections, some lines aren't numbers, a feature comes twice."""
+    o = load(spark, sf, "orders")
+    t = lambda c: F.col(c).cast("string")
+    rule, dash, tab = "=" * 20, "-" * 20, "\t"
+    longest = F.when(F.col("o_orderkey") % 5 > 0, (F.col("o_orderkey") % 100).cast("string")).otherwise("n/a")
+    head = tab.join(("Data type", "Number of seqs", "Number of bps", "Length shortest seq", "Length longest seq", "Average length", "Median length", "Standard deviation"))
+    report = F.concat(
+        F.lit(f"made by a tool\n\nProcessed Sequences Statistics\n\n{rule}\n{head}\n{dash}\n'final_fasta'\t"), t("o_orderkey"), F.lit(tab), t("o_custkey"), F.lit("\t3\t"), longest, F.lit("\t1.5\t"), t("o_totalprice"), F.lit("\t0.25\n'sequences_with_genes'\t"), (F.col("o_orderkey") - 1).cast("string"), F.lit("\t1\n\n'sequences_without_genes'\t1\n"), F.lit(f"{rule}\n\nPredicted Genes Statistics\n{rule}\nFeature type\tPrediction method\tNumber of predicted features\n{dash}\n'CDS'\ta\t"),
+        t("o_custkey"), F.lit("\n'CDS'\tb\t2\n'tRNA'\ta\t7\n'CRISPR'\ta\t"), (F.col("o_orderkey") % 3).cast("string"), F.lit(f"\n{rule}\nGeneral Quality Info\n{rule}\nCoding density\tGenes per 1M bp\n{dash}\n"), (F.col("o_orderkey") % 100).cast("string"), F.lit(f"%\t900\n{rule}\n"),
+    )
+    other = F.lit(f"Something else\n{rule}\na\tb\n1\t2\n{rule}\n")
+    return R.statistics(o.select(F.concat(F.lit("r"), "o_orderkey").alias("file"), F.when(F.col("o_orderkey") % 6 == 0, other).otherwise(report).alias("value")))
+
+
 @registered("SELECT 'r' || o_orderkey AS file, CAST(o_orderkey AS DOUBLE) AS n_seqs, CAST(o_custkey AS DOUBLE) AS n_cds, CAST(o_orderkey % 100 AS DOUBLE) AS density, CAST(NULL AS DOUBLE) AS n_other FROM orders")
 def read_sections(spark, sf):
     """A report of three sections for each order."""
@@ -683,6 +726,16 @@ def digest_sample(spark, sf):
     return validation.sample(load(spark, sf, "customer").select("c_custkey", "c_name"), 100, "c_custkey", "c_name").select("c_custkey", "digest")
 
 
+@registered("""SELECT n_nationkey AS id, sha256('{"id":' || n_nationkey || ',"place":{"a":[{"k":"' || n_name || '","z":1}],"b":' || n_regionkey || '},"x":{' || CASE WHEN n_nationkey % 2 = 0 THEN '"special":"NaN"' ELSE '"number":0.5' END || '}}') AS digest FROM nation""")
+def nested_digest(spark, sf):
+    """Keys are sorted at every depth, nulls are left out, and numbers that aren't finite have a form of their own."""
+    element = F.struct(F.lit(1).alias("z"), F.col("n_name").alias("k"), F.lit(None).cast("string").alias("m"))
+    place = F.struct(F.col("n_regionkey").alias("b"), F.array(element).alias("a"))
+    x = F.when(F.col("n_nationkey") % 2 == 0, F.lit(float("nan"))).otherwise(F.lit(0.5))
+    rows = load(spark, sf, "nation").select(x.alias("x"), place.alias("place"), F.col("n_nationkey").alias("id"))
+    return rows.select("id", S.row_digest(rows, *rows.columns).alias("digest"))
+
+
 @registered("SELECT event_type AS type, count(*) FILTER (event_id % 4 = 0) AS files_with_data, count(*) FILTER (event_id % 4 = 1) AS placeholders, count(*) FILTER (event_id % 4 = 2) AS misses, count(*) FILTER (event_id % 4 = 3) AS errors, sum(user_id) AS rows, sum(event_id % 3) AS null_keys, count(*) FILTER (event_id % 3 > 0) AS files_with_null_keys, array_to_string(list_sort(list('f' || event_id) FILTER (event_id % 4 = 2))[1:5], ',') AS missing FROM events GROUP BY 1")
 def load_statistics(spark, sf):
     e = load(spark, sf, "events")
@@ -835,8 +888,117 @@ def walk_chosen(spark, sf):
 
 @registered("SELECT event_type AS name, count(*) AS rows FROM events GROUP BY 1")
 def tables_by_type(spark, sf):
-    """One output for each type."""
+    """One output for each type that has rows; one of the types has none."""
     e = load(spark, sf, "events")
-    kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())
+    kinds = [*sorted(r[0] for r in e.select("event_type").distinct().collect()), "a type without rows"]
     parts = [d.agg(F.count("*").alias("rows")).select(F.lit(n).alias("name"), "rows") for n, d in W.nonempty_tables(W.by_type(e, "event_type", kinds)).items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@registered("SELECT CAST(o_orderkey AS BIGINT) AS id, CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS made, CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS status FROM orders")
+def json_union(spark, sf):
+    """JSON files of two ages with differing fields, by name; dates stay text."""
+    o, path = load(spark, sf, "orders"), _folder(spark)
+    key = F.col("o_orderkey").alias("id")
+    o.where("o_orderkey % 2 = 0").select(key, F.date_format("o_orderdate", "yyyy-MM-dd").alias("made")).write.json(f"{path}/old")
+    o.where("o_orderkey % 2 = 1").select(key, F.col("o_orderstatus").alias("status")).write.json(f"{path}/new")
+    return R.read_json_union(spark, f"{path}/old", f"{path}/new")
+
+
+@registered("SELECT unnest(['orders', 'lineitem', 'events']) AS \"table\", unnest([(SELECT count(*) FROM orders), (SELECT count(*) FROM lineitem), (SELECT count(*) FROM events)]) AS rows")
+def collection_sizes(spark, sf):
+    return R.row_counts({n: load(spark, sf, n) for n in ("orders", "lineitem", "events")})
+
+
+@registered("SELECT 'run' || (page_id % 7) AS workflow_run_id, CAST(page_id AS VARCHAR) AS data_object_id, page_id * 2 AS n FROM pages WHERE page_id % 3 > 0 AND page_id % 2 = 0")
+def manifest_rows(spark, sf):
+    """A manifest as CSV: files without bytes go, landed files are bound to it, and their rows get the run and data object of their file."""
+    p, path = load(spark, sf, "pages"), _folder(spark)
+    size = F.when(F.col("page_id") % 6 == 0, F.lit("none")).when(F.col("page_id") % 3 == 0, F.lit("0")).otherwise(F.lit("12"))
+    listed = p.select(F.col("page_id").alias("id"), F.concat(F.lit("https://h/d/"), "page_id", F.lit(".tsv?a=1,b")).alias("url"), size.alias("file_size_bytes"), F.concat(F.lit("run"), F.col("page_id") % 7).alias("was_generated_by"))
+    listed.write.option("header", True).option("escape", '"').csv(path)
+    landed = p.where("page_id % 2 = 0").select(F.concat(F.lit("/d/"), "page_id", F.lit(".tsv")).alias("file"), (F.col("page_id") * 2).alias("n"))
+    return R.tagged(landed, R.bind_manifest(landed, R.nonempty(R.read_manifest(spark, path)))).select("workflow_run_id", "data_object_id", "n")
+
+
+@registered("SELECT t AS \"table\", unnest(['id', 'customer_balance', 'parts']) AS name, unnest(['string', 'double', 'array<string>']) AS type, n AS rows FROM (SELECT 'all' AS t, (SELECT count(*) FROM orders) AS n UNION ALL SELECT 'none', 0)")
+def typed_write(spark, sf):
+    """Flat rows in the types that the schema's ranges mean, and an empty table that still has them."""
+    path, struct = _folder(spark), ORDERS.flat_struct("Order")
+    flat = flatten.primary(nested_orders(spark, sf), ORDERS, "Order").select("parts", "id", F.col("customer_balance").cast("string").alias("customer_balance"))
+    W.write_table(flat, f"{path}/all", struct)
+    W.write_table(spark.createDataFrame([], "id string"), f"{path}/none", struct)
+    found = {n: spark.read.parquet(f"{path}/{n}") for n in ("all", "none")}
+    kinds = spark.createDataFrame([(n, f.name, f.dataType.simpleString()) for n, d in found.items() for f in d.schema if f.name in ("id", "customer_balance", "parts")], "`table` string, name string, type string")
+    return kinds.join(R.row_counts(found), "table")
+
+
+@registered("""SELECT unnest(['a', 'b', 'c']) AS "table", unnest([2 * (SELECT count(*) FROM orders), (SELECT count(*) FROM part WHERE p_size > 10), NULL]) AS rows, unnest(['parquet', 'parquet', NULL]) AS format, unnest(['orders', '', NULL]) AS made_of, unnest([false, false, true]) AS to_make""")
+def managed_tables(spark, sf):
+    """Managed tables: one written and appended to, one replaced as a whole, one that isn't there; what of it the catalog says."""
+    name = f"tables_{uuid.uuid4().hex}"
+    o, p = load(spark, sf, "orders"), load(spark, sf, "part")
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        W.save_managed(o, f"{name}.a", properties={"made_of": "orders", "said": "it's"})
+        W.save_managed(o, f"{name}.a", "append")
+        W.save_managed(p, f"{name}.b")
+        W.save_managed(p.where("p_size > 10").select("p_partkey"), f"{name}.b", "overwrite")
+        counted = {r["table"]: r["rows"] for r in snapshot.catalog_inventory(spark, name).collect()}
+        formats = {r["table"]: r["format"] for r in snapshot.catalog_formats(spark, name, "parquet").collect()}
+        missing = W.to_register(spark, name, ["a", "b", "c"])
+        rows = []
+        for t in ("a", "b", "c"):
+            there = R.table_or_none(spark, f"{name}.{t}") is not None
+            rows.append((t, counted.get(t), formats.get(t), W.properties_of(spark, f"{name}.{t}").get("made_of", "") if there else None, t in missing))
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+    return spark.createDataFrame(rows, "`table` string, rows long, format string, made_of string, to_make boolean")
+
+
+@registered("SELECT n AS bad_types, p AS allow_partial, CASE WHEN p OR n = 0 THEN 'loaded' ELSE 'stopped' END AS outcome FROM (SELECT count(DISTINCT event_type) FILTER (event_id % 4 > 1) AS n FROM events), (SELECT unnest([true, false]) AS p)")
+def partial_load_gate(spark, sf):
+    """A load with misses or errors stops, unless a partial one is allowed."""
+    e = load(spark, sf, "events")
+    stats = e.groupBy(F.col("event_type").alias("type")).agg(F.count_if(F.col("event_id") % 4 == 2).alias("misses"), F.count_if(F.col("event_id") % 4 == 3).alias("errors"))
+    bad, rows = stats.where("misses > 0 or errors > 0").count(), []
+    for partial in (True, False):
+        try:
+            W.gate(stats, partial)
+            rows.append((bad, partial, "loaded"))
+        except W.PromotionError:
+            rows.append((bad, partial, "stopped"))
+    return spark.createDataFrame(rows, "bad_types long, allow_partial boolean, outcome string")
+
+
+@registered("""SELECT unnest(['lines', 'bad', 'all']) AS run, unnest(['success', 'failed', NULL]) AS status, unnest([NULL, 'error', NULL]) AS error, unnest([(SELECT count(*) FROM lineitem), 0, (SELECT count(*) FROM lineitem)]) AS rows_read,
+unnest([(SELECT count(*) FROM lineitem WHERE l_quantity > 10), 0, (SELECT count(*) FROM lineitem WHERE l_quantity > 10)]) AS rows_written, unnest([true, false, true]) AS has_bytes""")
+def run_log(spark, sf):
+    """Rows read and written as Spark counts them while it writes, a run that fails, and totals."""
+    lines, path = load(spark, sf, "lineitem"), _folder(spark)
+    runs = [
+        snapshot.measured("lines", lines, lambda d: d.where("l_quantity > 10"), f"{path}/lines"),
+        snapshot.measured("bad", lines, lambda d: d.select(F.raise_error(F.lit("a secret")).cast("string").alias("x")), f"{path}/bad"),
+    ]
+    log = snapshot.run_metrics(spark, runs)
+    totals = snapshot.run_totals(log).select(F.lit("all").alias("run"), F.lit(None).cast("string").alias("status"), F.lit(None).cast("string").alias("error"), "rows_read", "rows_written", "bytes")
+    every = log.select("run", "status", "error", "rows_read", "rows_written", "bytes").unionByName(totals)
+    return every.select("run", "status", F.when(F.col("error").isNotNull(), "error").alias("error"), "rows_read", "rows_written", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@registered("""SELECT unnest(['orders', 'part']) AS "table", unnest([(SELECT count(*) FROM orders), (SELECT count(*) FROM part)]) AS rows, true AS same_bytes, unnest(['customer|orders', '']) AS made_from, true AS refused""")
+def stored_manifest(spark, sf):
+    """A manifest of stored tables whose rows and bytes agree with the run's; other bytes are refused."""
+    path, runs = _folder(spark), []
+    for n in ("orders", "part"):
+        runs.append(snapshot.measured(n, load(spark, sf, n), lambda d: d, f"{path}/{n}"))
+    metrics = snapshot.run_metrics(spark, runs).select(F.col("run").alias("table"), F.col("rows_written").alias("rows"), "bytes")
+    paths = {n: f"{path}/{n}" for n in ("orders", "part")}
+    try:
+        snapshot.stored_manifest(spark, paths, metrics.withColumn("bytes", F.col("bytes") + 1))
+        refused = False
+    except snapshot.SnapshotError:
+        refused = True
+    sealed = snapshot.stored_manifest(spark, paths, metrics, {"orders": ["orders", "customer"]})
+    said = metrics.select("table", F.col("bytes").alias("said"))
+    return sealed.join(said, "table").select("table", "rows", (F.col("bytes") == F.col("said")).alias("same_bytes"), F.array_join("made_from", "|").alias("made_from"), F.lit(refused).alias("refused"))

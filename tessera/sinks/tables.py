@@ -68,8 +68,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     df.select(*columns).write.mode(mode).option("header", True).csv(path)
 
 
-def save_managed(df: DataFrame, name: str, mode: str = "errorifexists", file_format: str = "parquet") -> None:
+def save_managed(df: DataFrame, name: str, mode: str = "errorifexists", file_format: str = "parquet", properties: dict[str, str] | None = None) -> None:
+    """A managed table; `overwrite` replaces it as a whole. properties: what is said of the table itself (columns carry comments of their own)."""
     df.write.format(file_format).mode(mode).option("overwriteSchema", mode == "overwrite").saveAsTable(name)
+    if properties:
+        quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({', '.join(f'{quoted(k)} = {quoted(v)}' for k, v in sorted(properties.items()))})")
+
+
+def properties_of(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
 def to_register(spark: SparkSession, database: str, planned: list[str], force: bool = False) -> list[str]:
@@ -110,6 +118,12 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under a path, as the file system knows them."""
+    fs, to_path = _fs(spark, path)
+    return fs.getContentSummary(to_path(path)).getLength()
+
+
 def promote(spark: SparkSession, tables: dict[str, DataFrame], root: str, primary: str, owned: tuple[str, ...] = ()) -> dict[str, int]:
     """Write a collection's tables under root/_staging, check them, then swap each into place; rows by table.
 

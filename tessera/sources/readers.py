@@ -6,17 +6,38 @@ Line frames have `file` and `value`; parsers keep `file`, give typed columns, an
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.scalars import attribute, blank_to_null, percent, to_number, unquoted, url_path
+from tessera.functions.scalars import attribute_list, attribute_of, blank_to_null, percent, to_number, unquoted, url_path
 
 #: Columns of the fixed formats, in file order. Fixed values.
 BLAST = "gene_id string, ncbi_taxid long, annotation_id string, pct_identity double, q_start long, q_end long, s_start long, s_end long, evalue double, bitscore double, aln_len long"
 KRAKEN = "pct_clade double, clade_reads long, direct_reads long, rank string, taxid long, name string"
 CHECKM = "bin_id string, marker_lineage string, n_genomes long, n_markers long, n_marker_sets long, n_0 long, n_1 long, n_2 long, n_3 long, n_4 long, n_5_plus long, completeness double, contamination double, strain_heterogeneity double"
+#: The statistics report of annotations: column -> (section, row's label or None for its first row, column of the section), type. Fixed values.
+STATISTICS: dict[str, tuple[str, str | None, str, str]] = {
+    "n_seqs": ("Processed Sequences Statistics", "final_fasta", "Number of seqs", "long"),
+    "n_bps": ("Processed Sequences Statistics", "final_fasta", "Number of bps", "long"),
+    "len_shortest_seq": ("Processed Sequences Statistics", "final_fasta", "Length shortest seq", "long"),
+    "len_longest_seq": ("Processed Sequences Statistics", "final_fasta", "Length longest seq", "long"),
+    "avg_seq_length": ("Processed Sequences Statistics", "final_fasta", "Average length", "double"),
+    "median_seq_length": ("Processed Sequences Statistics", "final_fasta", "Median length", "double"),
+    "stddev_seq_length": ("Processed Sequences Statistics", "final_fasta", "Standard deviation", "double"),
+    "n_seqs_with_genes": ("Processed Sequences Statistics", "sequences_with_genes", "Number of seqs", "long"),
+    "n_seqs_without_genes": ("Processed Sequences Statistics", "sequences_without_genes", "Number of seqs", "long"),
+    "n_cds": ("Predicted Genes Statistics", "CDS", "Number of predicted features", "long"),
+    "n_trna": ("Predicted Genes Statistics", "tRNA", "Number of predicted features", "long"),
+    "n_ncrna": ("Predicted Genes Statistics", "ncRNA", "Number of predicted features", "long"),
+    "n_rrna": ("Predicted Genes Statistics", "rRNA", "Number of predicted features", "long"),
+    "n_crispr": ("Predicted Genes Statistics", "CRISPR", "Number of predicted features", "long"),
+    "coding_density_pct": ("General Quality Info", None, "Coding density", "double"),
+    "genes_per_1m_bp": ("General Quality Info", None, "Genes per 1M bp", "double"),
+    "seqs_per_1m_bp": ("General Quality Info", None, "Seqs per 1M bp", "double"),
+}
 TERMS = "pfam_id string, clan_id string, clan_name string, name string, description string"
 
 
@@ -52,19 +73,21 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
-def read_headered(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_headered(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
     """A tab-separated file with a header."""
     reader = spark.read.option("sep", "\t").option("header", True)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
 def read_drifting(spark: SparkSession, paths: list[str], renames: dict[str, str]) -> DataFrame:
-    """Headered files whose column names drift: a column is renamed where its new name isn't there already."""
-    united: DataFrame | None = None
-    for p in paths:
-        df = renamed(read_headered(spark, p), renames)
-        united = df if united is None else united.unionByName(df, allowMissingColumns=True)
-    return united
+    """Headered files whose column names drift: a column is renamed where its new name isn't there already.
+
+    One pass finds the files of each header, and each header is one scan, so the plan grows with the headers, not with the files."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_block_start").alias("start"))
+    headers = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = headers.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    frames = [renamed(read_headered(spark, g["files"]), renames) for g in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def renamed(df: DataFrame, renames: dict[str, str]) -> DataFrame:
@@ -96,17 +119,17 @@ def gff(lines: DataFrame, keep: tuple[str, ...] = ("file",)) -> tuple[DataFrame,
     """(rows, rejects) of nine-column GFF lines: comments skipped, four attributes taken from the last column."""
     parts = lines.where((F.trim("value") != "") & ~F.col("value").startswith("#")).withColumn("p", F.split("value", "\t"))
     text = lambda i: F.get("p", F.lit(i))
-    rows = parts.where(F.size("p") == 9).select(
+    rows = parts.where(F.size("p") == 9).withColumn("listed", attribute_list(text(8))).select(
         *keep,
         text(0).alias("gene_id"),
         text(2).alias("accession"),
         text(3).try_cast("long").alias("start"),
         text(4).try_cast("long").alias("end"),
         text(5).try_cast("double").alias("score"),
-        attribute(text(8), "e-value").try_cast("double").alias("e_value"),
-        attribute(text(8), "alignment_length").try_cast("long").alias("alignment_length"),
-        attribute(text(8), "model_start").try_cast("long").alias("model_start"),
-        attribute(text(8), "model_end").try_cast("long").alias("model_end"),
+        attribute_of("listed", "e-value").try_cast("double").alias("e_value"),
+        attribute_of("listed", "alignment_length").try_cast("long").alias("alignment_length"),
+        attribute_of("listed", "model_start").try_cast("long").alias("model_start"),
+        attribute_of("listed", "model_end").try_cast("long").alias("model_end"),
     )
     return rows, parts.where(F.size("p") != 9).select(*keep, "value")
 
@@ -135,6 +158,36 @@ def metrics_row(section_rows: DataFrame, wanted: dict[str, tuple[str, str]], kee
     return rows.groupBy(*keep).agg(*[F.sum(F.when((F.col("title") == t) & (F.col("label") == label), F.col("number"))).alias(c) for c, (t, label) in wanted.items()])
 
 
+def section_tables(files: DataFrame, keep: tuple[str, ...] = ("file",)) -> DataFrame:
+    """keep, title, header, place, fields: rows of tab-separated tables in reports (value: a whole file).
+
+    A section is a title, a rule of `=`, a header, rows, and a rule that closes it (or the end); rules of `-` and blank lines don't count. Text
+    between two rules is a title where no section is open, else the section's table."""
+    title = lambda part: F.nullif(F.trim(F.regexp_extract(part, r"([^\n]*\S[^\n]*)\s*$", 1)), F.lit(""))
+    state = "struct<title:string,found:array<struct<title:string,body:string>>>"
+    step = lambda s, part: F.struct(
+        F.when(s["title"].isNull(), title(part)).alias("title"),
+        F.when(s["title"].isNull(), s["found"]).otherwise(F.concat(s["found"], F.array(F.struct(s["title"].alias("title"), part.alias("body"))))).alias("found"),
+    ).cast(state)
+    start = F.struct(F.lit(None).cast("string").alias("title"), F.array().alias("found")).cast(state)
+    found = files.select(*keep, F.explode(F.aggregate(F.split("value", r"(?m)^[ \t]*={10,}.*$"), start, step)["found"]).alias("s"))
+    lines = F.filter(F.split("s.body", "\r?\n"), lambda x: (F.trim(x) != "") & ~x.rlike(r"^\s*-{10,}"))
+    tables = found.select(*keep, F.col("s.title").alias("title"), lines.alias("lines")).where(F.size("lines") > 1)
+    rows = tables.select(*keep, "title", F.split(F.get("lines", F.lit(0)), "\t").alias("header"), F.posexplode(F.slice("lines", F.lit(2), F.size("lines"))).alias("place", "text"))
+    return rows.select(*keep, "title", "header", "place", F.split("text", "\t").alias("fields"))
+
+
+def statistics(files: DataFrame, wanted: dict[str, tuple[str, str | None, str, str]] = STATISTICS, keep: tuple[str, ...] = ("file",)) -> DataFrame:
+    """One row for each report that has one of the wanted sections; values of rows with equal labels add up, what isn't a number is null."""
+    rows = section_tables(files, keep).where(F.col("title").isin(sorted({w[0] for w in wanted.values()}))).withColumn("label", unquoted(F.get("fields", F.lit(0))))
+    columns = []
+    for name, (title, label, column, kind) in wanted.items():
+        here = (F.col("title") == title) & ((F.col("place") == 0) if label is None else (F.col("label") == label))
+        at = F.array_position("header", column).cast("int")
+        columns.append(F.sum(F.when(here & (at > 0), percent(F.get("fields", at - 1)))).cast(kind).alias(name))
+    return rows.groupBy(*keep).agg(*columns)
+
+
 def strict_terms(lines: DataFrame, ddl: str = TERMS) -> DataFrame:
     """A reference table that must parse: a line of another number of fields fails the job; blanks are null, blank lines skipped."""
     fields = T._parse_datatype_string(ddl).fields
@@ -144,6 +197,17 @@ def strict_terms(lines: DataFrame, ddl: str = TERMS) -> DataFrame:
     return parts.select(guarded.alias("p")).select(*[blank_to_null(F.get("p", F.lit(i))).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """A manifest of files as CSV with a header; everything is text, blanks are null."""
+    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return df.select(*[blank_to_null(f"`{c}`").alias(c) for c in df.columns])
+
+
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """table, rows. Parquet answers from its footers, without reading columns."""
+    return reduce(lambda a, b: a.unionByName(b), [d.agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows") for n, d in tables.items()])
+
+
 def bind_manifest(files: DataFrame, manifest: DataFrame, root: str = "") -> DataFrame:
     """manifest with `file` of the landed file whose path is the url's, and `hit`. files: file. Urls with `..` in the path never bind.
 

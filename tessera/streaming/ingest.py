@@ -14,7 +14,7 @@ def append_new(batch: DataFrame, target: str, key: str) -> None:
     spark = batch.sparkSession
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
     there = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs)
-    fresh = batch.join(spark.read.schema(batch.schema).parquet(target).select(key).distinct(), key, "left_anti") if there else batch
+    fresh = batch.join(spark.read.schema(batch.schema).parquet(target).select(key), key, "left_anti") if there else batch
     fresh.write.mode("append").parquet(target)
 
 

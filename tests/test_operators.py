@@ -280,3 +280,58 @@ def test_incremental_ingest(spark, tmp_path):
     assert run() and spark.read.parquet(target).count() == 4
     assert run() and spark.read.parquet(target).count() == 4
     assert run(checkpoint + "2") and spark.read.parquet(target).count() == 4  # a lost checkpoint adds nothing twice
+
+
+def test_reports_with_tables(spark):
+    rule, text = "=" * 12, "note\n\n"
+    first_part = f"General Quality Info\n\n{rule}\nCoding density\tGenes per 1M bp\n------------\n91.5%\tmany\n\n"
+    closed = text + first_part + f"{rule}\nPredicted Genes Statistics\n{rule}\nFeature type\tNumber of predicted features\n'CDS'\t3\n'CDS'\t4\n'rRNA'\t?\n"
+    files = spark.createDataFrame([("a", closed), ("b", first_part), ("c", "no results"), ("d", ""), ("e", None), ("f", f"{rule}\n{first_part}")], "file string, value string")
+    got = {r["file"]: (r["coding_density_pct"], r["genes_per_1m_bp"], r["n_cds"], r["n_rrna"], r["n_trna"]) for r in R.statistics(files).collect()}
+    assert got == {"a": (91.5, None, 7, None, None), "b": (91.5, None, None, None, None), "f": (91.5, None, None, None, None)}
+    assert len(R.STATISTICS) == 17
+
+
+def test_manifests_from_csv(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('id,url,file_size_bytes,was_generated_by\n1,"https://h/a,b.tsv",5,r\n2,https://h/c.tsv,,r\n3,https://h/d.tsv,x,\n')
+    manifest = R.read_manifest(spark, str(tmp_path / "m.csv"))
+    assert [r["id"] for r in R.nonempty(manifest).collect()] == ["1"] and manifest.where("id = '3'").first()["was_generated_by"] is None
+    landed = spark.createDataFrame([("/a,b.tsv", 7), ("/z.tsv", 8)], "file string, n int")
+    assert [tuple(r) for r in R.tagged(landed, R.bind_manifest(landed, manifest)).select("workflow_run_id", "data_object_id", "n").collect()] == [("r", "1", 7)]
+
+
+def test_canonical_digests(spark):
+    digest = lambda df: df.select(S.row_digest(df, *df.columns)).first()[0]
+    one = spark.sql("SELECT named_struct('b', 1, 'a', array(named_struct('z', 1, 'y', 'q'))) AS s, map('k', 1D, 'a', 2D) AS m, CAST('NaN' AS DOUBLE) AS x")
+    two = spark.sql("SELECT CAST('NaN' AS DOUBLE) AS x, map('a', 2D, 'k', 1D) AS m, named_struct('a', array(named_struct('y', 'q', 'z', 1)), 'b', 1) AS s")
+    assert digest(one) == digest(two)
+    assert len({digest(spark.sql(f"SELECT {v} AS x")) for v in ("CAST('NaN' AS DOUBLE)", "'NaN'", "CAST('Infinity' AS DOUBLE)", "CAST(NULL AS DOUBLE)", "1D")}) == 5
+
+
+def test_json_of_lists_sorts_keys_at_every_depth(spark):
+    df = spark.sql("SELECT array(named_struct('b', named_struct('z', 1, 'y', 2), 'a', 3)) AS l")
+    assert flatten.flatten_struct(df).first()["l"] == '[{"a":3,"b":{"y":2,"z":1}}]'
+
+
+def test_measured_runs(spark, tmp_path):
+    ran = snapshot.measured("r", spark.range(10), lambda d: d.where("id > 3"), str(tmp_path / "r"))
+    assert (ran["rows_read"], ran["rows_written"]) == (10, 6) and ran["bytes"] > 0 and ran["seconds"] > 0
+    again = snapshot.measured("r", spark.range(10), lambda d: d, str(tmp_path / "r"))
+    assert again["error"] and spark.read.parquet(str(tmp_path / "r")).count() == 6
+    total = snapshot.run_totals(snapshot.run_metrics(spark, [ran, again])).first()
+    assert (total["runs"], total["failed"], total["rows_written"]) == (2, 1, 6)
+    metrics = lambda n: spark.createDataFrame([("t", 6, n)], "`table` string, rows long, bytes long")
+    assert snapshot.stored_manifest(spark, {"t": str(tmp_path / "r")}, metrics(ran["bytes"]), {"t": ["b", "a"]}).first()["made_from"] == ["a", "b"]
+    with pytest.raises(snapshot.SnapshotError, match="t is changed"):
+        snapshot.stored_manifest(spark, {"t": str(tmp_path / "r")}, metrics(1))
+
+
+def test_dry_runs_and_formats(spark):
+    rows = frame(spark, {"id": "r", "studies": ["a", "b"]}, {"id": "s"})
+    assert flatten.dry_run(flatten.flatten_all({"record_set": rows}, SCHEMA)) == {"record_set": 2, "record_set_chem": 0, "record_set_studies": 2}
+    spark.sql("CREATE DATABASE IF NOT EXISTS formats_db")
+    W.save_managed(spark.range(1), "formats_db.one", "overwrite", properties={"a": "it's b"})
+    assert [tuple(r) for r in snapshot.catalog_formats(spark, "formats_db", "parquet").collect()] == [("one", "parquet")] and W.properties_of(spark, "formats_db.one")["a"] == "it's b"
+    with pytest.raises(snapshot.SnapshotError, match="not delta: one"):
+        snapshot.catalog_formats(spark, "formats_db", "delta")
+    spark.sql("DROP DATABASE formats_db CASCADE")
