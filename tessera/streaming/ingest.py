@@ -9,13 +9,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+def _there(spark: SparkSession, path: str) -> bool:
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs)
+
+
 def append_new(batch: DataFrame, target: str, key: str) -> None:
-    """Append rows whose key the target doesn't hold yet, so that a batch that runs again adds nothing."""
+    """Append rows whose key the target doesn't hold yet, so that a batch that runs again adds nothing. Rows without a key are always added.
+
+    Two ledgers under the target, which readers of it pass over, list keys whose rows were about to be written and keys whose rows are. A
+    batch is compared with these, one row for each key, and not with the rows of the target; only keys of a batch that broke off between
+    its two entries are looked up there."""
     spark = batch.sparkSession
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    there = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs)
-    fresh = batch.join(spark.read.schema(batch.schema).parquet(target).select(key), key, "left_anti") if there else batch
+    begun, done = f"{target}/_keys/begun", f"{target}/_keys/done"
+    keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    ledger = lambda path: spark.read.schema(keys.schema).parquet(path)
+    rows = spark.read.schema(batch.schema).parquet(target) if _there(spark, target) else None
+    if not _there(spark, f"{done}/_SUCCESS"):
+        # a table without a ledger: what it holds is done, once
+        keys.limit(0).write.mode("append").parquet(begun)
+        (rows.select(key).distinct() if rows is not None else keys.limit(0)).write.mode("overwrite").parquet(done)
+    fresh = batch.join(ledger(done), key, "left_anti")
+    new = keys.join(ledger(done), key, "left_anti")
+    doubtful = new.join(ledger(begun), key, "left_semi")
+    if rows is not None and not doubtful.isEmpty():
+        fresh = fresh.join(rows.join(doubtful, key, "left_semi").select(key).distinct(), key, "left_anti")
+    new.write.mode("append").parquet(begun)
     fresh.write.mode("append").parquet(target)
+    keys.join(ledger(done), key, "left_anti").write.mode("append").parquet(done)
 
 
 def ingest(spark: SparkSession, source: str, parse: Callable[[DataFrame], tuple[DataFrame, DataFrame]], target: str, rejects: str, checkpoint: str, key: str = "file") -> StreamingQuery:

@@ -335,3 +335,28 @@ def test_dry_runs_and_formats(spark):
     with pytest.raises(snapshot.SnapshotError, match="not delta: one"):
         snapshot.catalog_formats(spark, "formats_db", "delta")
     spark.sql("DROP DATABASE formats_db CASCADE")
+
+
+def test_append_after_a_batch_broke_off(spark, tmp_path):
+    target = str(tmp_path / "t")
+    rows = lambda *files: spark.createDataFrame([(f, n) for f in files for n in (1, 2)], "file string, n int")
+    held = lambda: sorted((r["file"] or "", r["n"]) for r in spark.read.parquet(target).collect())
+    rows("a").write.parquet(target)  # before there was a ledger
+    I.append_new(rows("a", "b"), target, "file")
+    assert held() == [(f, n) for f in "ab" for n in (1, 2)]
+    # c broke off after its rows, d before them
+    rows("c", "d").select("file").distinct().write.mode("append").parquet(f"{target}/_keys/begun")
+    rows("c").write.mode("append").parquet(target)
+    I.append_new(rows("b", "c", "d"), target, "file")
+    I.append_new(rows("c", "d"), target, "file")
+    assert held() == [(f, n) for f in "abcd" for n in (1, 2)]
+    I.append_new(rows(None), target, "file")
+    I.append_new(rows("a").limit(0), target, "file")
+    assert len(held()) == 10
+
+
+def test_append_to_nothing(spark, tmp_path):
+    target = str(tmp_path / "t")
+    for _ in range(2):
+        I.append_new(spark.createDataFrame([("a", 1)], "file string, n int"), target, "file")
+    assert spark.read.parquet(target).count() == 1
