@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table, written
-from tessera.llm.shards import BLOCK_ROWS, SHARD_ROWS, clean_vectors, distinct_rows, matrix, number, on_grid, ranked, sized, with_shard
+from tessera.llm.shards import BLOCK_ROWS, SHARD_ROWS, clean_vectors, distinct_rows, found_table, matrix, number, on_grid, ranked, sized, with_shard
 
 LEAF = 256
 SCALE = 256
@@ -104,12 +104,12 @@ def _search(k: int):
             points, queries = np.vectorize(int, otypes=[object])(points), np.vectorize(int, otypes=[object])(queries)
             bounds = bounds + np.abs(bounds).max() * 1e-9
         floors = block.column("floor").to_pylist()
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[int, np.ndarray, np.ndarray]] = []
         for i, own in enumerate(block.column("query_id").to_pylist()):
             floor = -np.inf if floors[i] is None else floors[i]
-            for vec_id, score in zip(*search_tree(tree, points, ids, queries[i], own, bounds[i], k, floor), strict=True):
-                out.append((own, int(vec_id), max(-(2**63), min(2**63 - 1, int(score)))))
-        return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in (zip(*out, strict=True) if out else ([], [], []))], schema=_SCHEMA)
+            near, scores = search_tree(tree, points, ids, queries[i], own, bounds[i], k, floor)
+            out.append((own, near, np.array([max(-(2**63), min(2**63 - 1, int(score))) for score in scores], dtype=np.int64)))
+        return found_table(out, _SCHEMA)
 
     return search
 

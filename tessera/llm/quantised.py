@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table, written
-from tessera.llm.shards import BLOCK_ROWS, SHARD_ROWS, clean_vectors, distinct_rows, matrix, number, on_grid, ranked, with_shard
+from tessera.llm.shards import BLOCK_ROWS, SHARD_ROWS, clean_vectors, distinct_rows, found_table, matrix, number, on_grid, ranked, with_shard
 
 BOOKS, WORDS, BEAM = 24, 64, 4
 SAMPLE = 8192
@@ -113,7 +113,7 @@ def _search(books: Codebooks | None, k: int, rerank: int):
             codes = np.frombuffer(b"".join(shard.column("code").to_pylist()), dtype=np.uint8).reshape(len(shard), -1)[order]
             scale = shard.column("scale").to_numpy()[order]
             books_at = [np.ascontiguousarray(codes[:, m]) for m in range(codes.shape[1])]
-        out: list[tuple[int, int, float]] = []
+        out: list[tuple[int, np.ndarray, np.ndarray]] = []
         for i, own in enumerate(block.column("query_id").to_pylist()):
             if books is not None and dims == books.dims:
                 lookup = books.words @ queries[i]
@@ -123,10 +123,9 @@ def _search(books: Codebooks | None, k: int, rerank: int):
                 chosen = np.arange(len(ids))
             chosen = chosen[ids[chosen] != own]
             scores = points[chosen] @ queries[i]
-            for j in np.lexsort((ids[chosen], -scores))[:k]:
-                out.append((own, int(ids[chosen[j]]), float(scores[j])))
-        columns = list(zip(*out, strict=True)) if out else [(), (), ()]
-        return pa.Table.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], schema=_SCHEMA)
+            top = np.lexsort((ids[chosen], -scores))[:k]
+            out.append((own, ids[chosen[top]], scores[top]))
+        return found_table(out, _SCHEMA)
 
     return search
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import written
 
+#: Every vector is shuffled once for each block of queries and every query once for each shard, so both are as large as a task's memory allows.
 SHARD_ROWS = 16384
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 16384
 
 
 def clean_vectors(table: DataFrame, allow_zero: bool = True) -> DataFrame:
@@ -41,6 +42,14 @@ def distinct_rows(ids: np.ndarray, points: np.ndarray) -> np.ndarray:
     return first[np.argsort(ids[first], kind="stable")]
 
 
+def found_table(parts: list[tuple[int, np.ndarray, np.ndarray]], schema: pa.Schema) -> pa.Table:
+    """The rows (query_id, vec_id, score) of what each query has found."""
+    if not parts:
+        return schema.empty_table()
+    asked = np.repeat(np.array([p[0] for p in parts], dtype=np.int64), [len(p[1]) for p in parts])
+    return pa.Table.from_arrays([pa.array(asked), pa.array(np.concatenate([p[1] for p in parts]), pa.int64()), pa.array(np.concatenate([p[2] for p in parts]), schema.field("score").type)], schema=schema)
+
+
 def number(count: int, size: int) -> int:
     return max(1, -(-count // size))
 
