@@ -5,7 +5,7 @@ as a row, the others learn, use a tokenizer's merges, or are approximate. tests/
 
 from __future__ import annotations
 
-from tessera.llm import chat, licenses, mixing, urls
+from tessera.llm import chat, licenses, mixing, periodic, urls
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -108,6 +108,27 @@ SELECT p.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(spots) AS BIGINT)
 array_to_string(list_sort(list_distinct(base || coalesce(labels, []))), ',') AS labels, CASE WHEN len(spots) > 0 THEN 1.0 ELSE coalesce(share, 0.0) END AS score FROM p LEFT JOIN f USING (doc_id)"""
 
 
+def runs_sql(least: int = periodic.LEAST, times: int = periodic.TIMES) -> str:
+    bits = "list_reduce([xor(c, b)] || CAST(range(8) AS UBIGINT[]), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))"
+    crc = f"xor(list_reduce([CAST(4294967295 AS UBIGINT)] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS UBIGINT)), lambda c, b: {bits}), 4294967295)"
+    seed = " || ' ' || ".join(f"w[i + {k}]" for k in range(1, least))
+    return f"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, {crc} AS h, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+t AS (SELECT *, len(w) AS n, CAST(h // 10 % greatest(len(w), 1) AS BIGINT) AS a, CAST(3 + h // 10 % 8 AS BIGINT) AS parts FROM d),
+x AS MATERIALIZED (SELECT k, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN w[1:a] || [w[a + 1 + i % (1 + (n - a) // parts)] for i in range(CAST(n - a AS BIGINT))] ELSE w END AS w FROM t),
+words AS MATERIALIZED (SELECT k, unnest(range(n)) AS i, unnest(w) AS word FROM x),
+g AS (SELECT k, n, i, {seed} AS s FROM (SELECT k, n, w, unnest(range(n - {least - 2})) AS i FROM x WHERE n >= {least})),
+s AS MATERIALIZED (SELECT * FROM g QUALIFY count(*) OVER (PARTITION BY k, s) > 1),
+q AS MATERIALIZED (SELECT DISTINCT a.k, b.i - a.i AS q FROM s a JOIN s b ON a.k = b.k AND a.s = b.s AND b.i > a.i WHERE (b.i - a.i) * {times} <= a.n),
+same AS (SELECT q.k, q, a.i FROM q JOIN words a ON a.k = q.k JOIN words b ON b.k = q.k AND b.i = a.i + q WHERE a.word = b.word),
+islands AS (SELECT k, q, min(i) AS s, count(*) + q AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM same) GROUP BY k, q, island HAVING count(*) + q >= greatest({least}, {times} * q)),
+r AS MATERIALIZED (SELECT * FROM islands a WHERE NOT EXISTS (SELECT 1 FROM islands b WHERE b.k = a.k AND b.q < a.q AND b.s <= a.s AND b.s + b.l >= a.s + a.l)),
+best AS (SELECT k, count(*) AS n_runs, list({{'s': s, 'l': l, 'q': q}} ORDER BY l DESC, s, q)[1] AS b, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM r GROUP BY k),
+gone AS (SELECT DISTINCT k, unnest(range(s + q, s + l)) AS i FROM r),
+kept AS (SELECT k, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (k, i) GROUP BY k)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.q AS period, b.l * 1000 // b.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM x LEFT JOIN best USING (k) LEFT JOIN kept USING (k)"""
+
+
 ORACLES = {
     "op1_chat_format": chat_sql(),
     "op5_minhash_dedup": near_sql(),
@@ -115,4 +136,5 @@ ORACLES = {
     "op7_url_filter": url_sql(),
     "op8_pareto_mixing": mix_sql(),
     "op10_license_scan": license_sql(),
+    "op13_periodic_runs": runs_sql(),
 }

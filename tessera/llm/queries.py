@@ -9,6 +9,7 @@ from tessera.llm.licenses import op10_license_scan
 from tessera.llm.minhash import op5_minhash_dedup
 from tessera.llm.mixing import op8_pareto_mixing
 from tessera.llm.oracles import ORACLES
+from tessera.llm.periodic import op13_periodic_runs
 from tessera.llm.quality import op3_quality
 from tessera.llm.quantised import op9_additive_quantisation
 from tessera.llm.suffixes import op2_suffix_dedup
@@ -29,5 +30,6 @@ QUERIES = {
         op8_pareto_mixing,
         op9_additive_quantisation,
         op10_license_scan,
+        op13_periodic_runs,
     )
 }
