@@ -5,7 +5,7 @@ as a row, the others learn, use a tokenizer's merges, or are approximate. tests/
 
 from __future__ import annotations
 
-from tessera.llm import chat, licenses, mixing, periodic, urls
+from tessera.llm import chat, divergence, licenses, mixing, periodic, urls
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -129,6 +129,23 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.q A
 FROM x LEFT JOIN best USING (k) LEFT JOIN kept USING (k)"""
 
 
+def divergence_sql(least: int = divergence.LEAST_DOCUMENTS, top: int = divergence.TOP, unit: int = divergence.UNIT) -> str:
+    share = lambda n, total, v: f"1 + CAST({unit} AS HUGEINT) * ({n} + 1) // ({total} + {v})"
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+o AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n, count(DISTINCT k) AS docs FROM o GROUP BY ALL),
+v AS MATERIALIZED (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= {least}),
+m AS MATERIALIZED (SELECT g.lang, g.source, v.term, coalesce(c.n, 0) AS n, v.n AS lang_n FROM g JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term),
+t AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, count(*) OVER (PARTITION BY lang, source) AS terms FROM m),
+s AS MATERIALIZED (SELECT lang, source, term, n, {share("n", "total", "terms")} AS p, {share("lang_n", "(sum(n) OVER (PARTITION BY lang))", "terms")} AS q FROM t),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM s WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= {top}"""
+
+
 ORACLES = {
     "op1_chat_format": chat_sql(),
     "op5_minhash_dedup": near_sql(),
@@ -136,5 +153,6 @@ ORACLES = {
     "op7_url_filter": url_sql(),
     "op8_pareto_mixing": mix_sql(),
     "op10_license_scan": license_sql(),
+    "op12_source_divergence": divergence_sql(),
     "op13_periodic_runs": runs_sql(),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tessera.llm.bpe import op4_byte_bpe
 from tessera.llm.chat import op1_chat_format
+from tessera.llm.divergence import op12_source_divergence
 from tessera.llm.kdtree import op6_kdtree_topk
 from tessera.llm.licenses import op10_license_scan
 from tessera.llm.minhash import op5_minhash_dedup
@@ -30,6 +31,7 @@ QUERIES = {
         op8_pareto_mixing,
         op9_additive_quantisation,
         op10_license_scan,
+        op12_source_divergence,
         op13_periodic_runs,
     )
 }
