@@ -95,26 +95,26 @@ def difference(p: str, q: str) -> Column:
     return F.expr(f"({p} - {q}) * ({p} - {q}) div {q}")
 
 
-def _pyramid(cells: np.ndarray) -> list[np.ndarray]:
-    """cells, and what quadrants of 2, 4, .. ROWS places a side have any."""
+def _pyramid(cells: np.ndarray, rows: int) -> list[np.ndarray]:
+    """cells, and what quadrants of 2, 4, .. `rows` places a side have any."""
     levels = [cells]
-    while 1 << (len(levels) - 1) < ROWS:
+    while 1 << (len(levels) - 1) < rows:
         x = np.pad(levels[-1], [(0, k % 2) for k in levels[-1].shape])
         levels.append(x[::2, ::2] | x[1::2, ::2] | x[::2, 1::2] | x[1::2, 1::2])
     return levels
 
 
-def traversed(first: np.ndarray, shares: np.ndarray, row: np.ndarray, column: np.ndarray, p: np.ndarray, across: bool) -> tuple[np.ndarray, ...]:
+def traversed(first: np.ndarray, shares: np.ndarray, row: np.ndarray, column: np.ndarray, p: np.ndarray, across: bool, rows: int = ROWS) -> tuple[np.ndarray, ...]:
     """(a, b, value, columns): what pairs of rows differ by in the columns that were visited, both ways round.
 
-    first: the share of a zero for each row (0: no such row); row, column, p: the cells that aren't zero. across: only pairs of one of the first ROWS rows with one of the others."""
+    first: the share of a zero for each row (0: no such row); row, column, p: the cells that aren't zero. across: only pairs of one of the first `rows` rows with one of the others."""
     filled = np.zeros((len(first), int(column.max(initial=-1)) + 1), dtype=bool)
     filled[row, column] = True
     order = np.lexsort(filled[::-1])
     shares = np.repeat(first[:, None], filled.shape[1], axis=1)
     shares[row, column] = p
     filled, shares = filled[:, order], shares[:, order]
-    levels, there = _pyramid(filled), _pyramid((first > 0)[:, None])
+    levels, there = _pyramid(filled, rows), _pyramid((first > 0)[:, None], rows)
     top = len(levels) - 1
     c = np.arange(levels[top].shape[1])
     a, b = np.zeros_like(c), np.full_like(c, int(across))
@@ -139,20 +139,20 @@ def traversed(first: np.ndarray, shares: np.ndarray, row: np.ndarray, column: np
     return np.append(a, b), np.append(b, a), np.append(sums[0][pairs], sums[1][pairs]), np.tile(visited[pairs], 2)
 
 
-def _block(block: pa.Table) -> pa.Table:
+def _block(block: pa.Table, rows: int) -> pa.Table:
     """Sums for pairs of sources of one block. Rows without a term give the sources and their shares of a zero."""
     block = block.combine_chunks()
     number, term, p = (block.column(c).combine_chunks() for c in ("number", "term", "p"))
     low, high = block.column("low")[0].as_py(), block.column("high")[0].as_py()
     number, p = number.to_numpy(), p.to_numpy()
-    row = number % ROWS + np.where((number // ROWS == high) & (high > low), ROWS, 0)
+    row = number % rows + np.where((number // rows == high) & (high > low), rows, 0)
     head = term.is_null().to_numpy(zero_copy_only=False)
     first = np.zeros(int(row.max()) + 1, dtype=np.int64)
     first[row[head]] = p[head]
     codes = term.filter(pa.array(~head)).dictionary_encode().indices.to_numpy()
-    a, b, value, columns = traversed(first, p, row[~head], codes.astype(np.int64), p[~head], high > low)
+    a, b, value, columns = traversed(first, p, row[~head], codes.astype(np.int64), p[~head], high > low, rows)
     # back to the sources' numbers
-    back = lambda r: np.where(r < ROWS, low * ROWS + r, high * ROWS + r - ROWS)
+    back = lambda r: np.where(r < rows, low * rows + r, high * rows + r - rows)
     lang = pa.array([block.column("lang")[0].as_py()] * len(a), pa.string())
     return pa.Table.from_arrays([lang, pa.array(back(a)), pa.array(back(b)), pa.array(value), pa.array(columns.astype(np.int64))], names=["lang", "a", "b", "value", "columns"])
 
@@ -166,7 +166,8 @@ def _blocks(kept: DataFrame, groups: DataFrame) -> DataFrame:
     heads = members.select("lang", "number", "sources", F.lit(None).cast("string").alias("term"), F.col("zero").alias("p"), F.explode(F.expr(f"sequence(0, {parts} - 1)")).alias("part"))
     body = kept.join(members, ["lang", "source"]).select("lang", "number", "sources", "term", share("n", "total", "terms").alias("p"), F.expr(f"cast(pmod(xxhash64(term), {parts}) as int)").alias("part"))
     dealt = heads.unionByName(body).select("lang", "number", "term", "p", "part", pairs.alias("pair")).select("lang", "number", "term", "p", "part", "pair.*")
-    each = dealt.groupBy("lang", "part", "low", "high").applyInArrow(_block, "lang string, a long, b long, value long, columns long")
+    rows = ROWS
+    each = dealt.groupBy("lang", "part", "low", "high").applyInArrow(lambda block: _block(block, rows), "lang string, a long, b long, value long, columns long")
     return each.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.sum("columns").alias("columns"))
 
 

@@ -13,6 +13,7 @@ from tessera.llm.oracles import ORACLES
 from tessera.llm.periodic import op13_periodic_runs
 from tessera.llm.quality import op3_quality
 from tessera.llm.quantised import op9_additive_quantisation
+from tessera.llm.secrets import op11_secret_scan
 from tessera.llm.suffixes import op2_suffix_dedup
 from tessera.llm.urls import op7_url_filter
 
@@ -31,6 +32,7 @@ QUERIES = {
         op8_pareto_mixing,
         op9_additive_quantisation,
         op10_license_scan,
+        op11_secret_scan,
         op12_source_divergence,
         op13_periodic_runs,
     )
