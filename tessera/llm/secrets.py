@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import beside, table
+from tessera.llm.common import beside, table, written
 
 # The patterns of the kinds, and the least length of the part that counts.
 PATTERNS = {
@@ -74,8 +74,14 @@ def identifiers(documents: DataFrame, words: int = DICTIONARY) -> list[str]:
                     found.clear()
         yield out()
 
-    counts = documents.select("text").where("text is not null").mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(words).collect()]
+    counts = written(documents.select("text").where("text is not null").mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    # only words of the highest octaves are ordered, however many there are in all
+    least, left = 0, words
+    for octave, n in sorted(counts.groupBy(F.expr("cast(log2(n) as int)").alias("octave")).count().collect(), reverse=True):
+        least, left = octave, left - n
+        if left <= 0:
+            break
+    return [r["word"] for r in counts.where(F.col("n") >= 2**least).orderBy(F.desc("n"), "word").limit(words).collect()]
 
 
 @lru_cache(maxsize=4)
