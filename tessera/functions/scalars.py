@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher, get_close_matches
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +57,12 @@ def url_path(url: Column | str) -> Column:
     return F.try_parse_url(col(url), F.lit("PATH"))
 
 
+def decoded(path: Column | str) -> Column:
+    """A path with its percent codes taken back; a plus sign stays one. What can't be decoded stays as it is."""
+    text = col(path)
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
 def finite(value: Column | str) -> Column:
     """True for numbers, false for NaN and infinities, null for null."""
     return ~F.isnan(col(value)) & (F.abs(col(value)) != float("inf"))
@@ -108,21 +117,54 @@ def safe_name(name: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", name.lower()).strip("_")
 
 
+def likeness(suggestion: Column, value: Column) -> Column:
+    """How alike two texts are, from 0 to 1: twice the letters in matching blocks over all letters. Blocks are the longest common stretch (the
+    leftmost of equals), then those to its left and to its right, in turn."""
+
+    @F.arrow_udf("double")
+    def ratio(members: pa.Array, values: pa.Array) -> pa.Array:
+        blocks, found = SequenceMatcher(), []
+        for member, other in zip(members, values, strict=True):
+            # what belongs to the second text is kept from row to row
+            if blocks.b != (text := other.as_py()):
+                blocks.set_seq2(text)
+            blocks.set_seq1(member.as_py())
+            found.append(blocks.ratio())
+        return pa.array(found, pa.float64())
+
+    return ratio(suggestion, value)
+
+
+def _letters(text: Column) -> Column:
+    """Map from letter to how often a text has it."""
+    each = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.map_from_entries(F.transform(F.array_distinct(each), lambda c: F.struct(c, F.size(F.filter(each, lambda x: x == c)))))
+
+
 def suggestions(unknown: DataFrame, domain: DataFrame, value: str, least: float = 0.6, most: int = 3) -> DataFrame:
-    """value, suggestion, likeness, place: up to `most` near members of a small domain for values outside it.
+    """value, suggestion, likeness, place: up to `most` like members of a domain for values outside it, by likeness, then the later name.
 
-    Every distinct value meets the members whose length allows the likeness: two texts differ in as many letters at least as
-    their lengths do. A join on the length, so no pair that could be near is left out."""
-    values = unknown.select(F.col(value).alias("value")).where(F.col("value").isNotNull()).distinct().withColumn("length", F.length("value"))
+    Every distinct value meets the members of a length that allows the likeness (a join on the length), and of these, blocks are matched for pairs whose
+    letters in common, in any order, allow it. Both bounds are exact, so no pair that is alike is left out."""
+    values = unknown.select(F.col(value).alias("value")).where(F.col("value").isNotNull()).distinct().withColumn("length", F.length("value")).withColumn("has", _letters(F.col("value")))
     n = F.length("suggestion")
-    members = domain.select(F.col(value).alias("suggestion")).where(F.col("suggestion").isNotNull()).distinct()
-    members = members.select("suggestion", F.explode(F.sequence(F.floor(n * least).cast("int"), F.ceil(n / least).cast("int"))).alias("length"))
-    likeness = 1 - F.levenshtein("value", "suggestion") / F.greatest(F.length("value"), n, F.lit(1))
-    order = Window.partitionBy("value").orderBy(F.col("likeness").desc(), "suggestion")
-    near = values.join(members, "length").select("value", "suggestion", likeness.alias("likeness")).where(F.col("likeness") >= least)
+    members = domain.select(F.col(value).alias("suggestion")).where(F.col("suggestion").isNotNull()).distinct().withColumn("letters", _letters(F.col("suggestion")))
+    # 2 min(m, n) / (m + n) >= least
+    shortest, longest = F.floor(n * least / (2 - least)).cast("int"), F.ceil(n * (2 - least) / least).cast("int")
+    members = members.withColumn("n", n).withColumn("length", F.explode(F.sequence(shortest, longest)))
+    common = F.aggregate(F.map_entries("letters"), F.lit(0), lambda s, e: s + F.least(e["value"], F.coalesce(F.try_element_at("has", e["key"]), F.lit(0))))
+    bound = F.when(F.col("n") + F.col("length") == 0, 1.0).otherwise(2.0 * common / (F.col("n") + F.col("length")))
+    near = values.join(members, "length").where(bound >= least).select("value", "suggestion").withColumn("likeness", likeness(F.col("suggestion"), F.col("value"))).where(F.col("likeness") >= least)
+    order = Window.partitionBy("value").orderBy(F.col("likeness").desc(), F.col("suggestion").desc())
     return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
 
 
+def not_in_domain(value: str, domain: list[str], name: str, least: float = 0.6, most: int = 3) -> str:
+    """What to tell of a value that isn't in a short list: up to `most` like members, if there are any."""
+    like = get_close_matches(value, domain, n=most, cutoff=least)
+    return f"{value!r} is not one of the {name}." + (f" Did you mean: {', '.join(like)}?" if like else "")
+
+
 def stabilised(df: DataFrame, columns: list[str]) -> DataFrame:
     """Text columns as numbers where every value of the column is one, else as they are. One pass over the data decides."""
     tests = [c for n in columns for c in (F.min(F.col(n).try_cast("double").isNotNull() | F.col(n).isNull()).alias(f"n_{n}"), F.min(F.col(n).try_cast("long").isNotNull() | F.col(n).isNull()).alias(f"i_{n}"), F.count(n).alias(f"c_{n}"))]

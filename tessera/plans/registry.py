@@ -18,6 +18,7 @@ from tessera.plans import analytics as A
 from tessera.schema import ClassSpec, Schema, Slot
 from tessera.session import shared_folder
 from tessera.sinks import tables as W
+from tessera.sinks.tablelog import TableLog
 from tessera.sources import readers as R
 from tessera.streaming import ingest as I
 
@@ -340,7 +341,7 @@ def read_kraken(spark, sf):
     direct = F.when(F.col("p_partkey") % 3 > 0, F.col("p_partkey").cast("string")).otherwise("-")
     start = F.concat_ws("\t", F.col("p_retailprice").cast("string"), F.concat(F.lit(" "), "p_size"), direct, F.lit("S"), F.col("p_partkey").cast("string"))
     value = F.when(F.col("p_partkey") % 7 == 0, start).otherwise(F.concat(start, F.lit("\t  "), "p_name"))
-    return R.PARSERS["kraken"](p.select(F.lit("f").alias("file"), value.alias("value")))
+    return R.FORMATS["Kraken2 Classification Report"].parse(p.select(F.lit("f").alias("file"), value.alias("value")))[0]
 
 
 @registered("""SELECT 'r' || o_orderkey AS file, o_orderkey AS n_seqs, o_custkey AS n_bps, 3 AS len_shortest_seq, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 100 END AS len_longest_seq, 1.5::DOUBLE AS avg_seq_length, o_totalprice AS median_seq_length, 0.25::DOUBLE AS stddev_seq_length,
@@ -847,11 +848,10 @@ def ingest_incremental(spark, sf):
     """Files of an 11-column table are ingested by a stream; a second run, without the first one's checkpoint, adds nothing."""
     path = _folder(spark)
     _blast_lines(spark, sf).select("value").write.text(f"{path}/in")
-    counts = []
+    counts, log = [], TableLog(spark, f"{path}/out")
     for run in (1, 2):
-        I.ingest(spark, f"{path}/in", R.blast, f"{path}/out", f"{path}/bad", f"{path}/checkpoint{run}").awaitTermination()
-        size = lambda n: spark.read.parquet(f"{path}/{n}").count()  # noqa: B023, E731
-        counts.append((run, size("out"), size("bad")))
+        I.ingest(spark, f"{path}/in", R.blast, log.root, f"{path}/checkpoint{run}").awaitTermination()
+        counts.append((run, log.read("rows").count(), log.read("rejects").count()))
     return spark.createDataFrame(counts, "run int, rows long, rejects long")
 
 

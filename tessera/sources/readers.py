@@ -6,13 +6,14 @@ Line frames have `file` and `value`; parsers keep `file`, give typed columns, an
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.scalars import attribute_list, attribute_of, blank_to_null, percent, to_number, unquoted, url_path
+from tessera.functions.scalars import attribute_list, attribute_of, blank_to_null, decoded, is_placeholder, not_in_domain, percent, to_number, unquoted, url_path
 
 #: Columns of the fixed formats, in file order. Fixed values.
 BLAST = "gene_id string, ncbi_taxid long, annotation_id string, pct_identity double, q_start long, q_end long, s_start long, s_end long, evalue double, bitscore double, aln_len long"
@@ -38,6 +39,11 @@ STATISTICS: dict[str, tuple[str, str | None, str, str]] = {
     "genes_per_1m_bp": ("General Quality Info", None, "Genes per 1M bp", "double"),
     "seqs_per_1m_bp": ("General Quality Info", None, "Seqs per 1M bp", "double"),
 }
+#: How a file that holds no results begins. Fixed values.
+PLACEHOLDERS = (
+    "No Checkm Results for", "Nothing found in gottcha2 for", "No Archaeal Results for", "No Bacterial Results for", "Nothing found in kraken2 for", "No Kraken Results for", "Nothing found in centrifuge for",
+    "No Centrifuge Results for", "Nothing found in annotation for", "No Annotation Results for",
+)
 TERMS = "pfam_id string, clan_id string, clan_name string, name string, description string"
 
 
@@ -69,8 +75,18 @@ def read_json_union(spark: SparkSession, *paths: str) -> DataFrame:
     return first
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+def file_of() -> Column:
+    """The path of a row's file as it is named: blanks, `%` and `#` aren't encoded."""
+    return decoded(F.col("_metadata.file_path"))
+
+
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.text(path).select(file_of().alias("file"), "value")
+
+
+def placed(lines: DataFrame) -> DataFrame:
+    """Lines (file, start: where a line's block begins in its file, value) with their order within a block."""
+    return lines.withColumn("at", F.monotonically_increasing_id())
 
 
 def read_headered(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
@@ -79,15 +95,55 @@ def read_headered(spark: SparkSession, path: str | list[str], schema: str | None
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
+def _fields(value: Column) -> Column:
+    """Fields between tabs; a tab within double quotes doesn't count, and such quotes go."""
+    bare = lambda x: F.when(x.rlike('^".*"$'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x)
+    return F.when(value.contains('"'), F.transform(F.split(value, r'\t(?=(?:[^"]*"[^"]*")*[^"]*$)'), bare)).otherwise(F.split(value, "\t"))
+
+
+def headered(lines: DataFrame, renames: dict[str, str] | None = None, keep: tuple[str, ...] = ("file",)) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of tab-separated files whose first line names the columns: rows have keep and `fields`, a map from column to text (null where empty), so that files
+    may have other columns each. Rejects are lines with more fields than names. lines: as placed() gives them, with `file`.
+
+    A column is renamed where its file has none of the new name. One (file, header) table is joined to the lines, so the plan doesn't grow with files or headers. Names that a
+    header has twice get their place as a suffix. Blank lines are skipped; a file without a first line, or with nothing else, has no rows."""
+    filled = lines.where(F.trim("value") != "")
+    first = filled.where("start = 0").groupBy("file").agg(F.min_by(F.struct("value", "at"), "at").alias("first"))
+    once = F.transform("names", lambda n, i: F.when(F.array_position("names", n) <= i, F.concat(n, F.lit("."), i.cast("string"))).otherwise(n))
+    heads = first.select("file", F.col("first.at").alias("head_at"), _fields(F.col("first.value")).alias("names")).withColumn("names", once)
+    for old, new in (renames or {}).items():
+        heads = heads.withColumn("names", _renamed_in(F.col("names"), old, new))
+    body = filled.join(heads, "file").where((F.col("start") != 0) | (F.col("at") != F.col("head_at"))).withColumn("parts", _fields(F.col("value")))
+    fits = F.size("parts") <= F.size("names")
+    fields = F.map_from_arrays("names", F.transform("names", lambda _, i: F.nullif(F.get("parts", i), F.lit(""))))
+    return body.where(fits).select(*keep, fields.alias("fields")), body.where(~fits).select(*keep, "value")
+
+
+def _renamed_in(names: Column, old: str, new: str) -> Column:
+    return F.when(F.array_contains(names, new), names).otherwise(F.transform(names, lambda n: F.when(n == old, F.lit(new)).otherwise(n)))
+
+
+def columns_of(rows: DataFrame, fields: str = "fields") -> DataFrame:
+    """rows with a text column for each key that `fields` has anywhere, in name order, in its place."""
+    keys = rows.select(F.explode(F.map_keys(fields)).alias("k")).distinct().collect()
+    others = [c for c in rows.columns if c != fields]
+    return rows.select(*others, *[F.col(fields)[k].alias(k) for k in sorted(r["k"] for r in keys)])
+
+
 def read_drifting(spark: SparkSession, paths: list[str], renames: dict[str, str]) -> DataFrame:
-    """Headered files whose column names drift: a column is renamed where its new name isn't there already.
+    """Headered files whose column names drift, as one table of text columns: a column is renamed where its new name isn't there already."""
+    lines = spark.read.text(paths).select(file_of().alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    return columns_of(headered(placed(lines), renames)[0].drop("file"))
+
 
-    One pass finds the files of each header, and each header is one scan, so the plan grows with the headers, not with the files."""
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_block_start").alias("start"))
-    headers = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    groups = headers.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    frames = [renamed(read_headered(spark, g["files"]), renames) for g in groups]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+def without_placeholders(lines: DataFrame, phrases: tuple[str, ...] = PLACEHOLDERS) -> DataFrame:
+    """Lines but for those of files that only say, in one line, that nothing was found. Only files with such a line are counted."""
+    said = F.lit(False)
+    for phrase in phrases:
+        said = said | F.ltrim("value").startswith(phrase)
+    filled = lines.where(F.trim("value") != "")
+    empty = filled.join(filled.where(said).select("file").distinct(), "file", "left_semi").groupBy("file").agg(F.count("*").alias("lines")).where("lines = 1").select("file")
+    return lines.join(empty, "file", "left_anti")
 
 
 def renamed(df: DataFrame, renames: dict[str, str]) -> DataFrame:
@@ -212,7 +268,7 @@ def bind_manifest(files: DataFrame, manifest: DataFrame, root: str = "") -> Data
     """manifest with `file` of the landed file whose path is the url's, and `hit`. files: file. Urls with `..` in the path never bind.
 
     manifest: id, url, data_object_type, was_generated_by, ..."""
-    path = url_path("url")
+    path = decoded(url_path("url"))
     safe = F.when(~path.rlike(r"(^|/)\.\.(/|$)"), F.concat(F.lit(root), path))
     landed = files.select("file").distinct()
     return manifest.withColumn("wanted_file", safe).join(landed, F.col("wanted_file") == F.col("file"), "left").withColumn("hit", F.col("file").isNotNull()).drop("wanted_file")
@@ -232,5 +288,42 @@ def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
-#: File type -> parser of lines to rows.
-PARSERS: dict[str, Callable[[DataFrame], DataFrame]] = {"blast": lambda d: blast(d)[0], "kraken": lambda d: kraken(d)[0], "gff": lambda d: gff(d)[0], "aligned": aligned}
+@dataclass(frozen=True)
+class FileFormat:
+    """How files of a type become (rows, rejects). parse: frames with file, start (of the block) and value, which is a line, or the whole text if `whole`."""
+
+    parse: Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+    whole: bool = False
+
+
+def _report(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reports with statistics; those that have text, say no placeholder, and yet no section that is known, are rejects."""
+    real = files.where(~is_placeholder("value", PLACEHOLDERS))
+    rows = statistics(real)
+    return rows, real.join(rows.select("file"), "file", "left_anti").select("file", F.substring("value", 1, 200).alias("value"))
+
+
+def _table(renames: dict[str, str] | None = None) -> FileFormat:
+    return FileFormat(lambda d: headered(placed(without_placeholders(d)), renames))
+
+
+#: Type of a file, as manifests name it -> its format. The names are fixed values.
+FORMATS: dict[str, FileFormat] = {
+    "GOTTCHA2 Classification Report": _table(),
+    "Kraken2 Classification Report": FileFormat(lambda d: kraken(without_placeholders(d))),
+    "Centrifuge output report file": _table(),
+    "GTDBTK Bacterial Summary": _table({"user_genome": "name"}),
+    "GTDBTK Archaeal Summary": _table({"user_genome": "name"}),
+    "CheckM Statistics": FileFormat(lambda d: (aligned(d), d.where(F.lit(False)).select("file", "value"))),
+    "Annotation Statistics": FileFormat(_report, whole=True),
+    "Annotation KEGG Orthology": FileFormat(blast),
+    "Annotation Enzyme Commission": FileFormat(blast),
+    "Pfam Annotation GFF": FileFormat(gff),
+}
+
+
+def format_of(kind: str) -> FileFormat:
+    """The format of a file type; an unknown one is an error that names up to three like it."""
+    if kind in FORMATS:
+        return FORMATS[kind]
+    raise ValueError(not_in_domain(kind, sorted(FORMATS), "file types"))

@@ -1,4 +1,8 @@
-"""Incremental ingest of result files: each file is parsed once, rows are appended once per data object."""
+"""Incremental ingest of result files: each file is parsed once, and the rows of a batch become visible together, once.
+
+Rows, rejects and the files they came from go to one table log in one entry, so a batch that broke off anywhere has added nothing, and one that runs
+again, even without the checkpoint, adds nothing twice.
+"""
 
 from __future__ import annotations
 
@@ -8,46 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tessera.sinks.tablelog import TableLog
+from tessera.sources.readers import FileFormat, file_of, format_of
+
+Parse = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+
+
+def ingest(spark: SparkSession, source: str, parse: Parse | FileFormat, root: str, checkpoint: str, rows: str = "rows", rejects: str = "rejects") -> StreamingQuery:
+    """Parse what has landed under `source` since the last run into the tables `rows` and `rejects` of the log at `root`, and stop.
+
+    parse: frames of (file, start, value) -> (rows, rejects), both with `file`; of lines, or whole texts for a format that says so. One file is one data object. Checkpoint and root are shared folders."""
+    kind = parse if isinstance(parse, FileFormat) else FileFormat(parse)
+    text = spark.readStream.text(source, wholetext=kind.whole)
+    values = text.select(file_of().alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    log = TableLog(spark, root)
+
+    def load(batch: DataFrame, number: int) -> None:
+        good, bad = kind.parse(batch)
+        log.append_new({rows: good, rejects: bad}, "file", f"{checkpoint}:{rows}", number)
+
+    return values.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
 
-def _there(spark: SparkSession, path: str) -> bool:
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs)
-
-
-def append_new(batch: DataFrame, target: str, key: str) -> None:
-    """Append rows whose key the target doesn't hold yet, so that a batch that runs again adds nothing. Rows without a key are always added.
-
-    Two ledgers under the target, which readers of it pass over, list keys whose rows were about to be written and keys whose rows are. A
-    batch is compared with these, one row for each key, and not with the rows of the target; only keys of a batch that broke off between
-    its two entries are looked up there."""
-    spark = batch.sparkSession
-    begun, done = f"{target}/_keys/begun", f"{target}/_keys/done"
-    keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
-    ledger = lambda path: spark.read.schema(keys.schema).parquet(path)
-    rows = spark.read.schema(batch.schema).parquet(target) if _there(spark, target) else None
-    if not _there(spark, f"{done}/_SUCCESS"):
-        # a table without a ledger: what it holds is done, once
-        keys.limit(0).write.mode("append").parquet(begun)
-        (rows.select(key).distinct() if rows is not None else keys.limit(0)).write.mode("overwrite").parquet(done)
-    fresh = batch.join(ledger(done), key, "left_anti")
-    new = keys.join(ledger(done), key, "left_anti")
-    doubtful = new.join(ledger(begun), key, "left_semi")
-    if rows is not None and not doubtful.isEmpty():
-        fresh = fresh.join(rows.join(doubtful, key, "left_semi").select(key).distinct(), key, "left_anti")
-    new.write.mode("append").parquet(begun)
-    fresh.write.mode("append").parquet(target)
-    keys.join(ledger(done), key, "left_anti").write.mode("append").parquet(done)
-
-
-def ingest(spark: SparkSession, source: str, parse: Callable[[DataFrame], tuple[DataFrame, DataFrame]], target: str, rejects: str, checkpoint: str, key: str = "file") -> StreamingQuery:
-    """Parse what has landed under `source` since the last run, and stop. parse: lines (file, value) -> (rows, rejects).
-
-    One file is one data object; its rows are appended together. Checkpoint, target and rejects are shared folders."""
-    lines = spark.readStream.text(source).select(F.col("_metadata.file_path").alias("file"), "value")
-
-    def load(batch: DataFrame, _: int) -> None:
-        rows, bad = parse(batch)
-        append_new(rows, target, key)
-        append_new(bad, rejects, key)
-
-    return lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def ingest_types(spark: SparkSession, sources: dict[str, str], root: str, checkpoint: str, table: Callable[[str], str]) -> dict[str, StreamingQuery]:
+    """One stream for each file type, all into one log. sources: type -> folder; table: type -> name of its table (rejects go to `<name>_rejects`)."""
+    formats = {kind: format_of(kind) for kind in sources}
+    return {kind: ingest(spark, source, formats[kind], root, f"{checkpoint}/{table(kind)}", table(kind), f"{table(kind)}_rejects") for kind, source in sources.items()}
