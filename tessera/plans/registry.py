@@ -456,14 +456,21 @@ def union_edges(spark, sf):
     return provenance(spark, sf).groupBy("slot").agg(F.count("*").alias("links"), F.countDistinct("src").alias("sources"), F.countDistinct("next_id").alias("targets"))
 
 
-def order_walk(spark: SparkSession, sf: str) -> DataFrame:
+def order_walk(spark: SparkSession, sf: str) -> graph.Reach:
     seeds = load(spark, sf, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("origin"))
-    return graph.walk(provenance(spark, sf), seeds, F.col("id").startswith("r"))
+    return graph.reach(provenance(spark, sf), seeds, F.col("id").startswith("r"))
 
 
 @registered(f"{_WALK} SELECT origin, id AS terminal_id, min(hops) AS n_hops FROM w WHERE id LIKE 'r%' GROUP BY 1, 2")
 def bfs_min_hops(spark, sf):
-    return graph.min_hops(order_walk(spark, sf))
+    return order_walk(spark, sf).min_hops()
+
+
+@registered(f"{_WALK} SELECT id, min(hops) AS nearest, max(hops) AS furthest, count(*) AS pairs FROM (SELECT origin, id, min(hops) AS hops FROM w WHERE hops > 0 GROUP BY 1, 2) GROUP BY 1")
+def reach_by_node(spark, sf):
+    """How many orders reach each node, and over how many hops, from the packed walk: bits are counted, and no pair is unpacked."""
+    bits = order_walk(spark, sf).packed
+    return bits.groupBy("id").agg(F.min("hops").alias("nearest"), F.max("hops").alias("furthest"), F.sum(F.bit_count("bits")).cast("long").alias("pairs"))
 
 
 @registered(f"{_WALK} SELECT origin, id, min(hops) AS hops FROM w WHERE id LIKE 'r%' GROUP BY 1, 2")

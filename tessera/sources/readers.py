@@ -67,12 +67,28 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_union(spark: SparkSession, *paths: str) -> DataFrame:
-    """JSON files of differing fields, united by name; dates stay text."""
-    frames = [spark.read.option("inferTimestamp", False).json(p) for p in paths]
-    first = frames[0]
-    for df in frames[1:]:
-        first = first.unionByName(df, allowMissingColumns=True)
-    return first
+    """JSON lines of differing fields, united by name; dates stay text.
+
+    One pass finds what any line has, a second reads it, however many files and shapes there are. Fractions are doubles; a field that has values of several kinds is text, with objects
+    as JSON. Blank lines are skipped; a line that isn't JSON fails the job."""
+    lines = spark.read.text(list(paths)).where(F.trim("value") != "").select(F.parse_json("value").alias("record"))
+    found = lines.agg(F.schema_of_variant_agg("record").alias("schema")).first()["schema"]
+    shape = T._parse_datatype_string(found.replace("OBJECT<", "STRUCT<")) if found != "VOID" else T.StructType()
+    if not isinstance(shape, T.StructType):
+        raise ValueError(f"lines aren't objects: {found}")
+    if odd := [f.name for f in shape if "'" in f.name and '"' in f.name]:
+        raise ValueError(f"a field's name has both kinds of quotes: {odd[0]}")
+    path = lambda name: f'$["{name}"]' if "'" in name else f"$['{name}']"
+    return lines.select(*[F.variant_get("record", path(f.name), _readable(f.dataType)).alias(f.name) for f in shape])
+
+
+def _readable(kind: T.DataType) -> str:
+    """The type to read a variant as."""
+    if isinstance(kind, T.StructType):
+        return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {_readable(f.dataType)}" for f in kind) + ">"
+    if isinstance(kind, T.ArrayType):
+        return f"array<{_readable(kind.elementType)}>"
+    return "double" if isinstance(kind, T.DecimalType) else "string" if isinstance(kind, (T.VariantType, T.NullType)) else kind.simpleString()
 
 
 def file_of() -> Column:

@@ -1,6 +1,7 @@
 """Units of the flattening compiler, writers, walks, validation, inventories and ingest on hand-made frames."""
 
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -12,8 +13,8 @@ from tessera.operators import extract, flatten, graph, snapshot, validation
 from tessera.plans import analytics as A
 from tessera.schema import ClassSpec, Schema, SchemaError, Slot
 from tessera.sinks import tables as W
-from tessera.sources import readers as R
 from tessera.sinks.tablelog import TableLog
+from tessera.sources import readers as R
 from tessera.streaming import ingest as I
 
 SCHEMA = Schema.of(
@@ -337,3 +338,77 @@ def test_dry_runs_and_formats(spark):
     with pytest.raises(snapshot.SnapshotError, match="not delta: one"):
         snapshot.catalog_formats(spark, "formats_db", "delta")
     spark.sql("DROP DATABASE formats_db CASCADE")
+
+
+def brute_walk(links, seeds, end, depth=15):
+    after: dict[str, set[str]] = {}
+    for a, b in links:
+        after.setdefault(a, set()).add(b)
+    found = {}
+    for seed in seeds:
+        front = {seed}
+        for hop in range(1, depth + 1):
+            front = {b for a in front for b in after.get(a, ())} - {n for s, n in found if s == seed}
+            if not front:
+                break
+            found |= {(seed, n): (hop, end(n)) for n in front}
+            front = {n for n in front if not end(n)}
+    return {(s, n, *x) for (s, n), x in found.items()}
+
+
+def test_packed_walk(spark):
+    """Many origins that meet, cycles, a hot node, origins that are nodes of others' ways, and depths."""
+    r = random.Random(4)
+    nodes = [f"n{i}" for i in range(60)] + ["end1", "end2"]
+    seeds = [f"s{i:03}" for i in range(300)] + ["n3", "end1"]
+    links = [(s, r.choice(nodes)) for s in seeds for _ in range(r.randrange(3))] + [(s, "n0") for s in seeds[:200]] + [(a, r.choice(nodes)) for a in nodes for _ in range(2)] + [("n5", "n5")]
+    df = spark.createDataFrame([(a, b, "s") for a, b in links] * 2, "src string, next_id string, slot string")
+    origins = spark.createDataFrame([(s,) for s in [*seeds, seeds[0], None]], "origin string")
+    end = F.col("id").startswith("end")
+    before = len(spark.catalog.listTables())
+    for depth in (15, 1, 3):
+        found = graph.reach(df, origins, end, depth, buckets=3)
+        assert {tuple(x) for x in found.rows().collect()} == brute_walk(links, seeds, lambda n: n.startswith("end"), depth)
+        assert depth < 15 or found.packed.count() < found.rows().count() / 4
+    types = spark.createDataFrame([("n0", "A"), ("n1", "B"), ("n2", "B"), ("end1", "C")], "id string, type string")
+    flags, kinds = {"A": "a", "B": "b", "C": "c"}, spark.createDataFrame([("s000", "W")], "origin string, origin_type string")
+    full = graph.reach(df, origins, end)
+    assert {tuple(x) for x in graph.bridge(full, types, kinds, flags).collect()} == {tuple(x) for x in graph.bridge(full.rows(), types, kinds, flags).collect()}
+    assert graph.reach(df, origins.limit(0), end).rows().count() == 0 and graph.reach(df.limit(0), origins, end).rows().count() == 0
+    assert len(spark.catalog.listTables()) == before
+
+
+def test_a_hop_shuffles_neither_edges_nor_what_was_reached(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, df, keys in (("hop_links", spark.createDataFrame([("a", "b")], "src string, next_id string"), ("src",)), ("hop_seen", spark.createDataFrame([("b", 0, 1)], "id string, block long, bits long"), ("id", "block"))):
+            graph._bucketed(df, name, str(tmp_path / name), 4, *keys)
+        frontier = spark.createDataFrame([("a", 0, 3)], "id string, block long, bits long")
+        step = graph._step(frontier, spark.table("hop_links"), spark.table("hop_seen"), F.lit(False))
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Bucketed: true") == 2
+        assert [tuple(x) for x in step.collect()] == [("b", 0, 2, False)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        for name in ("hop_links", "hop_seen"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_json_of_many_shapes(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": 1, "d": "2020-01-01", "n": 1, "o": {"x": 1}, "m": 1, "it\'s": true}\n\n')
+    (tmp_path / "b.json").write_text('{"id": 2, "n": 1.5, "o": {"x": 2.5, "y": ["p"]}, "m": {"k": [1]}, "v": null, "l": [1, 2]}\n')
+    got = R.read_json_union(spark, str(tmp_path))
+    assert dict(got.dtypes) == {"d": "string", "id": "bigint", "it's": "boolean", "l": "array<bigint>", "m": "string", "n": "double", "o": "struct<x:double,y:array<string>>", "v": "string"}
+    one, two = got.orderBy("id").collect()
+    assert (one["d"], one["n"], one["o"]["x"], one["m"], one["it's"]) == ("2020-01-01", 1.0, 1.0, "1", True)
+    assert (two["d"], two["n"], two["o"]["y"], two["m"], two["v"], two["l"]) == (None, 1.5, ["p"], '{"k":[1]}', None, [1, 2])
+    for i in range(40):
+        (tmp_path / f"many{i}.json").write_text(f'{{"id": {i + 3}, "only{i}": {i}}}\n')
+    more = R.read_json_union(spark, *[str(p) for p in tmp_path.iterdir()])
+    assert more.count() == 42 and len(more.columns) == 48
+    assert more._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    with pytest.raises(Exception):  # noqa: B017
+        (tmp_path / "bad.json").write_text("no")
+        R.read_json_union(spark, str(tmp_path))
