@@ -7,6 +7,7 @@ place of an id don't lose the row. A record's class is the part of its `type` af
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,6 +127,66 @@ def side_tables(df: DataFrame, schema: Schema, cls: str, collection: str, record
     return {f"{collection}_{slot.name}": side_table(df, schema, cls, slot, classes, record, strict) for slot, classes in schema.list_slots(cls)}
 
 
+def table_shapes(schema: Schema, cls: str, collection: str) -> dict[str, T.StructType]:
+    """Table -> its columns, for the primary table of a collection and all its side tables."""
+    return {collection: schema.flat_struct(cls)} | {f"{collection}_{slot.name}": schema.side_struct(slot) for slot, _ in schema.list_slots(cls)}
+
+
+def stored_names(shapes: dict[str, T.StructType]) -> dict[str, dict[str, str]]:
+    """Table -> column -> its name where all tables share one set of columns: its own, or one with a number where another table has the name with another type, as
+    a list of ids in the primary table and an id in its junction table do."""
+    kinds: dict[str, list[T.DataType]] = {}
+    taken = {f.name.lower() for shape in shapes.values() for f in shape}
+    names: dict[str, dict[str, str]] = {}
+    for table, shape in shapes.items():
+        names[table] = {}
+        for f in shape:
+            known = kinds.setdefault(f.name.lower(), [])
+            if f.dataType not in known:
+                known.append(f.dataType)
+            n = known.index(f.dataType)
+            name = f.name if not n else f"{f.name}__{n + 1}"
+            while n and name.lower() in taken:
+                name += "_"
+            names[table][f.name] = name
+    return names
+
+
+def tagged_rows(df: DataFrame, schema: Schema, cls: str, collection: str, record: str = "record", strict: bool = True, tag: str = "table") -> DataFrame:
+    """The rows of all tables of a collection from one pass over its records: `tag` names a row's table; columns are named as stored_names() says, null where other tables have
+    them. A record gives one row of the primary table and one for each element of its lists."""
+    shapes = table_shapes(schema, cls, collection)
+    names = stored_names(shapes)
+    wide = {names[t][f.name].lower(): (names[t][f.name], f.dataType) for t, shape in shapes.items() for f in shape}
+    if tag.lower() in wide:
+        raise ValueError(f"a table has a column {tag}")
+    known, here = frozenset(schema.classes), F.col(record)
+
+    def row(table: str, values: dict[str, Column]) -> Column:
+        own = {names[table][n].lower(): v for n, v in values.items()}
+        return F.struct(F.lit(table).alias(tag), *[own.get(k, F.lit(None)).cast(kind).alias(n) for k, (n, kind) in wide.items()])
+
+    lists = [F.array(row(collection, {c.name: expression(here, c, known, strict) for c in schema.flat_columns(cls)}))]
+    key = next((s.name for s in schema.slots(cls).values() if s.identifier), "id")
+    below, parent = frozenset(schema.descendants(cls)), value_at(here, (key,), "string")
+    for slot, classes in schema.list_slots(cls):
+        has = parent.isNotNull() & (parent != "")
+        if not below <= classes:
+            has = has & class_of(here, (), cls, below).isin(*sorted(classes))
+        rows = _side_rows(schema, slot, _list_elements(here, slot.name), parent, known, strict, partial(row, f"{collection}_{slot.name}"))
+        lists.append(F.coalesce(F.when(has, rows), F.array()))
+    return df.select(F.inline(F.flatten(F.array(*lists))))
+
+
+def _side_rows(schema: Schema, slot: Slot, elements: Column, parent: Column, known: frozenset[str], strict: bool, row: Callable[[dict[str, Column]], Column]) -> Column:
+    """The rows of a side table that one record's list gives."""
+    if not schema.inlined(slot):
+        ids = F.transform(elements, lambda e: F.coalesce(F.try_variant_get(e, "$.id", "string"), F.try_variant_get(e, "$", "string")))
+        return F.transform(F.filter(ids, lambda i: i.isNotNull()), lambda i: row({"parent_id": parent, slot.name: i}))
+    columns = [c for c in schema.flat_columns(slot.range, child=True) if c.name not in ("parent_id", "type")]
+    return F.transform(F.filter(elements, is_object), lambda e: row({"parent_id": parent, "type": F.try_variant_get(e, "$.type", "string")} | {c.name: expression(e, c, known, strict) for c in columns}))
+
+
 def flatten_all(collections: dict[str, DataFrame], schema: Schema, root: str = "Database", skip: tuple[str, ...] = (), record: str = "record") -> dict[str, DataFrame]:
     """All primary and side tables of a database. Nothing runs until a table is used."""
     tables: dict[str, DataFrame] = {}

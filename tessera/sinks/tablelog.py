@@ -14,6 +14,7 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ class Table:
     schema: str
     parts: tuple[str, ...] = ()
     rows: int = 0
+    #: part -> column -> its name in the files, where that is another
+    renamed: dict[str, dict[str, str]] = field(default_factory=dict)
 
     @property
     def struct(self) -> T.StructType:
@@ -52,7 +55,7 @@ class Snapshot:
             return replace(self, tables=self.tables | {name: part})
         if [(f.name, f.dataType) for f in old.struct] != [(f.name, f.dataType) for f in part.struct]:
             raise PromotionError(f"{name} has other columns than the rows to append")
-        return replace(self, tables=self.tables | {name: Table(old.schema, old.parts + part.parts, old.rows + part.rows)})
+        return replace(self, tables=self.tables | {name: Table(old.schema, old.parts + part.parts, old.rows + part.rows, old.renamed | part.renamed)})
 
     def without(self, *names: str) -> Snapshot:
         return replace(self, tables={n: t for n, t in self.tables.items() if n not in names})
@@ -87,14 +90,22 @@ class TableLog:
             said = json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return Snapshot(version, {n: Table(t["schema"], tuple(t["parts"]), t["rows"]) for n, t in said["tables"].items()}, said["streams"])
+        return Snapshot(version, {n: Table(t["schema"], tuple(t["parts"]), t["rows"], t["renamed"]) for n, t in said["tables"].items()}, said["streams"])
 
     def read(self, name: str, at: Snapshot | None = None) -> DataFrame:
         """A table as of a snapshot. Several tables of one snapshot are of one age."""
         table = (at or self.snapshot()).tables[name]
         if not table.parts:
             return self.spark.createDataFrame([], table.struct)
-        return self.spark.read.schema(table.struct).parquet(*[f"{self.root}/{p}" for p in table.parts])
+        alike: dict[tuple, list[str]] = {}
+        for part in table.parts:
+            alike.setdefault(tuple(sorted(table.renamed.get(part, {}).items())), []).append(part)
+        return reduce(lambda a, b: a.unionByName(b), [self._files(table.struct, parts, dict(names)) for names, parts in alike.items()])
+
+    def _files(self, struct: T.StructType, parts: list[str], names: dict[str, str]) -> DataFrame:
+        stored = T.StructType([T.StructField(names.get(f.name, f.name), f.dataType, True, f.metadata) for f in struct])
+        df = self.spark.read.schema(stored).parquet(*[f"{self.root}/{p}" for p in parts])
+        return df.select(*[F.col(f"`{s.name}`").alias(f.name, metadata=f.metadata) for s, f in zip(stored, struct, strict=True)])
 
     # writing
 
@@ -104,22 +115,27 @@ class TableLog:
         df.write.parquet(f"{self.root}/{part}")
         return self._counted(part, df.schema)
 
-    def stage_split(self, df: DataFrame, column: str, shapes: dict[str, T.StructType]) -> dict[str, Table]:
-        """df written in one pass as a part for each value of `column` that has rows; shapes: value -> the columns of df that its table has."""
+    def stage_split(self, df: DataFrame, column: str, shapes: dict[str, T.StructType], names: dict[str, dict[str, str]] | None = None) -> dict[str, Table]:
+        """df written in one pass as a part for each value of `column` that has rows. shapes: value -> its table's columns; names: value -> column -> its name in df, where that
+        is another."""
         part = f"data/_split/{uuid.uuid4().hex}"
         df.write.partitionBy(column).parquet(f"{self.root}/{part}")
-        at = self._path(f"{self.root}/{part}")
-        there = {s.getPath().getName() for s in self._fs.listStatus(at)}
-        return {v: self._counted(f"{part}/{column}={v}", shape) for v, shape in shapes.items() if f"{column}={v}" in there}
+        there = {s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/{part}"))}
+        other = {v: {c: n for c, n in (names or {}).get(v, {}).items() if c != n} for v in shapes}
+        return {v: self._counted(f"{part}/{column}={v}", shape, other[v]) for v, shape in shapes.items() if f"{column}={v}" in there}
+
+    def empty(self, struct: T.StructType) -> Table:
+        """A table without rows."""
+        return Table(json.dumps(_nullable(struct).jsonValue()))
 
-    def _counted(self, part: str, struct: T.StructType) -> Table:
+    def _counted(self, part: str, struct: T.StructType, names: dict[str, str] | None = None) -> Table:
         rows = self.spark.read.schema(struct).parquet(f"{self.root}/{part}").count()
-        return Table(json.dumps(T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in struct]).jsonValue()), (part,), rows)
+        return Table(self.empty(struct).schema, (part,), rows, {part: names} if names else {})
 
     def commit(self, changed: Snapshot) -> Snapshot:
         """`changed`, made from a snapshot, as the version after it; Conflict if there is one already."""
         version = changed.version + 1
-        said = {"tables": {n: {"schema": t.schema, "parts": list(t.parts), "rows": t.rows} for n, t in sorted(changed.tables.items())}, "streams": changed.streams}
+        said = {"tables": {n: {"schema": t.schema, "parts": list(t.parts), "rows": t.rows, "renamed": t.renamed} for n, t in sorted(changed.tables.items())}, "streams": changed.streams}
         draft = f"{self.root}/_log/.{uuid.uuid4().hex}"
         out = self._fs.create(self._path(draft), True)
         try:
@@ -261,6 +277,10 @@ class TableLog:
         return [f"data/{name}/{part}" for name in below("data") for part in below(f"data/{name}")]
 
 
+def _nullable(struct: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in struct])
+
+
 def check_set(produced: set[str], primary: str, owned: tuple[str, ...]) -> None:
     if primary not in produced:
         raise PromotionError(f"no table {primary}")

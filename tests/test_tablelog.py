@@ -10,10 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
+from tessera.operators import flatten
+from tessera.sinks.collections import publish, publish_all, publish_types
 from tessera.sinks.tablelog import Conflict, TableLog
 from tessera.sinks.tables import PromotionError
 from tessera.sources import readers as R
 from tessera.streaming import ingest as I
+from tests.test_operators import SCHEMA, frame
 
 MOVES = ("stage 1", "stage 2", "stage 3", "draft", "place", "placed")
 
@@ -253,3 +256,63 @@ def test_strict_terms_of_a_compressed_file(spark, tmp_path):
     with gzip.open(tmp_path / "terms.tsv.gz", "wt") as out:
         out.write("PF1\tCL1\tclan\tname\ttext\n\nPF2\t \t\tother\tmore\n")
     assert [tuple(r) for r in R.strict_terms(R.read_lines(spark, str(tmp_path))).orderBy("pfam_id").collect()] == [("PF1", "CL1", "clan", "name", "text"), ("PF2", None, None, "other", "more")]
+
+
+# many tables from one pass
+
+
+def same(a, b):
+    assert a.columns == b.columns and [f.dataType for f in a.schema] == [f.dataType for f in b.schema]
+    text = lambda d: sorted(map(str, d.collect()))
+    assert text(a) == text(b)
+
+
+def nested(spark):
+    rows = [
+        {"id": "1", "type": "x:Extraction", "targets": ["t"], "inputs": ["a", {"id": "b"}, None, "a"]}, {"id": "2", "type": "Pooling", "method": "m", "inputs": ["no"]}, {"type": "Extraction", "inputs": ["noid"]}, {"id": "", "inputs": ["e"]}, {"id": "3", "type": "Extraction", "inputs": {"id": "lone"}},
+    ]
+    records = [
+        {"id": "r1", "chem": [{"has_raw_value": "x", "type": "n:Value", "aliases": ["q"], "term": {"id": "t", "name": "T"}}, "text", None, {"term": "only"}], "studies": ["s1", "s2"], "scores": [1]}, {"id": "r2", "chem": {"has_raw_value": "lone"}, "depth": 2}, {"id": "r3"},
+    ]
+    return frame(spark, *rows), frame(spark, *records, "no json")
+
+
+def test_one_pass_gives_the_tables_that_one_scan_for_each_gives(spark, tmp_path):
+    process, record = nested(spark)
+    log = TableLog(spark, str(tmp_path / "log"))
+    results = {r["collection"]: r for r in publish_all(log, {"record_set": record, "process_set": process}, SCHEMA)}
+    assert results["record_set"]["rows"] == {"record_set": 4, "record_set_chem": 3, "record_set_studies": 2} and results["process_set"]["rows"] == {"process_set": 5, "process_set_inputs": 4}
+    for name, df, cls in (("record_set", record, "Record"), ("process_set", process, "Process")):
+        same(log.read(name), flatten.primary(df, SCHEMA, cls))
+        for table, side in flatten.side_tables(df, SCHEMA, cls, name).items():
+            same(log.read(table), side)
+    # rows that are gone take their side table along, in the same step
+    assert publish(log, record.limit(0), SCHEMA, "Record", "record_set") == {"record_set": 0}
+    assert log.read("record_set").count() == 0 and log.read("record_set").columns == flatten.primary(record, SCHEMA, "Record").columns and "record_set_chem" not in log.snapshot().tables
+    bad = frame(spark, {"id": "r", "depth": "deep"})
+    before = log.snapshot()
+    (failed, skipped) = publish_all(log, {"record_set": bad}, SCHEMA, skip=("process_set",))
+    assert (failed["status"], skipped["status"]) == ("failed", "skipped") and failed["error"] and log.snapshot() == before
+
+
+def test_one_pass_is_one_scan(spark, tmp_path):
+    """A collection with three side tables is read once; the stored rows have each column once."""
+    folder = str(tmp_path / "in")
+    spark.createDataFrame([('{"id": "r1", "chem": [{"has_raw_value": "x"}], "studies": ["s1"]}',)], "raw string").write.text(folder)
+    records = flatten.records(R.read_raw(spark, folder))
+    plan = flatten.tagged_rows(records, SCHEMA, "Record", "record_set")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Python" not in plan
+    names = flatten.stored_names(flatten.table_shapes(SCHEMA, "Record", "record_set"))
+    assert names["record_set"]["studies"] == "studies" and names["record_set_studies"]["studies"] == "studies__2"
+
+
+def test_types_in_one_pass(spark, tmp_path):
+    df, log = spark.createDataFrame([("A b", 1), ("A b", 2), ("c/d", 3), ("other", 4), (None, 5)], "kind string, n int"), TableLog(spark, str(tmp_path / "log"))
+    log.append("kept", df)
+    assert publish_types(log, df, "kind", ["A b", "c/d", "none"]) == {"a_b": 2, "c_d": 1}
+    assert sorted(r["n"] for r in log.read("a_b").collect()) == [1, 2] and log.read("a_b").columns == ["n"]
+    assert publish_types(log, df.where("kind = 'c/d'"), "kind", ["A b", "c/d"]) == {"c_d": 1} and sorted(log.snapshot().tables) == ["c_d", "kept"]
+    log.append("c_d", spark.createDataFrame([(9,)], "n int"))
+    assert sorted(r["n"] for r in log.read("c_d").collect()) == [3, 9]
+    with pytest.raises(ValueError, match="same table name"):
+        publish_types(log, df, "kind", ["A b", "A  b"])
