@@ -18,6 +18,8 @@ from tessera.plans import analytics as A
 from tessera.schema import ClassSpec, Schema, Slot
 from tessera.session import shared_folder
 from tessera.sinks import tables as W
+from tessera.sinks.collections import publish
+from tessera.sinks.collections import publish_types as publish_by_type
 from tessera.sinks.tablelog import TableLog
 from tessera.sources import readers as R
 from tessera.streaming import ingest as I
@@ -1009,3 +1011,94 @@ def stored_manifest(spark, sf):
     sealed = snapshot.stored_manifest(spark, paths, metrics, {"orders": ["orders", "customer"]})
     said = metrics.select("table", F.col("bytes").alias("said"))
     return sealed.join(said, "table").select("table", "rows", (F.col("bytes") == F.col("said")).alias("same_bytes"), F.array_join("made_from", "|").alias("made_from"), F.lit(refused).alias("refused"))
+
+
+# -- tables of a log ----------------------------------------------------------------------------------------------------------
+
+
+@registered(ORACLES["side_child"])
+def publish_collection(spark, sf):
+    """A collection's primary and side tables from one pass over its records, published together over an older set; the lines as the log has them."""
+    log = TableLog(spark, _folder(spark))
+    publish(log, flatten.records(spark.createDataFrame([('{"id": "old", "lines": [{"number": 1}]}',)], "raw string")), ORDERS, "Order", "order_set")
+    publish(log, nested_orders(spark, sf), ORDERS, "Order", "order_set")
+    return log.read("order_set_lines").select("parent_id", "number", "part", "quantity", "price", "flag")
+
+
+@registered("SELECT event_type AS name, count(*) AS rows, round(sum(value), 2) AS v FROM events GROUP BY 1")
+def publish_types(spark, sf):
+    """One table for each type that has rows, from one pass; one of the types has none."""
+    e, log = load(spark, sf, "events"), TableLog(spark, _folder(spark))
+    kinds = [*sorted(r[0] for r in e.select("event_type").distinct().collect()), "a type without rows"]
+    found = publish_by_type(log, e, "event_type", kinds)
+    at = log.snapshot()
+    return reduce(lambda a, b: a.unionByName(b), [log.read(n, at).agg(F.count("*").alias("rows"), F.round(F.sum("value"), 2).alias("v")).select(F.lit(n).alias("name"), "rows", "v") for n in found])
+
+
+@registered("""SELECT 'old' AS age, 'orders' AS "table", count(*) AS rows FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'old', 'orders_customers', count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT 'new', 'orders', count(*) FROM orders UNION ALL SELECT 'new', 'orders_lines', count(*) FROM lineitem""")
+def promote_at_once(spark, sf):
+    """A table set promoted over another in one step: a reader of the older snapshot keeps its set, one of the newer sees the new set, in which a side table is gone and another has come."""
+    o, lines, log = load(spark, sf, "orders"), load(spark, sf, "lineitem"), TableLog(spark, _folder(spark))
+    owned, half = ("orders_customers", "orders_lines"), o.where("o_orderkey % 2 = 0")
+    old = log.promote({"orders": half, "orders_customers": half.select("o_custkey").distinct()}, "orders", owned)
+    new = log.promote({"orders": o, "orders_lines": lines}, "orders", owned)
+    count = lambda age, at: [log.read(n, at).agg(F.count("*").alias("rows")).select(F.lit(age).alias("age"), F.lit(n).alias("table"), "rows") for n in at.tables]
+    return reduce(lambda a, b: a.unionByName(b), [*count("old", old), *count("new", new)])
+
+
+@registered("""SELECT 'gottcha2_classification_report' AS name, count(*) AS rows, 0 AS rejects, sum(s_suppkey) AS total FROM supplier
+UNION ALL SELECT 'kraken2_classification_report', count(*) FILTER (p_partkey % 7 <> 0), count(*) FILTER (p_partkey % 7 = 0), sum(p_partkey) FILTER (p_partkey % 7 <> 0) FROM part
+UNION ALL SELECT 'centrifuge_output_report_file', count(*), 0, sum(c_custkey) FROM customer
+UNION ALL SELECT 'gtdbtk_bacterial_summary', count(*), 0, sum(p_partkey) FROM part
+UNION ALL SELECT 'gtdbtk_archaeal_summary', 0, 0, NULL
+UNION ALL SELECT 'checkm_statistics', count(*), 0, sum(n_nationkey) FROM nation
+UNION ALL SELECT 'annotation_statistics', count(*) FILTER (n_nationkey % 5 <> 0), count(*) FILTER (n_nationkey % 5 = 0), sum(n_nationkey) FILTER (n_nationkey % 5 <> 0) FROM nation""")
+def ingest_file_types(spark, sf):
+    """Files of all seven kinds of summaries, by the names of their types: headered, headerless, aligned, whole reports and placeholders, streamed into one log, twice."""
+    t, path = {n: load(spark, sf, n) for n in ("supplier", "part", "customer", "nation", "region")}, _folder(spark)
+    text = lambda *c: F.concat_ws("\t", *[F.col(x).cast("string") if isinstance(x, str) else x for x in c]).alias("value")
+    at = lambda kind: f"{path}/in/{S.safe_name(kind)}"
+    table = lambda df, kind: df.write.mode("append").option("sep", "\t").option("header", True).csv(at(kind))
+    # a file for each row
+    whole = lambda df, kind: df.write.mode("append").option("maxRecordsPerFile", 1).text(at(kind))
+    kinds = list(R.FORMATS)[:7]
+    table(t["supplier"].select(F.lit("genus").alias("LEVEL"), F.col("s_name").alias("NAME"), F.col("s_suppkey").alias("TAXID")), kinds[0])
+    lines = text(F.lit("1.5"), F.lit("3"), F.lit("2"), F.lit("S"), "p_partkey")
+    t["part"].select(F.when(F.col("p_partkey") % 7 == 0, lines).otherwise(F.concat(lines, F.lit("\t  "), "p_name")).alias("value")).write.mode("append").text(at(kinds[1]))
+    table(t["customer"].select(F.col("c_name").alias("name"), F.col("c_custkey").alias("taxID")), kinds[2])
+    table(t["part"].where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("user_genome"), F.col("p_type").alias("classification")), kinds[3])
+    table(t["part"].where("p_partkey % 2 = 1").select(F.col("p_brand").alias("user_genome"), F.col("p_partkey").alias("name")), kinds[3])
+    row = F.concat(F.lit("  Bin Id   a\n----\n  "), "n_nationkey", *[F.lit(f"   {i}") for i in range(13)])
+    whole(t["nation"].select(row.alias("value")), kinds[5])
+    rule = "=" * 20
+    report = F.concat(F.lit(f"Predicted Genes Statistics\n{rule}\nFeature type\tNumber of predicted features\n'CDS'\t"), "n_nationkey", F.lit(f"\n{rule}\n"))
+    whole(t["nation"].select(F.when(F.col("n_nationkey") % 5 == 0, F.lit("another report\nwithout sections")).otherwise(report).alias("value")), kinds[6])
+    for kind, phrase in zip(kinds, (R.PLACEHOLDERS[i] for i in (1, 4, 6, 3, 2, 0, 8)), strict=True):
+        whole(t["region"].select(F.concat(F.lit(f"{phrase} "), "r_name").alias("value")), kind)
+    log, counts = TableLog(spark, f"{path}/log"), []
+    for run in (1, 2):
+        for query in I.ingest_types(spark, {k: at(k) for k in kinds}, log.root, f"{path}/checkpoint{run}", S.safe_name).values():
+            query.awaitTermination()
+    snapshot_ = log.snapshot()
+    numbers = ("fields.TAXID", "taxid", "fields.taxID", "fields.name", "fields.name", "bin_id", "n_cds")
+    for kind, number in zip(kinds, numbers, strict=True):
+        name = S.safe_name(kind)
+        counts.append(log.read(name, snapshot_).agg(F.count("*").alias("rows"), F.sum(F.expr(number).cast("long")).alias("total")).select(F.lit(name).alias("name"), "rows", F.lit(snapshot_.tables[f"{name}_rejects"].rows).cast("long").alias("rejects"), "total"))
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+@registered("""WITH RECURSIVE n AS (SELECT n_name AS a FROM nation UNION SELECT c_mktsegment FROM customer UNION SELECT r_name FROM region),
+p AS (SELECT v.b, n.a FROM (SELECT DISTINCT substr(a, 4) || substr(a, 1, 3) AS b FROM n) v, n),
+m AS MATERIALIZED (SELECT a, b, i, j, (SELECT max(k) FROM range(0, least(length(a) - i, length(b) - j) + 2) r(k) WHERE substr(a, i, k) = substr(b, j, k)) AS k FROM (SELECT a, b, unnest(range(1, length(a) + 1)) AS i, range(1, length(b) + 1) AS js FROM p), unnest(js) u(j)),
+s AS (SELECT a, b, 1 AS al, length(a) + 1 AS ah, 1 AS bl, length(b) + 1 AS bh, 0 AS got FROM p
+UNION ALL SELECT a, b, unnest([al, x.i + x.k]), unnest([x.i, ah]), unnest([bl, x.j + x.k]), unnest([x.j, bh]), unnest([x.k, 0]) FROM (SELECT s.a, s.b, al, ah, bl, bh, arg_max({'i': i, 'j': j, 'k': least(k, ah - i, bh - j)}, least(k, ah - i, bh - j) * 1000000 - i * 1000 - j) AS x
+FROM s JOIN m ON m.a = s.a AND m.b = s.b AND i >= al AND i < ah AND j >= bl AND j < bh GROUP BY ALL) WHERE x.k > 0),
+l AS (SELECT b AS value, a AS suggestion, 2.0::DOUBLE * sum(got) / (length(a) + length(b)) AS likeness FROM s GROUP BY a, b)
+SELECT value, suggestion, CAST(round(likeness, 6) AS DOUBLE) AS likeness, CAST(row_number() OVER (PARTITION BY value ORDER BY likeness DESC, suggestion DESC) AS INTEGER) AS place FROM l WHERE likeness >= 0.6 QUALIFY place <= 3""")
+def suggestions_by_blocks(spark, sf):
+    """Names whose two parts have changed places, against the names: likeness by matching blocks."""
+    t = {n: load(spark, sf, n) for n in ("nation", "customer", "region")}
+    names = t["nation"].select(F.col("n_name").alias("v")).union(t["customer"].select("c_mktsegment")).union(t["region"].select("r_name"))
+    turned = names.select(F.concat(F.substring("v", 4, 1000), F.substring("v", 1, 3)).alias("v"))
+    return S.suggestions(turned, names, "v").withColumn("likeness", F.round("likeness", 6))

@@ -190,19 +190,28 @@ class TableLog:
         The table `_keys_<first table>` holds one row for each key and gets its rows in the same entry, so a batch that broke off anywhere has added nothing, and one that
         runs again adds nothing. A batch that its stream has committed already isn't looked at."""
 
+        held, staged = f"_keys_{next(iter(frames))}", {}
+
+        def stage_all(base: Snapshot) -> dict[str, Table]:
+            known = self.read(held, base) if held in base.tables else None
+            parts, keys = {}, []
+            for name, df in frames.items():
+                parts[name] = self.stage(df.join(known, df[key] == known["key"], "left_anti") if known is not None else df, name)
+                keys.append(df.select(F.col(key).alias("key")).where("key is not null"))
+            every = reduce(lambda a, b: a.unionByName(b), keys).distinct()
+            parts[held] = self.stage(every.join(known, "key", "left_anti") if known is not None else every, held)
+            return parts
+
         def make(base: Snapshot) -> Snapshot:
             if stream and base.streams.get(stream, -1) >= batch >= 0:
                 return base
-            changed, held = base, f"_keys_{next(iter(frames))}"
-            known = self.read(held, base) if held in base.tables else None
-            keys = None
-            for name, df in frames.items():
-                fresh = df.join(known, df[key] == known["key"], "left_anti") if known is not None else df
-                changed = changed.with_part(name, self.stage(fresh, name))
-                own = df.select(F.col(key).alias("key")).where("key is not null")
-                keys = own if keys is None else keys.unionByName(own)
-            keys = keys.distinct()
-            changed = changed.with_part(held, self.stage(keys.join(known, "key", "left_anti") if known is not None else keys, held))
+            # what is staged stays good if another writer changed other tables only
+            seen = base.tables[held].parts if held in base.tables else ()
+            if seen not in staged:
+                staged[seen] = stage_all(base)
+            changed = base
+            for name, part in staged[seen].items():
+                changed = changed.with_part(name, part)
             return replace(changed, streams=changed.streams | ({stream: batch} if stream else {}))
 
         return self.change(make)
