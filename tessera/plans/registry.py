@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
-from tessera.operators import extract, flatten, graph, snapshot, validation
+from tessera.operators import digests, extract, flatten, graph, snapshot, validation
 from tessera.plans import analytics as A
 from tessera.schema import ClassSpec, Schema, Slot
 from tessera.session import shared_folder
 from tessera.sinks import tables as W
-from tessera.sinks.collections import publish
+from tessera.sinks.collections import publish, publish_all, run_tree
 from tessera.sinks.collections import publish_types as publish_by_type
 from tessera.sinks.tablelog import TableLog
 from tessera.sources import readers as R
@@ -1102,3 +1102,41 @@ def suggestions_by_blocks(spark, sf):
     names = t["nation"].select(F.col("n_name").alias("v")).union(t["customer"].select("c_mktsegment")).union(t["region"].select("r_name"))
     turned = names.select(F.concat(F.substring("v", 4, 1000), F.substring("v", 1, 3)).alias("v"))
     return S.suggestions(turned, names, "v").withColumn("likeness", F.round("likeness", 6))
+
+
+@registered("""SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 7 THEN 'removed' ELSE 'changed' END AS change FROM orders WHERE o_orderkey % 1000 IN (7, 8)
+UNION ALL SELECT -o_orderkey, 'added' FROM orders WHERE o_orderkey % 1000 = 9""")
+def changes_by_range(spark, sf):
+    """Rows in which two sealed ages of a table differ, of which only ranges with other digests are read."""
+    o, path, k = load(spark, sf, "orders"), _folder(spark), F.col("o_orderkey") % 1000
+    digests.seal(o, f"{path}/old", "o_orderkey", ranges=64)
+    kept = o.where(k != 7).withColumn("o_totalprice", F.when(k == 8, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    digests.seal(kept.unionByName(o.where(k == 9).withColumn("o_orderkey", -F.col("o_orderkey"))), f"{path}/new", "o_orderkey", ranges=64)
+    return digests.changes(spark, f"{path}/old", f"{path}/new", "o_orderkey")
+
+
+@registered("""SELECT 'night' AS run, NULL AS parent, 'success' AS status, (SELECT count(*) FROM orders) AS rows_read, (SELECT count(*) FROM orders) + (SELECT count(*) + count(*) FILTER (l_partkey % 10 <> 0) FROM lineitem) AS rows_written
+UNION ALL SELECT 'order_set', 'night', 'success', (SELECT count(*) FROM orders), (SELECT count(*) FROM orders) + (SELECT count(*) + count(*) FILTER (l_partkey % 10 <> 0) FROM lineitem)
+UNION ALL SELECT 'order_set/order_set', 'order_set', 'success', NULL, count(*) FROM orders UNION ALL SELECT 'order_set/order_set_lines', 'order_set', 'success', NULL, count(*) FROM lineitem
+UNION ALL SELECT 'order_set/order_set_parts', 'order_set', 'success', NULL, count(*) FROM lineitem WHERE l_partkey % 10 <> 0""")
+def run_records(spark, sf):
+    """A run over a database, its collections and their tables, from Spark's own counts."""
+    results = publish_all(TableLog(spark, _folder(spark)), {"order_set": nested_orders(spark, sf)}, ORDERS)
+    return run_tree(spark, "night", results).select("run", "parent", "status", "rows_read", "rows_written")
+
+
+@registered("""SELECT 'order_set' AS "table", unnest(['customer_balance', 'customer_key', 'customer_name', 'customer_nation_name', 'customer_segment', 'id', 'status', 'total']) AS name,
+unnest(['double', 'bigint', 'string', 'string', 'string', 'string', 'string', 'double']) AS kind, count(*) AS filled FROM orders GROUP BY 1, 2, 3
+UNION ALL SELECT 'order_set', 'parts', 'array<string>', count(DISTINCT l_orderkey) FROM lineitem WHERE l_partkey % 10 <> 0
+UNION ALL SELECT 'order_set_lines', 'part_id', 'string', 0
+UNION ALL SELECT 'order_set_lines', unnest(['flag', 'number', 'parent_id', 'part', 'price', 'quantity']), unnest(['string', 'bigint', 'string', 'string', 'double', 'double']), count(*) FROM lineitem GROUP BY 1, 2, 3
+UNION ALL SELECT 'order_set_lines', 'type', 'string', 0 UNION ALL SELECT 'order_set_parts', unnest(['parent_id', 'parts']), 'string', count(*) FROM lineitem WHERE l_partkey % 10 <> 0 GROUP BY 1, 2, 3""")
+def database_columns(spark, sf):
+    """The columns that the schema gives a whole database, with their types, and how many rows of the flattened tables have them."""
+    made = flatten.flatten_all({"order_set": flatten.parsed_once(nested_orders(spark, sf))}, ORDERS)
+    parts = []
+    for table, struct in ORDERS.database().items():
+        counts = made[table].agg(*[F.count(f"`{f.name}`").alias(f.name) for f in struct if f.name in made[table].columns])
+        kinds = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in struct], "name string, kind string")
+        parts.append(counts.unpivot([], list(counts.columns), "name", "filled").join(kinds, "name", "right").select(F.lit(table).alias("table"), "name", "kind", F.coalesce("filled", F.lit(0)).alias("filled")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
