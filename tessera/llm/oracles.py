@@ -97,12 +97,13 @@ def license_sql() -> str:
     phrases = [(p.split(), label) for p, label in licenses.PHRASES.items()]
     places = " || ".join(f"[i for i in range(1, len(w) - {len(p) - 2}) if w[i:i + {len(p) - 1}] = {p!r}]" for p, _ in phrases)
     base = ", ".join(f"CASE WHEN list_contains([w[i:i + {len(p) - 1}] for i in range(1, len(w) - {len(p) - 2})], {p!r}) THEN {_quoted(label)} END" for p, label in phrases)
-    templates = ", ".join(f"({i}, {_quoted(t.label)}, {sorted(set(t.text.split()))!r})" for i, t in enumerate(licenses.TEMPLATES))
+    templates = ", ".join(f"({i}, {_quoted(t.label)}, {sorted(set(t.text.split()))!r}, {sorted(set(t.told_by.split()))!r})" for i, t in enumerate(licenses.TEMPLATES))
+    half = licenses.WINDOW // 2
     return f"""WITH d AS MATERIALIZED (SELECT doc_id, text, {words.format("coalesce(text, '')")} AS w FROM documents),
 p AS (SELECT doc_id, len(w) AS n_words, {places} AS spots, list_filter([{base}], lambda x: x IS NOT NULL) AS base FROM d),
-t(i, label, need) AS (VALUES {templates}),
-b AS (SELECT DISTINCT doc_id, list_distinct({words.format("line")}) AS have FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
-m AS (SELECT doc_id, label, len(list_intersect(have, need)) / len(need) AS share FROM b, t WHERE len(list_intersect(have, need)) * 100 >= {licenses.THRESHOLD_PERCENT} * len(need)),
+t(i, label, need, told) AS (VALUES {templates}),
+b AS (SELECT DISTINCT doc_id, list_distinct(w[i * {half} + 1:i * {half} + {licenses.WINDOW}]) AS have FROM (SELECT doc_id, w, unnest(range((len(w) - 1) // {half} + 1)) AS i FROM d WHERE len(w) > 0)),
+m AS (SELECT doc_id, label, len(list_intersect(have, need)) / len(need) AS share FROM b, t WHERE len(list_intersect(have, need)) * 100 >= {licenses.THRESHOLD_PERCENT} * len(need) AND list_has_all(have, told)),
 f AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM m GROUP BY 1)
 SELECT p.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(spots) AS BIGINT) AS n_base, CAST(list_min(spots) - 1 AS BIGINT) AS first_word, CAST(list_max(spots) - 1 AS BIGINT) AS last_word, array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
 array_to_string(list_sort(list_distinct(base || coalesce(labels, []))), ',') AS labels, CASE WHEN len(spots) > 0 THEN 1.0 ELSE coalesce(share, 0.0) END AS score FROM p LEFT JOIN f USING (doc_id)"""

@@ -245,6 +245,49 @@ def test_licenses(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_licenses_across_lines_and_told_apart(spark):
+    """Wrapped texts, lines that share most words with another license's, words strewn over a long text, and blocks at any place."""
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated\ndocumentation files (the Software)"
+    rows = [
+        ("wrapped", grant, ["mit"]),
+        ("gpl line", "Licensed under the GNU General Public License, version 3.", ["gpl"]),
+        ("nc", "Licensed under CC BY-NC 4.0.", ["cc-by-nc"]),
+        ("sa", "licensed under cc by-sa 4.0", ["cc-by-sa"]),
+        ("apache", "released under the Apache License", []),
+        ("strewn", "x".join(f" {w} " + "word " * 60 for w in "copyright all rights reserved".split()), []),
+        ("german", "mit der GNU General Public License, licensed under version 3", ["gpl"]),
+        *((f"at {n}", "w " * n + grant + " v" * 70, ["mit"]) for n in (0, 1, 31, 32, 33, 47, 63, 64, 100, 4000)),
+    ]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id string, text string").repartition(3)
+    assert {r["doc_id"]: r["labels_list"] for r in licenses.scan(df).collect()} == {r[0]: r[2] for r in rows}
+
+
+def brute_licenses(text):
+    words = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
+    labels = set()
+    for i in range(0, len(words), licenses.WINDOW // 2):
+        have = set(words[i : i + licenses.WINDOW])
+        labels |= {t.label for t in licenses.TEMPLATES if 100 * len(have & set(t.text.split())) >= licenses.THRESHOLD_PERCENT * len(set(t.text.split())) and set(t.told_by.split()) <= have}
+    return labels
+
+
+def test_licenses_against_brute_force(spark):
+    random = np.random.default_rng(2)
+    pool = [t.text.split() for t in licenses.TEMPLATES]
+    texts = []
+    for _ in range(150):
+        words = []
+        for _ in range(random.integers(1, 5)):
+            part = list(pool[random.integers(0, len(pool))])
+            keep = random.random(len(part)) < 0.92
+            words += [w for w, k in zip(part, keep, strict=True) if k] + ["filler"] * int(random.integers(0, 40))
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: set(r["labels_list"]) - set(r["base_list"]) for r in licenses.scan(df).collect()}
+    base = {r["doc_id"]: set(r["base_list"]) for r in licenses.scan(df).collect()}
+    assert got == {i: brute_licenses(t) - base[i] for i, t in enumerate(texts)} and sum(map(len, got.values())) > 50
+
+
 def test_quality(spark, docs, empty):
     texts = [prose(i, 60) if i % 2 else "BUY!! " * 40 + str(i) for i in range(200)]
     model = quality.train(texts, [i % 2 for i in range(200)])
