@@ -10,7 +10,7 @@ inside texts and roles are escaped with a backslash after their first character
 line ends in roles as well, so that reading back restores them. The loss mask is a list of spans (start, length in code
 points) over the formatted text, one for the text of each assistant turn.
 
-Null roles and texts are empty. Turns with equal numbers are in order of role and text, null first; repeated rows stay
+Null roles and texts are empty. Long texts are formatted whole. Turns with equal numbers are in order of role and text, null first; repeated rows stay
 repeated turns. A conversation's turns are one value, its formatted text, and so meet in one row; all else is spread. Empty
 tables give no conversations but those added. Extra columns don't matter, as the named ones are selected.
 """
@@ -42,7 +42,8 @@ FORMATTED = "struct<formatted:string,loss:array<struct<start:int,length:int>>>"
 @dataclass(frozen=True)
 class Layout:
     """One layout: `turns` is the path of a list of turns whose fields `role` and `text` name, or `fixed` gives
-    (path, role) pairs for texts of a flat record. `roles` translates role names."""
+    (path, role) pairs for texts of a flat record. `roles` translates role names. open: the list may be empty, its texts may be null or lists of parts
+    with a `text` each (put together; parts without one add nothing), and a `system` text of the record comes first."""
 
     name: str
     turns: str = ""
@@ -51,11 +52,22 @@ class Layout:
     fixed: tuple[tuple[str, str], ...] = ()
     optional: tuple[str, ...] = ()
     roles: dict[str, str] = field(default_factory=dict, hash=False)
+    open: bool = False
+
+    def parts(self) -> list[str]:
+        return [f"{self.turns}[].{self.text}[]", f"{self.turns}[].{self.text}[].text"] if self.open else []
 
     def paths(self) -> list[str]:
         return [p for p, _ in self.fixed] if self.fixed else [f"{self.turns}[]", f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"]
 
     def signatures(self):
+        if self.open:
+            turns, role, text = self.paths()
+            texts = ([], [text], self.parts(), [text, *self.parts()])
+            for own in ([turns], *([turns, role, *t] for t in texts)):
+                yield sorted(own)
+                yield sorted([*own, "system"])
+            return
         needed = [p for p in self.paths() if p not in self.optional]
         for n in range(len(self.optional) + 1):
             for some in combinations(self.optional, n):
@@ -65,9 +77,9 @@ class Layout:
 NAMES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 LAYOUTS = (
     Layout("rows", "rows", "role", "text", optional=("rows[].role", "rows[].text", "rows[].turn")),
-    Layout("messages", "messages", "role", "content", roles=NAMES),
-    Layout("conversations", "conversations", "from", "value", roles=NAMES),
-    Layout("dialog", "dialog", "speaker", "utterance", roles=NAMES),
+    Layout("messages", "messages", "role", "content", roles=NAMES, open=True),
+    Layout("conversations", "conversations", "from", "value", roles=NAMES, open=True),
+    Layout("dialog", "dialog", "speaker", "utterance", roles=NAMES, open=True),
     Layout("instruction", fixed=(("system", "system"), ("instruction", "user"), ("input", "user"), ("output", "assistant")), optional=("system", "input")),
     Layout("prompt_completion", fixed=(("system", "system"), ("prompt", "user"), ("completion", "assistant")), optional=("system",)),
     Layout("prompt_response", fixed=(("system", "system"), ("prompt", "user"), ("response", "assistant")), optional=("system",)),
@@ -94,7 +106,7 @@ def registry(layouts: tuple[Layout, ...]) -> tuple[frozenset, dict[str, Layout]]
     for layout in layouts:
         for signature in layout.signatures():
             known.setdefault(fingerprint(signature), layout)
-    return frozenset(p for x in layouts for p in (*x.paths(), *x.optional)), known
+    return frozenset(p for x in layouts for p in (*x.paths(), *x.optional, *x.parts())), known
 
 
 def canonical(record: str | None, layouts: tuple[Layout, ...] = LAYOUTS) -> tuple[str | None, str | None, list[dict]]:
@@ -113,10 +125,19 @@ def canonical(record: str | None, layouts: tuple[Layout, ...] = LAYOUTS) -> tupl
         pairs = [(role, value.get(path)) for path, role in layout.fixed if value.get(path) is not None]
     else:
         pairs = [(x.get(layout.role), x.get(layout.text)) for x in value.get(layout.turns) or [] if isinstance(x, dict)]
+        if layout.open:
+            said = [("system", value["system"])] if value.get("system") is not None else []
+            pairs = said + [(r, _joined(t) if isinstance(t, list) else t) for r, t in pairs]
     word = lambda x: "" if x is None else x if isinstance(x, str) else json.dumps(x, ensure_ascii=False)
     return found, layout.name, [{"role": layout.roles.get(word(r), word(r)), "text": word(t)} for r, t in pairs]
 
 
+def _joined(parts: list) -> str:
+    """The texts of a list of parts, put together."""
+    texts = [p.get("text") if isinstance(p, dict) else p for p in parts]
+    return "".join(t for t in texts if isinstance(t, str))
+
+
 def escape(text: str) -> str:
     return _ESCAPE.sub(lambda m: m[0] + "\\", text)
 

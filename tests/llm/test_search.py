@@ -209,3 +209,20 @@ def test_distrust_converges_along_a_chain(spark):
     for i in range(21):
         assert got[i]["distrust"] == pytest.approx(0.15 * 0.85**i * urls.UNITS, abs=1e-3 * 0.05 * urls.UNITS)
     assert [i for i in range(21) if got[i]["verdict"] == "block"] == list(range(7))
+
+
+@pytest.mark.parametrize(
+    ("record", "turns"),
+    [
+        ('{"system": "s", "messages": [{"role": "user", "content": "q"}]}', [("system", "s"), ("user", "q")]),
+        ('{"system": "s", "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}', [("system", "s"), ("user", "q"), ("assistant", "a")]),
+        ('{"messages": [{"role": "user", "content": [{"type": "text", "text": "q"}, {"type": "image", "url": "u"}, {"type": "text", "text": "r"}]}, {"role": "assistant", "content": "a"}]}', [("user", "qr"), ("assistant", "a")]),
+        ('{"messages": [{"role": "user", "content": [{"text": "q"}]}]}', [("user", "q")]),
+        ('{"messages": [{"role": "user", "content": null}]}', [("user", "")]),
+        ('{"messages": []}', []),
+        ('{"system": "s", "dialog": []}', [("system", "s")]),
+    ],
+)
+def test_layouts_that_are_open(record, turns):
+    _, name, found = chat.canonical(record)
+    assert name and [(t["role"], t["text"]) for t in found] == turns
