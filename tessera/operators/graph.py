@@ -23,6 +23,10 @@ def edges(parts: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), each).where(F.col("src").isNotNull() & F.col("next_id").isNotNull())
 
 
+#: Edges of a bucket; fewer buckets than shuffle partitions only make sense for few edges.
+BUCKET = 100_000
+
+
 @dataclass(frozen=True)
 class Reach:
     """What origins reach. packed: id, block, bits, hops, terminal, each (origin, id) in one row; names: block, origins (in the order of their bits)."""
@@ -69,9 +73,9 @@ def reach(links: DataFrame, seeds: DataFrame, is_terminal: Column, max_depth: in
     """What each seed (origin) reaches, at the smallest number of hops.
 
     is_terminal: a condition on `id`; the walk doesn't go past such nodes. Cycles end, as a node counts once for an origin. An origin itself isn't reached, unless a cycle
-    leads back to it. buckets: of the edges and of what was reached; the session's shuffle partitions by default."""
+    leads back to it. buckets: of the edges and of what was reached; by default one for each BUCKET edges, and the session's shuffle partitions at most."""
     spark = links.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), links.count() // BUCKET + 1)
     run, folder = f"walk_{uuid.uuid4().hex}", f"{shared_folder(spark)}/tables"
     known = seeds.select(F.col("origin").cast("string").alias("origin")).where("origin is not null").distinct().orderBy("origin").withColumn("number", F.monotonically_increasing_id())
     # written, as the numbers must stay; origins of one order stand in one block, as they often reach the same
