@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +31,35 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Folder under the shared one that takes the tables written now.
+_TABLES: ContextVar[str] = ContextVar("tables", default="tables")
+
+
 def written(df: DataFrame) -> DataFrame:
     """df, written to the shared folder as Parquet and read again: cuts lineage, survives lost executors, and is made once."""
-    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{_TABLES.get()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A block whose written tables go when it ends, also by an error. It gives a function that writes a table to stay: what
+    is used after the block must come from such tables alone."""
+    outer = _TABLES.get()
+    mine = f"{outer}/scratch-{uuid.uuid4().hex}"
+
+    def kept(df: DataFrame) -> DataFrame:
+        inner = _TABLES.set(outer)
+        try:
+            return written(df)
+        finally:
+            _TABLES.reset(inner)
+
+    before = _TABLES.set(mine)
+    try:
+        yield kept
+    finally:
+        _TABLES.reset(before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{mine}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
