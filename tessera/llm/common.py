@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import written  # noqa: F401  the operators take it from here
+from tessera.session import scratch, written  # noqa: F401  the operators take them from here
 
 #: What separates words in the operators that count or shingle words: space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"

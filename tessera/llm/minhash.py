@@ -10,8 +10,11 @@
    and only members of different components go on. A list of at most FEW members gives its remaining pairs: a bounded number for each member.
 4. Members of larger lists (a passage, a group of near copies) enter finer lists, of all their shingles, rarest among them first:
    a set that is at least `percent` similar to another meets it in the first n - ceil(n * percent / 100) + 1, with no doubt left, and the places of a shared
-   shingle in both bound what they share. What copies have of their own thus keeps them out of the lists of what all have. There too members
-   meet hubs first, in TURNS turns with other hubs, and each other only if they are still in different components.
+   shingle in both bound what they share. What copies have of their own thus keeps them out of the lists of what all have. Lists are parted by
+   size, and an entry goes at once if what it has from its place on can't suffice for the smallest set of its list. What is left meets hubs first, in TURNS turns with
+   other hubs; then each other, if still in different components. Before that, a list with far more pairs than its members have places for the next shared
+   shingle is parted by that shingle, which both of a pair must have soon after the first, and so on, up to DEPTH shingles: texts that only share much
+   without being similar are told apart by rows that grow with them, not with their pairs.
 5. Components of verified links, joined up after each step: only links between components are kept.
 
 Losslessness: with n shingles in the smaller set, at most n/4 of the union are outside the intersection, so for sets that the
@@ -19,19 +22,21 @@ sketches hold whole, or up to n/4 < k, the bound c(n) is certain. Beyond, the nu
 smallest is binomial with mean 0.8 k or more; for k = 96 it is under 52 with a probability below 1e-8, and so is the estimate.
 
 Nulls: a null text is empty; a document without words has 0 shingles and is linked with nothing. A null doc_id stays null
-and is no component's id unless all are null. Repeated rows and ids are members of one class or another like any document.
-Empty tables give empty results. Extra columns don't matter, as only id and text are read.
+and is no component's id unless all are null. Repeated rows and ids are members of one class or another like any document; ties between shingles
+of one frequency go by their hashes. Long texts are hashed whole, in parts that end at blanks; a set is one row. Empty tables give empty
+results. Extra columns don't matter, as only id and text are read. Tables of the steps between are deleted when the classes are known.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table, tidy, written
+from tessera.llm.common import scratch, table, tidy, written
 from tessera.llm.components import merged
 from tessera.llm.shingles import digest, shingle_set, word_hashes
 
@@ -43,6 +48,10 @@ PERCENT = 80
 FEW = 32
 #: Hubs that members of larger lists meet before they meet each other.
 TURNS = 3
+#: A list is parted if its members have, together, so many times fewer places for a next shared shingle than its members' square.
+GAIN = 8
+#: Most shingles that one list is for.
+DEPTH = 4
 
 
 def sketches(documents: DataFrame, width: int, k: int = K) -> DataFrame:
@@ -96,13 +105,13 @@ def shared_at_least(n: Column, percent: int, k: int, least: int) -> Column:
 
 
 def _entries(ranked: DataFrame) -> DataFrame:
-    """value, cid, n, own, left, least, whole from cid, n, held (values), least, ranked (values that others have too, rarest first): an entry for
-    each of the first held - least + 1 values, counting those that nobody else has first. left: values from this one on."""
+    """value, cid, n, own, at, left, least, whole from cid, n, held (values), least, ranked (values that others have too, rarest first): an entry for
+    each of the first held - least + 1 values, counting those that nobody else has first. at: the value's place in ranked; left: values from this one on."""
     alone = F.col("held") - F.size("ranked")
     take = F.greatest(F.lit(0), F.col("held") - F.col("least") + 1 - alone)
     placed = ranked.select("cid", "n", "held", "least", alone.alias("alone"), F.posexplode(F.slice("ranked", F.lit(1), take.cast("int"))).alias("at", "r"))
     left = F.col("held") - F.col("alone") - F.col("at")
-    return placed.select(F.col("r.value").alias("value"), "cid", "n", (F.col("alone") / F.col("held")).alias("own"), left.alias("left"), "least", (F.col("held") == F.col("n")).alias("whole"))
+    return placed.select(F.col("r.value").alias("value"), "cid", "n", (F.col("alone") / F.col("held")).alias("own"), "at", left.alias("left"), "least", (F.col("held") == F.col("n")).alias("whole"))
 
 
 def _ranked(held: DataFrame) -> DataFrame:
@@ -115,14 +124,55 @@ def inverted_lists(classes: DataFrame, percent: int = PERCENT, k: int = K, least
     """value, cid, n, own (share of retained values that no other class has), left, least, whole: each class in the lists of its rarest
     retained values."""
     c = shared_at_least(F.col("n"), percent, k, least)
-    return _entries(_ranked(classes.select("cid", "n", F.size("sketch").alias("held"), c.alias("least"), F.explode("sketch").alias("value"))))
+    return _entries(_ranked(classes.select("cid", "n", F.size("sketch").alias("held"), c.alias("least"), F.explode("sketch").alias("value")))).drop("at")
 
 
-def fine_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The same for full sets (cid, shingles): lists of the rarest shingles, certain to bring similar sets together."""
+def _ranked_sets(sets: DataFrame, percent: int) -> DataFrame:
     n = F.size("shingles").cast("long")
     least = F.ceil(n * percent / 100).cast("int")
-    return _entries(_ranked(sets.select("cid", n.alias("n"), F.size("shingles").alias("held"), least.alias("least"), F.explode("shingles").alias("value"))))
+    return _ranked(sets.select("cid", n.alias("n"), F.size("shingles").alias("held"), least.alias("least"), F.explode("shingles").alias("value")))
+
+
+def fine_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The same for full sets (cid, shingles): lists of the rarest shingles, certain to bring similar sets together. A list is for a shingle and a
+    band of sizes; core: sets of that band's sizes, where the others
+    are of the next. Similar sets are of one band or of two neighbours, and meet in the list of the lower."""
+    entries = _entries(_ranked_sets(sets, percent))
+    # a little wider than the largest ratio of similar sizes, so that rounding can't part them by two
+    ratio = max(math.log(100 / percent), 0.001) * (1 + 1e-9)
+    band = F.floor(F.log("n") / ratio)
+    each = entries.withColumn("core", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("band", F.when(F.col("core"), band).otherwise(band - 1))
+    return each.withColumn("value", F.xxhash64("value", "band")).drop("band")
+
+
+def narrowed(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Fine lists with label, need (what an entry must share with any set of its list), members, fewest (least need of the list) and places (for a next
+    shared shingle, of all members): without entries that have too little from their place on, and lists of which all have one label."""
+    smallest = lists.groupBy("value").agg(F.min("n").alias("smallest"))
+    nearest = F.greatest("smallest", F.ceil(F.col("n") * percent / 100))
+    need = F.ceil((F.col("n") + nearest) * percent / (100 + percent)).cast("int")
+    enough = lists.drop("label", "need", "members", "fewest", "places").join(smallest, "value").withColumn("need", need).drop("smallest").where("left >= need")
+    tagged = enough.join(labels, F.col("cid") == F.col("node")).drop("node")
+    kept = tagged.groupBy("value").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.max("core").alias("cored"), F.count("*").alias("members"), F.min("need").alias("fewest"), F.sum(F.col("left") - F.col("need") + 1).alias("places")
+    )
+    return tagged.join(kept.where("low < high and cored").select("value", "members", "fewest", "places"), "value")
+
+
+def extended(lists: DataFrame, ranked: DataFrame, depth: int) -> DataFrame:
+    """Lists for `depth` + 1 shingles from lists (parent; square: its pairs) for `depth`: an entry for each of the next left - need + 1
+    shingles, as the next one that a similar set shares is among them. left counts the shingles shared so far, too."""
+    after = F.slice("ranked", F.col("at") + 2, F.col("left") - F.col("need") + 1)
+    each = lists.join(ranked.select("cid", "ranked"), "cid").select(*lists.columns, F.posexplode(after).alias("skipped", "next"))
+    changed = {"value": F.xxhash64("value", "next.value", F.lit(depth)), "at": F.col("at") + 1 + F.col("skipped"), "left": F.col("left") - F.col("skipped")}
+    own = [changed.get(c, F.col(c)).alias(c) for c in lists.columns if c not in ("parent", "square")]
+    return each.select(*own, F.col("value").alias("parent"), (F.col("members") * F.col("members")).alias("square"))
+
+
+def no_better(lists: DataFrame) -> DataFrame:
+    """parent of extended lists that have together no fewer than half as many pairs as it has itself."""
+    each = lists.groupBy("value").agg(F.first("parent").alias("parent"), F.first("square").alias("square"), (F.count("*") * F.count("*")).alias("pairs"))
+    return each.groupBy("parent").agg(F.sum("pairs").alias("pairs"), F.max("square").alias("square")).where("pairs * 2 >= square").select("parent")
 
 
 def _may_link(percent: int) -> Column:
@@ -149,11 +199,12 @@ def stars(lists: DataFrame, percent: int, turn: int = 0) -> DataFrame:
     return _pairs(met.where((F.col("l.label") != F.col("r.label")) & _may_link(percent)))
 
 
-def all_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of members of a list whose labels differ."""
-    entry = F.struct("cid", "n", "left", "least", "whole", "label")
-    met = lists.select("value", entry.alias("l")).join(lists.select("value", entry.alias("r")), "value")
-    return _pairs(met.where((F.col("l.cid") < F.col("r.cid")) & (F.col("l.label") != F.col("r.label")) & _may_link(percent)))
+def all_pairs(lists: DataFrame, percent: int, core: Column | None = None) -> DataFrame:
+    """a, b: pairs of members of a list whose labels differ, at least one of them `core`."""
+    entry = F.struct("cid", "n", "left", "least", "whole", "label", (F.lit(True) if core is None else core).alias("core"))
+    met = lists.where(F.lit(True) if core is None else core).select("value", entry.alias("l")).join(lists.select("value", entry.alias("r")), "value")
+    once = ~F.col("r.core") | (F.col("l.cid") < F.col("r.cid"))
+    return _pairs(met.where(once & (F.col("l.label") != F.col("r.label")) & _may_link(percent)))
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -190,25 +241,49 @@ def linked_classes(documents: DataFrame, classes: DataFrame, width: int, percent
     crowd = written(still.where(F.col("members") > FEW).select("cid").distinct())
     sets = sets_of(documents, classes, pairs.unionByName(crowd.select(F.col("cid").alias("a"), F.col("cid").alias("b"))), width)
     labels = merged(labels, measured(pairs, sets, percent))
-    fine = written(fine_lists(sets.join(crowd, "cid", "left_semi"), percent))
+    crowded = sets.join(crowd, "cid", "left_semi")
+    fine = written(narrowed(fine_lists(crowded, percent), labels, percent))
+    if fine.isEmpty():
+        return labels
     for turn in range(TURNS):
-        pairs = likely(stars(open_lists(fine, labels), percent, turn))
+        pairs = likely(stars(open_lists(fine.drop("label", "members"), labels), percent, turn))
         labels = merged(labels, measured(pairs, sets, percent))
-    pairs = likely(all_pairs(open_lists(fine, labels), percent))
-    return merged(labels, measured(pairs, sets, percent))
+    return last_links(fine, labels, crowded, sets, likely, percent)
+
+
+def last_links(fine: DataFrame, labels: DataFrame, crowded: DataFrame, sets: DataFrame, likely: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """labels after all links that fine lists hold, those of large lists by more shingles than one where that leaves fewer pairs."""
+    met = lambda lists: measured(likely(all_pairs(lists, percent, F.col("core"))), sets, percent)
+    fine = written(narrowed(fine, labels, percent))
+    ranked = None
+    for depth in range(1, DEPTH + 1):
+        hot = (F.col("members") > FEW) & (F.col("fewest") > depth) & (F.col("places") * GAIN < F.col("members") * F.col("members")) & F.lit(depth < DEPTH)
+        labels = merged(labels, met(fine.where(~hot)))
+        large = fine.where(hot)
+        if depth == DEPTH or large.isEmpty():
+            break
+        ranked = ranked or written(_ranked_sets(crowded, percent))
+        parted = written(narrowed(extended(large, ranked, depth), labels, percent))
+        worse = written(no_better(parted))
+        labels = merged(labels, met(large.join(worse.withColumnRenamed("parent", "value"), "value", "left_semi")))
+        parted = parted.join(worse, "parent", "left_anti").drop("label", "need", "members", "fewest", "places")
+        labels = merged(labels, measured(likely(stars(open_lists(parted, labels), percent)), sets, percent))
+        fine = written(narrowed(parted, labels, percent))
+    return labels
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = PERCENT, k: int = K, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of documents (doc_id, text)."""
     tidy(documents.sparkSession)
     rows = written(sketches(documents, width, k))
-    named = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
-    # ids are read from the written table, so that every later use sees the same
-    classes = written(named.withColumn("cid", F.monotonically_increasing_id()))
-    labels = linked_classes(documents, classes, width, percent, k, least)
-    grouped = classes.join(labels, F.col("cid") == F.col("node")).select("h1", "h2", "n", "rep", "label")
-    lowest = grouped.groupBy("label").agg(F.min("rep").alias("component"))
-    of_class = grouped.join(lowest, "label").select("h1", "h2", "n", "component")
+    with scratch(documents.sparkSession) as kept:
+        named = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
+        # ids are read from the written table, so that every later use sees the same
+        classes = written(named.withColumn("cid", F.monotonically_increasing_id()))
+        labels = linked_classes(documents, classes, width, percent, k, least)
+        grouped = classes.join(labels, F.col("cid") == F.col("node")).select("h1", "h2", "n", "rep", "label")
+        lowest = grouped.groupBy("label").agg(F.min("rep").alias("component"))
+        of_class = kept(grouped.join(lowest, "label").select("h1", "h2", "n", "component"))
     whole = rows.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2", "n"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

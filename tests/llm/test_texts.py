@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tessera import session
 from tessera.llm import bpe, licenses, minhash, mixing, quality, shingles, suffixes
 from tests.llm.fixtures import TEXT, documents, prose
 
@@ -161,6 +162,51 @@ def test_groups_around_a_base(spark):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 
+def components_of(sets):
+    group = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    return [group.index(g) for g in group]
+
+
+@pytest.mark.parametrize("always", [False, True])
+def test_lists_of_several_shingles_keep_links(spark, always, monkeypatch):
+    """Texts of 40 of 48 parts, of two sizes: every list is large, few pairs are linked. Lists are parted wherever the sizes allow it, or where it pays."""
+    monkeypatch.setattr(minhash, "FEW", 2)
+    if always:
+        monkeypatch.setattr(minhash, "TURNS", 0)
+        monkeypatch.setattr(minhash, "GAIN", 0)
+        monkeypatch.setattr(minhash, "no_better", lambda lists: lists.select("parent").limit(0))
+    random = np.random.default_rng(4)
+    picks = [sorted(random.choice(48, 40 - i % 4, replace=False)) for i in range(60)]
+    rows = [(i, " ".join(f"a{j} b{j} |" for j in pick)) for i, pick in enumerate(picks)]
+    want = components_of(list(shingle_sets(rows, 2)))
+    assert 5 < len(set(want)) < 60
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == dict(enumerate(want))
+
+
+def test_texts_that_only_share_much_leave_no_list(spark):
+    """88 of 100 shingles in common, 12 of each text's own: no two are similar, and no entry is left to be compared."""
+    common = " ".join(f"w{i}" for i in range(89))
+    rows = [(i, f"{common} " + " ".join(f"u{i}_{j}" for j in range(12))) for i in range(50)]
+    sets = spark.createDataFrame([(i, [hash(x) for x in s]) for (i, _), s in zip(rows, shingle_sets(rows, 2), strict=True)], "cid long, shingles array<long>")
+    fine = minhash.fine_lists(sets)
+    labels = sets.select(F.col("cid").alias("node"), F.col("cid").alias("label"))
+    assert fine.count() > 0 and minhash.narrowed(fine, labels, 80).isEmpty()
+
+
+def test_steps_between_leave_no_tables(spark, docs):
+    import pathlib
+
+    folder = pathlib.Path(session.shared_folder(spark)) / "tables"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    got = minhash.near_duplicates(docs, width=2)
+    assert got.count() == len(documents()) and len(set(folder.iterdir()) - before) == 2
+
+
 def test_partitions_of_only_null_and_empty_texts(spark):
     docs = spark.createDataFrame([(1, None, "en", "s", 0), (2, "", "en", "s", 0), (3, "", "en", "s", 0), (4, None, "en", "s", 0)], TEXT).coalesce(1)
     got = minhash.near_duplicates(docs, width=2).collect()
