@@ -226,3 +226,22 @@ def test_distrust_converges_along_a_chain(spark):
 def test_layouts_that_are_open(record, turns):
     _, name, found = chat.canonical(record)
     assert name and [(t["role"], t["text"]) for t in found] == turns
+
+
+@pytest.mark.parametrize("kind", ["clusters", "wide", "shifted"])
+def test_approximate_search_where_codes_say_little(spark, kind):
+    """Tight groups of more rows than are reranked, many dimensions, and vectors that are alike but for a little."""
+    r = np.random.default_rng(9)
+    if kind == "clusters":
+        x = np.repeat(r.normal(size=(4, 32)), 750, axis=0) + r.normal(size=(3000, 32)) * 0.002
+    elif kind == "wide":
+        x = r.normal(size=(3000, 256))
+    else:
+        x = r.normal(size=(3000, 32)) * np.exp(r.normal(size=(3000, 1))) + 40
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = quantised.nearest(clean_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), False), 100, 20, sample=1000).collect()
+    found = {}
+    for g in got:
+        found.setdefault(g["query_id"], set()).add(g["vec_id"])
+    want = {q: {c for c, _ in near} for q, near in brute([(i, v, 0) for i, v in rows], 100, 20, False, False).items()}
+    assert sum(len(found[q] & want[q]) for q in want) / (20 * len(want)) >= 0.99
