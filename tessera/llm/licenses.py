@@ -1,12 +1,13 @@
 """Licence scans: places of fixed phrases, and an exact set-similarity join of text blocks with templates.
 
-The join finds every block that holds at least `threshold` of a template's distinct words, those that tell it from other templates among them.
+The join finds every block that holds at least `threshold` of a template's distinct words, and says whether those that tell it from other templates
+are among them. Only pairs with these give a label and a score; labels of the others are in alike_list.
 Blocks are windows of WINDOW words over the whole text, across line ends, one beginning every WINDOW / 2 words, so any stretch of WINDOW / 2 + 1 words lies in one.
 Tokens are put in one global order, rarest in the corpus first; a template's prefix under that order is so long
 that a block without any of its tokens cannot reach the threshold; blocks with too few tokens are dropped (length
 filter), and so are pairs whose tokens after the matching place cannot make up the overlap that is needed
 (positional filter); what remains is verified on the full sets. Only words of templates can add to an overlap, so only
-these are kept and counted. A text without the longest telling word of any template isn't cut into blocks.
+these are kept and counted. A text without enough words of any template isn't cut into blocks.
 
 DataFrame functions only. The template index has one row for each template and prefix token, so it is bounded by
 the templates, a parameter, and is broadcast.
@@ -101,10 +102,24 @@ def vocabulary(templates: tuple[Template, ...]) -> list[str]:
     return sorted({w for t in templates for w in t.text.lower().split()})
 
 
-def may_hold(text: Column, templates: tuple[Template, ...]) -> Column:
-    """Whether a text has, for some template, the longest of the words that tell it; no other text can hold a template."""
+def needed(template: Template, percent: int) -> int:
+    """Least number of a template's words that a block at the threshold has."""
+    return -(-len(set(template.text.lower().split())) * percent // 100)
+
+
+def may_hold(text: Column, templates: tuple[Template, ...], percent: int) -> Column:
+    """Whether a text has, for some template, as many of its words as the threshold asks for; no other text can hold a block at the threshold. As
+    most of the words are needed, one of the longest few is; they are looked for first."""
     low = F.lower(text)
-    return reduce(lambda a, b: a | b, [low.contains(w) for w in sorted({max(t.told_by.lower().split(), key=len) for t in templates})])
+    each, first = [], set()
+    for t in templates:
+        words, need = sorted(set(t.text.lower().split()), key=lambda w: (-len(w), w)), needed(t, percent)
+        has = [low.contains(w) for w in words]
+        first |= set(words[: len(words) - need + 1])
+        each.append(reduce(lambda a, b: a | b, has[: len(words) - need + 1]) & (reduce(lambda a, b: a + b, [h.cast("int") for h in has]) >= need))
+    # most texts have none of these, each looked for once
+    few = sorted(w for w in first if not any(x in w for x in first - {w}))
+    return reduce(lambda a, b: a | b, [low.contains(w) for w in few]) & reduce(lambda a, b: a | b, each)
 
 
 def blocks(documents: DataFrame, key: str, words: list[str], window: int = WINDOW) -> DataFrame:
@@ -136,10 +151,11 @@ def template_index(blocks_of: DataFrame, templates: tuple[Template, ...], percen
 
 
 def similar_blocks(documents: DataFrame, key: str, templates: tuple[Template, ...] = TEMPLATES, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """key, lic_label, lic_overlap, lic_whole: every (block, template) with at least `percent` of the template's words, and all that tell it from others."""
-    found = written(blocks(documents.where(may_hold(F.col("text"), templates)), key, vocabulary(templates)))
+    """key, lic_label, lic_overlap, lic_whole, lic_tells (whether all words that tell it from others are there): every (block, template) with at
+    least `percent` of the template's words."""
+    found = written(blocks(documents.where(may_hold(F.col("text"), templates, percent)), key, vocabulary(templates)))
     index = template_index(found, templates, percent)
-    least = min(-(-len(set(t.text.lower().split())) * percent // 100) for t in templates)
+    least = min(needed(t, percent) for t in templates)
     probes = found.where(F.size("lic_tokens") >= least).select("*", F.explode("lic_tokens").alias("lic_token"))
     whole, rank, need = F.size("lic_ordered"), F.col("lic_rank"), F.col("lic_need")
     long_enough = F.size("lic_tokens") >= need
@@ -148,16 +164,22 @@ def similar_blocks(documents: DataFrame, key: str, templates: tuple[Template, ..
     first = ~F.arrays_overlap("lic_tokens", F.slice("lic_ordered", F.lit(1), rank))
     # the index has no more rows than templates have words
     told = F.size(F.array_except("lic_told", "lic_tokens")) == 0
-    pairs = probes.join(F.broadcast(index), "lic_token").where(long_enough & in_place & first & told)
-    return pairs.select(key, "lic_label", F.size(F.array_intersect("lic_tokens", "lic_ordered")).alias("lic_overlap"), whole.alias("lic_whole"), need.alias("lic_need")).where("lic_overlap >= lic_need").drop("lic_need")
+    pairs = probes.join(F.broadcast(index), "lic_token").where(long_enough & in_place & first)
+    return pairs.select(key, "lic_label", told.alias("lic_tells"), F.size(F.array_intersect("lic_tokens", "lic_ordered")).alias("lic_overlap"), whole.alias("lic_whole"), need.alias("lic_need")).where("lic_overlap >= lic_need").drop("lic_need")
 
 
-def scan(documents: DataFrame, templates: tuple[Template, ...] = TEMPLATES, percent: int = THRESHOLD_PERCENT, phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """documents with the columns of phrase_places, labels_list and score (1 with a phrase, else the largest share of a template)."""
+def scan(documents: DataFrame, templates: tuple[Template, ...] = TEMPLATES, percent: int = THRESHOLD_PERCENT, phrases: dict[str, str] = PHRASES, alike: bool = False) -> DataFrame:
+    """documents with the columns of phrase_places, labels_list, score (1 with a phrase, else the largest share of a template) and,
+    if asked for by `alike`, alike_list: labels of templates of which a block has enough words, but not all that tell them from others."""
     text = F.col("row.text")
     packed = documents.select(F.struct("*").alias("row"))
     keyed = packed.select("row", text.alias("text"), F.struct(F.length(text).alias("n"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), F.xxhash64(F.lit("lic"), F.coalesce(text, F.lit(""))).alias("g")).alias("lic_key"))
-    found = similar_blocks(keyed, "lic_key", templates, percent).groupBy(F.col("lic_key").alias("lic_found")).agg(F.collect_set("lic_label").alias("lic_labels"), F.max(F.col("lic_overlap") / F.col("lic_whole")).alias("lic_score"))
+    tells = F.col("lic_tells")
+    found = (
+        similar_blocks(keyed, "lic_key", templates, percent)
+        .groupBy(F.col("lic_key").alias("lic_found"))
+        .agg(F.collect_set(F.when(tells, F.col("lic_label"))).alias("lic_labels"), F.collect_set("lic_label").alias("lic_alike"), F.max(F.when(tells, F.col("lic_overlap") / F.col("lic_whole"))).alias("lic_score"))
+    )
     placed = phrase_places(keyed, phrases).join(found, F.col("lic_key").eqNullSafe(F.col("lic_found")), "left")
     empty = F.array().cast("array<string>")
     results = {
@@ -165,6 +187,8 @@ def scan(documents: DataFrame, templates: tuple[Template, ...] = TEMPLATES, perc
         "labels_list": F.array_sort(F.array_union("base_list", F.coalesce("lic_labels", empty))),
         "score": F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("lic_score", F.lit(0.0))),
     }
+    if alike:
+        results["alike_list"] = F.array_sort(F.array_except(F.coalesce("lic_alike", empty), results["labels_list"]))
     return placed.select(*beside(documents, *results), *[x.alias(c) for c, x in results.items()])
 
 

@@ -317,6 +317,25 @@ def brute_licenses(text):
     return labels
 
 
+def test_blocks_at_the_threshold_without_telling_words(spark):
+    """No pair of a block and a template that meets the threshold is left out; those without telling words are marked and give no label."""
+    random = np.random.default_rng(6)
+    texts = [" ".join(w for w in t.text.split() if w != out) for t in licenses.TEMPLATES for out in [None, *t.text.split()]]
+    texts += [" ".join(random.permutation(t.split())) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = Counter((r["doc_id"], r["lic_label"], r["lic_overlap"], r["lic_whole"], r["lic_tells"]) for r in licenses.similar_blocks(df, "doc_id").collect())
+    want = Counter()
+    for i, text in enumerate(texts):
+        have = set(text.split())
+        for t in licenses.TEMPLATES:
+            words = set(t.text.split())
+            if 100 * len(have & words) >= licenses.THRESHOLD_PERCENT * len(words):
+                want[i, t.label, len(have & words), len(words), set(t.told_by.split()) <= have] += 1
+    assert got == want and sum(n for k, n in want.items() if not k[-1]) > 50
+    marked = {r["doc_id"]: r for r in licenses.scan(df, alike=True).collect()}
+    assert all(set(marked[i]["labels_list"]) | set(marked[i]["alike_list"]) >= {k[1] for k in want if k[0] == i} for i in marked)
+
+
 def test_licenses_against_brute_force(spark):
     random = np.random.default_rng(2)
     pool = [t.text.split() for t in licenses.TEMPLATES]
