@@ -11,8 +11,8 @@
 4. Members of larger lists (a passage, a group of near copies) enter finer lists, of all their shingles, rarest among them first:
    a set that is at least `percent` similar to another meets it in the first n - ceil(n * percent / 100) + 1, with no doubt left, and the places of a shared
    shingle in both bound what they share. What copies have of their own thus keeps them out of the lists of what all have. Lists are parted by
-   size, and an entry goes at once if what it has from its place on can't suffice for the smallest set of its list. What is left meets hubs first, in TURNS turns with
-   other hubs; then each other, if still in different components. Before that, a list with far more pairs than its members have places for the next shared
+   size, and an entry goes at once if what it has from its place on can't suffice for the smallest set of its list. What is left meets hubs first, one of them and then TURNS - 1
+   others; then each other, if still in different components. Before that, a list with far more pairs than its members have places for the next shared
    shingle is parted by that shingle, which both of a pair must have soon after the first, and so on, up to DEPTH shingles: texts that only share much
    without being similar are told apart by rows that grow with them, not with their pairs.
 5. Components of verified links, joined up after each step: only links between components are kept.
@@ -30,7 +30,7 @@ results. Extra columns don't matter, as only id and text are read. Tables of the
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -190,12 +190,13 @@ def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return tagged.join(several.select("value", "members"), "value")
 
 
-def stars(lists: DataFrame, percent: int, turn: int = 0) -> DataFrame:
-    """a, b: every member of a list with the list's hub, if their labels differ; as many rows as members at most. The hub is the member with fewest
-    values of its own, as the original of copies is; in later turns, one that a hash picks."""
-    first = F.struct("own", "cid") if not turn else F.struct(F.xxhash64("cid", F.lit(turn)).alias("own"), "cid")
-    hubs = lists.groupBy("value").agg(F.min_by(F.struct("cid", "n", "left", "least", "whole", "label"), first).alias("r"))
-    met = lists.select("value", F.struct("cid", "n", "left", "least", "whole", "label").alias("l")).join(hubs, "value")
+def stars(lists: DataFrame, percent: int, turns: Sequence[int] = (0,)) -> DataFrame:
+    """a, b: every member of a list with the list's hub of each turn, if their labels differ; as many rows as members at most, for each turn. The hub
+    of turn 0 is the member with fewest values of its own, as the original of copies is; in later turns, one that a hash picks."""
+    entry = F.struct("cid", "n", "left", "least", "whole", "label")
+    first = lambda turn: F.struct("own", "cid") if not turn else F.struct(F.xxhash64("cid", F.lit(turn)).alias("own"), "cid")
+    hubs = lists.groupBy("value").agg(F.array(*[F.min_by(entry, first(turn)) for turn in turns]).alias("hubs"))
+    met = lists.select("value", entry.alias("l")).join(hubs, "value").select("l", F.explode("hubs").alias("r"))
     return _pairs(met.where((F.col("l.label") != F.col("r.label")) & _may_link(percent)))
 
 
@@ -229,45 +230,62 @@ def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.where(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("a", "b")
 
 
+def joined(labels: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """labels after the links among pairs (a written table)."""
+    return labels if pairs.isEmpty() else merged(labels, measured(pairs, sets, percent))
+
+
 def linked_classes(documents: DataFrame, classes: DataFrame, width: int, percent: int, k: int, least: int) -> DataFrame:
     """node, label: every class with the smallest class that verified links lead to."""
-    likely = lambda pairs: written(estimated(pairs, classes, percent, k, least))
+    likely = lambda pairs, known: written(estimated(pairs, known, percent, k, least))
+
+    def linked(labels: DataFrame, pairs_of: Callable[[], DataFrame]) -> DataFrame:
+        """labels after the links among pairs; their full sets go at once."""
+        with scratch(documents.sparkSession) as kept:
+            pairs = pairs_of()
+            return labels if pairs.isEmpty() else kept(merged(labels, measured(pairs, sets_of(documents, classes, pairs, width), percent)))
+
     labels = classes.select(F.col("cid").alias("node"), F.col("cid").alias("label"))
     lists = written(inverted_lists(classes, percent, k, least))
-    pairs = likely(stars(lists.withColumn("label", F.col("cid")), percent))
-    labels = merged(labels, measured(pairs, sets_of(documents, classes, pairs, width), percent))
+    labels = linked(labels, lambda: likely(stars(lists.withColumn("label", F.col("cid")), percent), classes))
     still = written(open_lists(lists, labels))
-    pairs = likely(all_pairs(still.where(F.col("members") <= FEW), percent))
+    small = still.where(F.col("members") <= FEW)
+    labels = linked(labels, lambda: likely(all_pairs(small, percent), classes.join(small.select("cid").distinct(), "cid", "left_semi")))
+    # what follows is about members of large lists alone: their sketches and sets are kept apart, so that no later step moves those of all classes
     crowd = written(still.where(F.col("members") > FEW).select("cid").distinct())
-    sets = sets_of(documents, classes, pairs.unionByName(crowd.select(F.col("cid").alias("a"), F.col("cid").alias("b"))), width)
-    labels = merged(labels, measured(pairs, sets, percent))
-    crowded = sets.join(crowd, "cid", "left_semi")
-    fine = written(narrowed(fine_lists(crowded, percent), labels, percent))
+    if crowd.isEmpty():
+        return labels
+    known = written(classes.join(crowd, "cid", "left_semi"))
+    sets = written(full_sets(documents, known.select("rep", "cid", "h1", "h2"), width))
+    fine = written(narrowed(fine_lists(sets, percent), labels, percent))
     if fine.isEmpty():
         return labels
-    for turn in range(TURNS):
-        pairs = likely(stars(open_lists(fine.drop("label", "members"), labels), percent, turn))
-        labels = merged(labels, measured(pairs, sets, percent))
-    return last_links(fine, labels, crowded, sets, likely, percent)
+    for turns in (range(TURNS)[:1], range(TURNS)[1:]):
+        if turns:
+            pairs = likely(stars(open_lists(fine.drop("label", "members"), labels), percent, turns), known)
+            labels = joined(labels, pairs, sets, percent)
+    return last_links(fine, labels, sets, lambda pairs: likely(pairs, known), percent)
 
 
-def last_links(fine: DataFrame, labels: DataFrame, crowded: DataFrame, sets: DataFrame, likely: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def last_links(fine: DataFrame, labels: DataFrame, sets: DataFrame, likely: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """labels after all links that fine lists hold, those of large lists by more shingles than one where that leaves fewer pairs."""
-    met = lambda lists: measured(likely(all_pairs(lists, percent, F.col("core"))), sets, percent)
+    after = lambda pairs: joined(labels, likely(pairs), sets, percent)
+    met = lambda lists: all_pairs(lists, percent, F.col("core"))
     fine = written(narrowed(fine, labels, percent))
     ranked = None
     for depth in range(1, DEPTH + 1):
         hot = (F.col("members") > FEW) & (F.col("fewest") > depth) & (F.col("places") * GAIN < F.col("members") * F.col("members")) & F.lit(depth < DEPTH)
-        labels = merged(labels, met(fine.where(~hot)))
+        labels = after(met(fine.where(~hot)))
         large = fine.where(hot)
         if depth == DEPTH or large.isEmpty():
             break
-        ranked = ranked or written(_ranked_sets(crowded, percent))
+        ranked = ranked or written(_ranked_sets(sets, percent))
         parted = written(narrowed(extended(large, ranked, depth), labels, percent))
         worse = written(no_better(parted))
-        labels = merged(labels, met(large.join(worse.withColumnRenamed("parent", "value"), "value", "left_semi")))
+        if not worse.isEmpty():
+            labels = after(met(large.join(worse.withColumnRenamed("parent", "value"), "value", "left_semi")))
         parted = parted.join(worse, "parent", "left_anti").drop("label", "need", "members", "fewest", "places")
-        labels = merged(labels, measured(likely(stars(open_lists(parted, labels), percent)), sets, percent))
+        labels = after(stars(open_lists(parted, labels), percent))
         fine = written(narrowed(parted, labels, percent))
     return labels
 

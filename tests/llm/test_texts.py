@@ -198,6 +198,16 @@ def test_texts_that_only_share_much_leave_no_list(spark):
     assert fine.count() > 0 and minhash.narrowed(fine, labels, 80).isEmpty()
 
 
+def test_hubs_of_several_turns_in_one_step(spark):
+    """The pairs of several turns are those of each turn, and pairs without any lead to no further job."""
+    rows = [(v, c, 100, 1 / (c + 1), 90, 80, True, c) for v in range(3) for c in range(v, 12)]
+    lists = spark.createDataFrame(rows, "value long, cid long, n long, own double, left int, least int, whole boolean, label long")
+    pairs = lambda turns: {(r["a"], r["b"]) for r in minhash.stars(lists, 80, turns).collect()}
+    assert pairs((0, 1, 2)) == pairs((0,)) | pairs((1,)) | pairs((2,)) and len(pairs((0, 1, 2))) > len(pairs((0,)))
+    labels = lists.select(F.col("cid").alias("node"), "label").distinct()
+    assert minhash.joined(labels, minhash.stars(lists, 80).limit(0), None, 80) is labels
+
+
 def test_steps_between_leave_no_tables(spark, docs):
     import pathlib
 
