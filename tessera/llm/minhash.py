@@ -52,6 +52,8 @@ TURNS = 3
 GAIN = 8
 #: Most shingles that one list is for.
 DEPTH = 4
+#: Bits of a bitmap of ids for each id, bits of one of its rows (as Spark's bitmap_construct_agg makes them), and most rows (8 MB in all).
+BITS, ROW, ROWS = 16, 32768, 2048
 
 
 def sketches(documents: DataFrame, width: int, k: int = K) -> DataFrame:
@@ -74,10 +76,22 @@ def sketches(documents: DataFrame, width: int, k: int = K) -> DataFrame:
     return slim.mapInArrow(rows, "doc_id long, n long, h1 long, h2 long, sketch array<long>")
 
 
+def texts_for(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id, text of the documents whose id is a representative of wanted (a written table), and of few others: what a bitmap of hashed ids lets
+    through, before any text is shuffled. If there are more ids than the largest bitmap tells apart, more others come along."""
+    rows = min(ROWS, max(1, -(-wanted.count() * BITS // ROW)))
+    at = lambda name: F.pmod(F.xxhash64(name), F.lit(rows * ROW))
+    place = lambda name: [F.floor(at(name) / ROW).alias("row"), (at(name) % ROW).alias("place")]
+    bitmap = wanted.select(*place("rep")).groupBy("row").agg(F.bitmap_construct_agg("place").alias("bits"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").select("id", "text", *place("id"))
+    byte = F.conv(F.hex(F.substring("bits", (F.col("place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return texts.join(F.broadcast(bitmap), "row").where(F.getbit(byte, F.col("place").cast("int") % 8) == 1).select("id", "text")
+
+
 def full_sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """cid, shingles (ascending) of each wanted class, from its representative's text. Where ids repeat, the text must give
+    """cid, shingles (ascending) of each class of wanted (a written table), from its representative's text. Where ids repeat, the text must give
     the class's set; of repeated rows one is kept."""
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
+    texts = texts_for(documents, wanted)
     chosen = texts.join(wanted, texts["id"].eqNullSafe(wanted["rep"])).select("cid", "h1", "h2", "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +109,8 @@ def full_sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 def sets_of(documents: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """The full sets of the classes that pairs need."""
     members = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    return written(full_sets(documents, classes.join(members, "cid", "left_semi").select("rep", "cid", "h1", "h2"), width))
+    wanted = written(classes.join(members, "cid", "left_semi").select("rep", "cid", "h1", "h2"))
+    return written(full_sets(documents, wanted, width))
 
 
 def shared_at_least(n: Column, percent: int, k: int, least: int) -> Column:
@@ -114,23 +129,26 @@ def _entries(ranked: DataFrame) -> DataFrame:
     return placed.select(F.col("r.value").alias("value"), "cid", "n", (F.col("alone") / F.col("held")).alias("own"), "at", left.alias("left"), "least", (F.col("held") == F.col("n")).alias("whole"))
 
 
-def _ranked(held: DataFrame) -> DataFrame:
-    """held (cid, n, held, least, value) by cid, with the values that two or more have, rarest first."""
-    common = held.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    return held.join(common, "value").groupBy("cid", "n", "held", "least").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("ranked"))
+def _ranked(sets: DataFrame) -> DataFrame:
+    """cid, n, held, least, ranked from sets (cid, n, held, least, values): those of values that two or more have, rarest first. Values are shuffled
+    with their cid alone, and by cid as they are: Spark's partial lists have fewer values each, and more bytes in all, the more partitions there are."""
+    each = sets.select("cid", F.explode("values").alias("value"))
+    common = each.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    gathered = each.join(common, "value").select("cid", "df", "value").repartition("cid").groupBy("cid")
+    return gathered.agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("ranked")).join(sets.drop("values"), "cid")
 
 
 def inverted_lists(classes: DataFrame, percent: int = PERCENT, k: int = K, least: int = LEAST) -> DataFrame:
     """value, cid, n, own (share of retained values that no other class has), left, least, whole: each class in the lists of its rarest
     retained values."""
     c = shared_at_least(F.col("n"), percent, k, least)
-    return _entries(_ranked(classes.select("cid", "n", F.size("sketch").alias("held"), c.alias("least"), F.explode("sketch").alias("value")))).drop("at")
+    return _entries(_ranked(classes.select("cid", "n", F.size("sketch").alias("held"), c.alias("least"), F.col("sketch").alias("values")))).drop("at")
 
 
 def _ranked_sets(sets: DataFrame, percent: int) -> DataFrame:
     n = F.size("shingles").cast("long")
     least = F.ceil(n * percent / 100).cast("int")
-    return _ranked(sets.select("cid", n.alias("n"), F.size("shingles").alias("held"), least.alias("least"), F.explode("shingles").alias("value")))
+    return _ranked(sets.select("cid", n.alias("n"), F.size("shingles").alias("held"), least.alias("least"), F.col("shingles").alias("values")))
 
 
 def fine_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -293,16 +311,18 @@ def last_links(fine: DataFrame, labels: DataFrame, sets: DataFrame, likely: Call
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = PERCENT, k: int = K, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of documents (doc_id, text)."""
     tidy(documents.sparkSession)
-    rows = written(sketches(documents, width, k))
     with scratch(documents.sparkSession) as kept:
-        named = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
-        # ids are read from the written table, so that every later use sees the same
-        classes = written(named.withColumn("cid", F.monotonically_increasing_id()))
+        with scratch(documents.sparkSession) as until_done:
+            sketched = written(sketches(documents, width, k))
+            rows = kept(sketched.select("doc_id", "n", "h1", "h2"))
+            named = sketched.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
+            # ids are read from the written table, so that every later use sees the same
+            classes = until_done(named.withColumn("cid", F.monotonically_increasing_id()))
         labels = linked_classes(documents, classes, width, percent, k, least)
         grouped = classes.join(labels, F.col("cid") == F.col("node")).select("h1", "h2", "n", "rep", "label")
         lowest = grouped.groupBy("label").agg(F.min("rep").alias("component"))
         of_class = kept(grouped.join(lowest, "label").select("h1", "h2", "n", "component"))
-    whole = rows.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2", "n"], "left")
+    whole = rows.join(of_class, ["h1", "h2", "n"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 

@@ -217,6 +217,52 @@ def test_steps_between_leave_no_tables(spark, docs):
     assert got.count() == len(documents()) and len(set(folder.iterdir()) - before) == 2
 
 
+def test_what_stays_holds_no_sketches(spark, docs):
+    import pathlib
+
+    folder = pathlib.Path(session.shared_folder(spark)) / "tables"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    minhash.near_duplicates(docs, width=2)
+    left = [spark.read.parquet(str(path)).columns for path in set(folder.iterdir()) - before]
+    assert sorted(map(sorted, left)) == sorted(map(sorted, [["doc_id", "n", "h1", "h2"], ["h1", "h2", "n", "component"]]))
+
+
+def shuffled(spark, name, job):
+    """What job gives, and the bytes that its stages shuffle."""
+    sc = spark.sparkContext
+    sc.setJobGroup(name, name)
+    try:
+        found = job()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    tracker, store = sc.statusTracker(), sc._jsc.sc().statusStore()
+    stages = {k for j in tracker.getJobIdsForGroup(name) for k in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(k)}
+    return found, sum(store.lastStageAttempt(k).shuffleWriteBytes() for k in stages)
+
+
+def test_only_texts_that_are_compared_are_shuffled(spark, monkeypatch):
+    """Sets of 10 of 400 texts, one id null, one repeated; with a bitmap too small for them, more texts come along, but no set goes."""
+    ids = [None, *range(1, 399), 7]
+    texts = [(i, prose(1000 + (i or 0), 120)) for i in ids]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    named = minhash.sketches(docs, 2).where("doc_id is null or doc_id % 40 = 7").distinct()
+    wanted = session.written(named.select(F.col("doc_id").alias("rep"), F.xxhash64("doc_id").alias("cid"), "h1", "h2"))
+    stored = session.written(docs)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        all_texts = shuffled(spark, "all texts", lambda: stored.repartition("doc_id").groupBy(F.spark_partition_id()).agg(F.max("text")).collect())[1]
+        sets, moved = shuffled(spark, "few texts", lambda: minhash.full_sets(stored, wanted, 2).select("cid", F.size("shingles")).collect())
+        assert len(sets) == 11 and moved * 3 < all_texts
+        monkeypatch.setattr(minhash, "ROW", 8)
+        monkeypatch.setattr(minhash, "ROWS", 1)
+        assert sorted(minhash.full_sets(stored, wanted, 2).select("cid", F.size("shingles")).collect()) == sorted(sets)
+        assert minhash.full_sets(stored, wanted.limit(0), 2).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
 def test_partitions_of_only_null_and_empty_texts(spark):
     docs = spark.createDataFrame([(1, None, "en", "s", 0), (2, "", "en", "s", 0), (3, "", "en", "s", 0), (4, None, "en", "s", 0)], TEXT).coalesce(1)
     got = minhash.near_duplicates(docs, width=2).collect()
