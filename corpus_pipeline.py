@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, minhash, mixing, quality, suffixes
-from tessera.llm.common import table, written
+from tessera.llm.common import table, tidy, written
 from tessera.session import attach
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labels outside the held-out fold, doesn't reject. Null and empty texts have the score of the
     bias; a score at the threshold is kept; repeated rows are kept or go together; without labels all stay. Extra columns are kept."""
+    tidy(spark)
     model = quality.fitted(docs, table(spark, sf_dir, "labels"))
     return docs.where(quality.score(F.col("text"), model) >= quality.THRESHOLD)
 
@@ -50,6 +51,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are coded each; long texts whole. Extra columns are left out."""
     import public_tokenizers
 
+    tidy(spark)
     files = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     coded = docs.withColumn("ids", bpe.encode(F.col("text"), *files))
     same = bpe.decode(F.col("ids"), *files) == F.coalesce("text", F.lit("")).cast("binary")

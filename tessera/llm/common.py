@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,16 +14,28 @@ from tessera.session import scratch, written  # noqa: F401  the operators take t
 
 #: What separates words in the operators that count or shingle words: space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of rows that a Python worker is given at once, or one row if that is longer.
+BATCH = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_bytes(setting: str) -> int:
+    """A size as Spark writes it, such as 64m or 512kb."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)(?:i?b)?", setting.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def tidy(spark: SparkSession) -> SparkSession:
     """Have Spark drop a job's shuffle files when its result is written, not when the driver collects its garbage. Operators of many
-    steps call this first, so that they need disk for their largest step, not for the sum of all."""
+    steps call this first, so that they need disk for their largest step, not for the sum of all. Python workers get rows by BATCH bytes (or what
+    the session has, if less), as executors and workers hold some batches for each task, and keep that memory."""
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if in_bytes(spark.conf.get(limit)) > BATCH:
+        spark.conf.set(limit, BATCH)
     return spark
 
 

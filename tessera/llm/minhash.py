@@ -66,7 +66,7 @@ def sketches(documents: DataFrame, width: int, k: int = K) -> DataFrame:
                 found = shingle_set(words, width)
                 counts.append(len(found))
                 names.append(digest(found))
-                lists.append(found[:k])
+                lists.append(found[:k].copy())  # not a view, which would hold the whole set
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array([x for x, _ in names], pa.int64()), pa.array([y for _, y in names], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
                 names=["doc_id", "n", "h1", "h2", "sketch"],

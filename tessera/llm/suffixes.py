@@ -41,6 +41,8 @@ GRAM = 68
 WIDTHS = (12, 1)
 #: String starts that are worked on at once; with what they look ahead, less than 2^16.
 PART = 1 << 15
+#: Pieces whose ranges are worked on at once; each gives LENGTH - GRAM + 1 rows at most.
+PIECES = 1000
 _M = byte_table(7) | np.uint64(1)
 _LOW = np.uint64(0xFFFF)
 
@@ -165,7 +167,7 @@ def range_rows(pieces: DataFrame, width: int) -> DataFrame:
     pieces: key, place, low, bytes, ranges (bucket, first, last, sure; offsets of the q-gram in the strings), and wide: the width of the ranges so far."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b for b in batches if len(b)):
+        for batch in (b.slice(at, PIECES) for b in batches for at in range(0, len(b), PIECES)):
             data, lists = batch.column("bytes"), batch.column("ranges")
             ids = identifiers(np.frombuffer(b"".join(data.to_pylist()), dtype=np.uint8))[GRAM]
             sizes = np.array([len(x.as_buffer()) for x in data])

@@ -5,12 +5,14 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera import session
 from tessera.llm import bpe, licenses, minhash, mixing, quality, shingles, suffixes
+from tessera.llm.common import tidy
 from tests.llm.fixtures import TEXT, documents, prose
 
 SHA = lambda x: hashlib.sha256(x).hexdigest()
@@ -74,6 +76,51 @@ def test_suffix_dedup_keeps_whole_characters(docs, empty):
     assert suffixes.without_repeats(empty).count() == 0
 
 
+def test_ranges_of_many_pieces_are_made_in_parts(monkeypatch):
+    class Pieces:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, rows, schema):  # noqa: N802  as Spark names it
+            return rows
+
+    raw = np.random.default_rng(7).integers(0, 256, 40_000, dtype=np.uint8).tobytes()
+    n, longest = 2500, suffixes.LENGTH - suffixes.GRAM
+    low = [7 * i for i in range(n)]
+    ranges = [[{"bucket": i % 50, "first": i % 3, "last": longest - i % 5, "sure": i % 2 == 0}] for i in range(n)]
+    data = [raw[x : x + 2 * suffixes.LENGTH] for x in low]
+    kinds = pa.list_(pa.struct({"bucket": pa.int64(), "first": pa.int64(), "last": pa.int64(), "sure": pa.bool_()}))
+    columns = [pa.array([b"k"] * n), pa.array([x + longest for x in low]), pa.array(low), pa.array(data), pa.array(ranges, kinds), pa.array([longest + 1] * n, pa.int32())]
+    batch = pa.record_batch(columns, names=["key", "place", "low", "bytes", "ranges", "wide"])
+    for width in suffixes.WIDTHS:
+        parts = list(suffixes.range_rows(Pieces(), width)(iter([batch])))
+        assert max(len(b) for b in parts) <= 1000 * (longest + 1)
+        with monkeypatch.context() as m:
+            m.setattr(suffixes, "PIECES", n)
+            (whole,) = suffixes.range_rows(Pieces(), width)(iter([batch]))
+        assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([whole]))
+        assert len(parts) > 1
+
+
+def test_python_workers_get_batches_of_bounded_size(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([len(batch)])], names=["size", "n"])
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "64m")
+        tidy(spark)
+        wide = spark.range(0, 60, 1, 1).select(F.repeat(F.lit("x"), 1_000_000).alias("text"))
+        found = wide.mapInArrow(sizes, "size long, n long").collect()
+        assert sum(r["n"] for r in found) == 60 and max(r["size"] for r in found) < 6 << 20
+        spark.conf.set(limit, "512kb")
+        assert tidy(spark).conf.get(limit) == "512kb"
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_long_texts_are_cut_in_parts_without_loss(monkeypatch):
     raw = np.frombuffer((prose(3, 3000) + "a" * 500).encode(), dtype=np.uint8)
     whole = suffixes.blocks_of(raw, np.array([0, len(raw)]))
