@@ -261,7 +261,7 @@ def linked_classes(documents: DataFrame, classes: DataFrame, width: int, percent
         """labels after the links among pairs; their full sets go at once."""
         with scratch(documents.sparkSession) as kept:
             pairs = pairs_of()
-            return labels if pairs.isEmpty() else kept(merged(labels, measured(pairs, sets_of(documents, classes, pairs, width), percent)))
+            return labels if pairs.isEmpty() else merged(labels, measured(pairs, sets_of(documents, classes, pairs, width), percent), kept)
 
     labels = classes.select(F.col("cid").alias("node"), F.col("cid").alias("label"))
     lists = written(inverted_lists(classes, percent, k, least))
