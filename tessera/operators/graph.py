@@ -56,6 +56,10 @@ class Reach:
         return each.select(F.get("origins", F.col("bit")).alias("origin"), *[(F.getbit(c, "bit") == 1).alias(c) for c in flags.values()])
 
 
+def _buckets(links: DataFrame) -> int:
+    return min(int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")), links.count() // BUCKET + 1)
+
+
 def _bucketed(df: DataFrame, name: str, path: str, buckets: int, *keys: str, by: tuple[str, ...] = ()) -> None:
     df.write.mode("append").partitionBy(*by).bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
 
@@ -75,7 +79,7 @@ def reach(links: DataFrame, seeds: DataFrame, is_terminal: Column, max_depth: in
     is_terminal: a condition on `id`; the walk doesn't go past such nodes. Cycles end, as a node counts once for an origin. An origin itself isn't reached, unless a cycle
     leads back to it. buckets: of the edges and of what was reached; by default one for each BUCKET edges, and the session's shuffle partitions at most."""
     spark = links.sparkSession
-    n = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), links.count() // BUCKET + 1)
+    n = buckets or _buckets(links)
     run, folder = f"walk_{uuid.uuid4().hex}", f"{shared_folder(spark)}/tables"
     known = seeds.select(F.col("origin").cast("string").alias("origin")).where("origin is not null").distinct().orderBy("origin").withColumn("number", F.monotonically_increasing_id())
     # written, as the numbers must stay; origins of one order stand in one block, as they often reach the same
@@ -115,17 +119,32 @@ def walk(links: DataFrame, seeds: DataFrame, is_terminal: Column, max_depth: int
 def walk_recursive(spark: SparkSession, links: DataFrame, seeds: DataFrame, is_terminal: Column, max_depth: int = 15) -> DataFrame:
     """origin, id, hops of terminals, by a recursive query. It keeps no set of seen nodes, so it suits graphs with few paths.
 
-    is_terminal: as in walk(), a condition on `id`, worked out for each link's end before the recursion."""
-    ends, starts = (f"walk_{n}_{uuid.uuid4().hex}" for n in ("ends", "starts"))
-    links.select("src", F.col("next_id").alias("id")).distinct().withColumn("terminal", is_terminal).createOrReplaceTempView(ends)
-    seeds.select(F.col("origin").cast("string").alias("origin")).createOrReplaceTempView(starts)
-    return spark.sql(f"""
-        WITH RECURSIVE reach(origin, node, hops, over) MAX RECURSION LEVEL {max_depth + 1} AS (
-            SELECT origin, origin, 0, false FROM {starts}
-            UNION ALL
-            SELECT reach.origin, {ends}.id, reach.hops + 1, {ends}.terminal FROM reach JOIN {ends} ON {ends}.src = reach.node
-            WHERE reach.hops < {max_depth} AND NOT reach.over)
-        SELECT origin, node AS id, min(hops) AS hops FROM reach WHERE over GROUP BY origin, node""")
+    The recursion starts from the nodes that origins link to, each once however many origins share it, and origins are joined to what these reach. LIMIT ALL lifts Spark's bound
+    on the rows of a recursion (spark.sql.cteRecursionRowLimit, 1,000,000 unless set). is_terminal: as in walk(), a condition on `id`, worked out for each link's end before the
+    recursion."""
+    n = _buckets(links)
+    name = f"walk_{uuid.uuid4().hex}_ends"
+    try:
+        ends = links.select("src", F.col("next_id").alias("id")).repartition(n, "src").distinct().withColumn("terminal", is_terminal)
+        _bucketed(ends, name, f"{shared_folder(spark)}/tables/{name}", n, "src")
+        ends = spark.table(name)
+        first = written(seeds.select(F.col("origin").cast("string").alias("src")).distinct().join(ends, "src").select(F.col("src").alias("origin"), "id", "terminal"))
+        starts = first.where("not terminal").select("id").distinct()
+        query = """
+            WITH RECURSIVE reach(start, node, hops, over) MAX RECURSION LEVEL {levels} AS (
+                SELECT id, id, 1, false FROM {starts}
+                UNION ALL
+                SELECT reach.start, ends.id, reach.hops + 1, ends.terminal FROM reach JOIN {ends} AS ends ON ends.src = reach.node
+                WHERE reach.hops < {depth} AND NOT reach.over)
+            SELECT start, node, min(hops) AS hops FROM (SELECT * FROM reach LIMIT ALL) WHERE over GROUP BY start, node"""
+        found = written(spark.sql(query, starts=starts, ends=ends, depth=max_depth, levels=max_depth + 1))
+    finally:
+        # the files stay where they are
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # a first link may be the last; hops beyond max_depth are only there if it is 0
+    near = first.where("terminal").select("origin", "id", F.lit(1).alias("hops"))
+    far = first.where("not terminal").join(found, F.col("id") == F.col("start")).select("origin", F.col("node").alias("id"), "hops")
+    return near.union(far).where(F.col("hops") <= max_depth).groupBy("origin", "id").agg(F.min("hops").alias("hops"))
 
 
 def min_hops(reached: DataFrame) -> DataFrame:

@@ -478,7 +478,7 @@ def reach_by_node(spark, sf):
 @registered(f"{_WALK} SELECT origin, id, min(hops) AS hops FROM w WHERE id LIKE 'r%' GROUP BY 1, 2")
 def bfs_recursive(spark, sf):
     seeds = load(spark, sf, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("origin"))
-    return graph.walk_recursive(spark, provenance(spark, sf).select("src", "next_id").distinct(), seeds, F.col("id").startswith("r"))
+    return graph.walk_recursive(spark, provenance(spark, sf), seeds, F.col("id").startswith("r"))
 
 
 _TYPES = "t AS (SELECT 'c' || c_custkey AS id, c_mktsegment AS type FROM customer UNION ALL SELECT 'l' || s_suppkey, 'supplier' FROM supplier UNION ALL SELECT 'm' || n_nationkey, 'depot' FROM nation)"

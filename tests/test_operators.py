@@ -378,6 +378,29 @@ def test_packed_walk(spark):
     assert len(spark.catalog.listTables()) == before
 
 
+def test_recursive_walk_of_more_rows_than_spark_lets_a_recursion_have(spark, monkeypatch):
+    """Origins that share nodes, repeated and null origins, a terminal as an origin, cycles, depths; no table or view stays."""
+    r = random.Random(5)
+    nodes = [f"n{i}" for i in range(40)]
+    seeds = [f"s{i:03}" for i in range(300)] + ["n3", "end1"]
+    links = [(s, r.choice([*nodes, "end1"])) for s in seeds for _ in range(r.randrange(1, 4))] + [(n, r.choice([*nodes, "end1", "end2"])) for n in [*nodes, *nodes[:8]]] + [("n5", "n5"), ("n7", "end3")]
+    df = spark.createDataFrame([(a, b, "s") for a, b in links] * 2, "src string, next_id string, slot string")
+    origins = spark.createDataFrame([(s,) for s in [*seeds, seeds[0], None]], "origin string")
+    before = len(spark.catalog.listTables())
+    monkeypatch.setattr(graph, "BUCKET", 100)
+    spark.conf.set("spark.sql.cteRecursionRowLimit", 50)
+    try:
+        for depth in (15, 1, 3, 0):
+            want = sorted((s, n, hops) for s, n, hops, over in brute_walk(links, seeds, lambda n: n.startswith("end"), depth) if over)
+            assert sorted(tuple(x) for x in graph.walk_recursive(spark, df, origins, F.col("id").startswith("end"), depth).collect()) == want
+            assert depth == 0 or want
+        for few in ((df.limit(0), origins), (df, origins.limit(0))):
+            assert graph.walk_recursive(spark, *few, F.col("id").startswith("end")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
+    assert len(spark.catalog.listTables()) == before
+
+
 def test_a_hop_shuffles_neither_edges_nor_what_was_reached(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
